@@ -6,16 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, mixing, token_store
+from . import common, hyper_langid, mixing, ordinal_quality, quality_rules, token_store, toxicity
 
 
 def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: operator(common.table(spark, sf_dir, "documents"))
 
 
+def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": _over_documents(mixing.mix_sources),
+    "op5_toxic_documents": _with_labels(toxicity.toxic_documents),
+    "op6_graded_documents": _with_labels(ordinal_quality.graded_documents),
     "op7_token_store": _over_documents(token_store.token_digests),
+    "op8_identified_documents": _over_documents(hyper_langid.identified_documents),
+    "op10_quality_verdicts": _with_labels(quality_rules.quality_verdicts),
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, hyper_langid, mixing, ordinal_quality, quality_rules, token_store, toxicity
+from . import common, decontaminate, hyper_langid, mixing, ordinal_quality, quality_rules, token_store, toxicity
 
 
 def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -18,6 +18,9 @@ def _with_labels(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Calla
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_contaminated_documents": lambda spark, sf_dir: decontaminate.contaminated_documents(
+        common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
+    ),
     "op3_mix_sources": _over_documents(mixing.mix_sources),
     "op5_toxic_documents": _with_labels(toxicity.toxic_documents),
     "op6_graded_documents": _with_labels(ordinal_quality.graded_documents),
@@ -27,5 +30,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_contaminated_documents": decontaminate.DECONTAMINATION_SQL,
     "op3_mix_sources": mixing.MIX_SQL,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, decontaminate, hyper_langid, mixing, ordinal_quality, quality_rules, token_store, toxicity
+from . import common, decontaminate, hyper_langid, license_scan, mixing, ordinal_quality, quality_rules, token_store, toxicity
 
 
 def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -26,10 +26,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_graded_documents": _with_labels(ordinal_quality.graded_documents),
     "op7_token_store": _over_documents(token_store.token_digests),
     "op8_identified_documents": _over_documents(hyper_langid.identified_documents),
+    "op9_scanned_documents": _over_documents(license_scan.scanned_documents),
     "op10_quality_verdicts": _with_labels(quality_rules.quality_verdicts),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_contaminated_documents": decontaminate.DECONTAMINATION_SQL,
     "op3_mix_sources": mixing.MIX_SQL,
+    "op9_scanned_documents": license_scan.scan_sql(),
 }

@@ -22,6 +22,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,18 +44,23 @@ DOCUMENT_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 # ---------------------------------------------------------------- tokenizing
 
-#: Words of ASCII and Latin-1 letters fall into pieces that the tokenizer treats alone (the pattern is the vocabulary's).
-_SAFE = re.compile("[!-~À-ÖØ-öø-ÿß]+")
-_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-#: Entries of a worker's caches before they start anew.
-_CACHE_LIMIT = 400_000
+#: Texts that may be cut between letters and other characters before they are split at white space: ASCII and Latin-1,
+#: without the pre-tokenizer's contractions and without special tokens.
+_UNSAFE_TEXT = "[^\\x09-\\x0D -~À-ÖØ-öø-ÿß]|'(?i:s|t|re|ve|m|ll|d)|<\\|"
+_NO_LETTERS = "([^\\x09-\\x0D a-zß-öø-ÿ]+)"
+#: What the pre-tokenizer keeps in one piece, whatever stands beside it.
+_LETTERS = re.compile("[a-zß-öø-ÿ]+")
+#: Entries of a worker's cache before it starts anew.
+_CACHE_LIMIT = 1_000_000
 
 
 class WordTokenizer:
     """The public tokenizer applied to distinct words.
 
     Its pre-tokenizer drops white space and never joins characters across it, so a text's ids are those of its words in
-    turn.  Distinct words are encoded once; their lower-cased pieces even once for all words that have them.
+    turn.  Most texts are first lower-cased and cut between letters and other characters, where the pre-tokenizer cuts
+    too, so that fewer distinct words remain.  Runs of letters are encoded many in one call: each ends at a token that
+    ends a word.
     """
 
     def __init__(self, path: str | None = None):
@@ -68,55 +74,53 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, np.ndarray] = {}
-        self.pieces: dict[str, np.ndarray] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[bytes, int] = {}
+        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        """Encode pieces in one text; each ends at a token that ends a word."""
-        for i in range(0, len(pieces), 2000):
-            part = pieces[i : i + 2000]
-            ids = self._whole(" ".join(part))
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(part) and (not len(ids) or stops[-1] == len(ids)):
-                self.pieces.update(zip(part, np.split(ids, stops[:-1]), strict=True))
+    def _learn(self, words: list[bytes]) -> None:
+        runs = [w for w in words if w.isalpha() and w.islower() or not w.isascii() and _LETTERS.fullmatch(w.decode())]
+        others = set(words).difference(runs)
+        ids, sizes, names = [], [], []
+        for i in range(0, len(runs), 2000):
+            part = runs[i : i + 2000]
+            found = self._whole(b" ".join(part).decode())
+            stops = np.flatnonzero(self.ends[found]) + 1
+            if len(stops) == len(part) and stops[-1] == len(found):
+                ids.append(found)
+                sizes.append(np.diff(stops, prepend=0))
+                names += part
             else:
-                self.pieces.update((piece, self._whole(piece)) for piece in part)
-
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        if len(self.words) > _CACHE_LIMIT:
-            self.words.clear()
-        if len(self.pieces) > _CACHE_LIMIT:
-            self.pieces.clear()
-        split, missing = {}, {}
-        for word in words:
-            if word not in self.words:
-                text = word.decode()
-                if _SAFE.fullmatch(text) and "<|" not in text:
-                    split[word] = found = _PIECE.findall(text.lower())
-                    for piece in found:
-                        if piece not in self.pieces:
-                            missing[piece] = None
-                else:
-                    self.words[word] = self._whole(text)
-        self._learn_pieces(list(missing))
-        for word, found in split.items():
-            self.words[word] = self.pieces[found[0]] if len(found) == 1 else np.concatenate([self.pieces[p] for p in found])
-        return [self.words[word] for word in words]
+                others.update(part)
+        for word in sorted(others):
+            ids.append(self._whole(word.decode()))
+            sizes.append(np.array([len(ids[-1])]))
+            names.append(word)
+        sizes = np.concatenate(sizes)
+        self.place.update(zip(names, range(len(self.sizes), len(self.sizes) + len(names)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, *ids])
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and the number in each."""
-        flat, counts = common.words_of(column, lower=False)
+        texts = pc.fill_null(column.cast(pa.string()), "")
+        cut = pc.replace_substring_regex(pc.utf8_lower(texts), _NO_LETTERS, r" \1 ")
+        flat, counts = common.words_of(pc.if_else(pc.match_substring_regex(texts, _UNSAFE_TEXT), texts, cut), lower=False)
         coded = flat.cast(pa.binary()).dictionary_encode()
-        vectors = self.encode_words(coded.dictionary.to_pylist())
-        sizes = np.array([len(v) for v in vectors], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        pool = np.concatenate(vectors) if vectors else np.zeros(0, np.uint32)
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        each = sizes[index]
-        ids = pool[ragged(starts[index], each)]
+        distinct = coded.dictionary.to_pylist()
+        if len(self.place) > _CACHE_LIMIT:
+            self._clear()
+        if missing := [w for w in distinct if w not in self.place]:
+            self._learn(missing)
+        places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
+        each = self.sizes[places]
+        ids = self.pool[ragged(self.starts[places], each)]
         word_ends = np.concatenate([[0], np.cumsum(each)])
         doc_ends = word_ends[np.cumsum(counts)]
         if end_id is None:
@@ -176,7 +180,7 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
             held, count, block, first = [], 0, block + 1, first + len(ids)
             return row
 
-        for batch in common.slices(batches, limit=1 << 20):
+        for batch in common.slices(batches, limit=4 << 20):
             ids, lengths = tokenizer.encode(batch.column("text"), end_id)
             held.append((batch.column("doc_id").to_pylist(), lengths, ids))
             count += len(ids)

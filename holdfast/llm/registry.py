@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, decontaminate, hyper_langid, license_scan, mixing, ordinal_quality, quality_rules, token_store, toxicity
+from . import common, decontaminate, hyper_langid, license_scan, mixing, ordinal_quality, pitman_yor, quality_rules, token_store, toxicity
 
 
 def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
     ),
     "op3_mix_sources": _over_documents(mixing.mix_sources),
+    "op4_score_texts": _over_documents(pitman_yor.score_texts),
     "op5_toxic_documents": _with_labels(toxicity.toxic_documents),
     "op6_graded_documents": _with_labels(ordinal_quality.graded_documents),
     "op7_token_store": _over_documents(token_store.token_digests),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, decontaminate, hyper_langid, license_scan, mixing, ordinal_quality, pitman_yor, quality_rules, token_store, toxicity
+from . import common, decontaminate, hyper_langid, jaccard_join, license_scan, mixing, ordinal_quality, pitman_yor, quality_rules, token_store, toxicity
 
 
 def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_contaminated_documents": lambda spark, sf_dir: decontaminate.contaminated_documents(
         common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")
     ),
+    "op2_joined_documents": _over_documents(jaccard_join.joined_documents),
     "op3_mix_sources": _over_documents(mixing.mix_sources),
     "op4_score_texts": _over_documents(pitman_yor.score_texts),
     "op5_toxic_documents": _with_labels(toxicity.toxic_documents),
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_contaminated_documents": decontaminate.DECONTAMINATION_SQL,
+    "op2_joined_documents": jaccard_join.NEAR_DUPLICATES_SQL,
     "op3_mix_sources": mixing.MIX_SQL,
     "op9_scanned_documents": license_scan.scan_sql(),
 }

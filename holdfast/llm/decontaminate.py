@@ -384,3 +384,25 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM doc_words LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
 """
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, hit_part: int = HIT_PART, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without contaminated rows.
+
+    With one block of benchmark items this is one pass over whole rows; with more, marks are joined by row number.
+    """
+    blocks = benchmark_blocks(benchmark, block_bytes)
+    items, more = next(blocks, []), next(blocks, None)
+    if more is None:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = Phrases(items)
+            for batch in common.slices(batches):
+                n_words, spans, _ = search_shard(phrases, common.text_bytes(batch.column("text")))
+                n_hit = np.array([sum(e - s for s, e in own) for own in spans], np.int64)
+                yield batch.filter(pa.array((n_hit == 0) | (hit_part * n_hit < np.array(n_words, np.int64))))
+
+        return docs.mapInArrow(run, docs.schema)
+    keyed = common.materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
+    marks = verdicts(mark(keyed.select(F.col("_row").alias("doc_id"), "text"), benchmark, block_bytes), hit_part)
+    return keyed.join(marks.where("contaminated").select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")

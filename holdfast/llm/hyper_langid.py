@@ -157,6 +157,17 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> LanguageProfiles:
     return LanguageProfiles([lang for lang, _ in found], np.array([v for _, v in found], np.float64).reshape(len(found), dimensions))
 
 
+def predict(texts: list[str], profiles: LanguageProfiles, letters: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest language's number (that of languages where there is no letter) and its cosine."""
+    codes, counts = group_counts(texts)
+    best, score = np.full(len(texts), len(profiles.languages)), np.zeros(len(texts))
+    known = counts.sum(1) > 0
+    if len(profiles.languages) and known.any():
+        cosines = profiles.cosines(counts[known] @ bound(codes, letters).astype(np.float32))
+        best[known], score[known] = cosines.argmax(1), np.clip(cosines.max(1), 0, 1)
+    return best, score
+
+
 def identify(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIMENSIONS) -> DataFrame:
     """doc_id, held_out, lang_pred and the cosine as score (0 where it is negative)."""
 
@@ -164,14 +175,7 @@ def identify(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIME
         letters = letter_vectors(dimensions)
         names = np.array([*profiles.languages, UNDETERMINED], object)
         for batch in groups(batches):
-            codes, counts = group_counts(_texts(batch))
-            vectors = counts @ bound(codes, letters).astype(np.float32) if len(codes) else np.zeros((batch.num_rows, dimensions), np.float32)
-            known = counts.sum(1) > 0
-            best, score = np.full(batch.num_rows, len(names) - 1), np.zeros(batch.num_rows)
-            if len(names) > 1 and known.any():
-                cosines = profiles.cosines(vectors[known])
-                best[known] = cosines.argmax(1)
-                score[known] = np.clip(cosines.max(1), 0, 1)
+            best, score = predict(_texts(batch), profiles, letters, dimensions)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": pa.array(names[best], pa.string()), "score": score}
             )
@@ -185,3 +189,16 @@ def identify(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIME
 def identified_documents(docs: DataFrame) -> DataFrame:
     """Contract of op8."""
     return identify(docs, train(docs))
+
+
+def keep_identified(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIMENSIONS) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined: one pass over whole rows, no join."""
+    schema = docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters = letter_vectors(dimensions)
+        for batch in groups(batches):
+            best = predict(_texts(batch), profiles, letters, dimensions)[0]
+            yield batch.filter(pa.array(best < len(profiles.languages)))
+
+    return docs.mapInArrow(run, schema)

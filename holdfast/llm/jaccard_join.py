@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -405,3 +405,18 @@ reach(x, y) AS (
 SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, w.doc_id)::BIGINT AS component_id
 FROM worded w LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c USING (doc_id)
 """
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component, that with the smallest doc_id; rows with a null doc_id stay.
+
+    Of rows that share that doc_id the first by text stays.
+    """
+    found = near_duplicates(docs)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
+    if not ids.count():
+        return kept
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    return kept.withColumn("_n", number).where("_n = 1 or doc_id is null").drop("_n")

@@ -1,0 +1,79 @@
+"""Run logs: carried ids, error blocks, latest outcomes, retry sets, counters."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# Fixed pattern: both wordings of the line that opens an error block.
+BLOCK = r"-- Ordinal (\d+) \((M\d+)\) for ([0-9a-f]{32}): SDC sync failed(?: after retries)?; skipping ordinal\."
+TRANSIENT = r"(?i)timeout|timed out|connection (?:reset|aborted)|maxlag|readonly|502|503|504"
+
+
+def carry_forward(lines: DataFrame, by: list[str], order: list[str], value: Column, name: str = "carried") -> DataFrame:
+    """The last value seen at or before each line."""
+    over = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn(name, F.last(value, ignorenulls=True).over(over))
+
+
+def blocks(lines: DataFrame, by: list[str], order: list[str], opens: Column, closes: Column) -> DataFrame:
+    """Lines from each opening one up to the next that closes or opens, with the block's number; other lines go."""
+    over = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    numbered = lines.withColumn("_cut", F.sum((opens | closes).cast("int")).over(over)).withColumn("block", F.sum(opens.cast("int")).over(over))
+    first = Window.partitionBy(*by, "_cut").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return numbered.withColumn("_open", F.first(opens).over(first)).where("_open").drop("_cut", "_open")
+
+
+def failed_ordinals(log: DataFrame) -> DataFrame:
+    """Log lines (file, line_no, text) -> the error blocks: item, ordinal, entity, whether the cause passes."""
+    opens, closes = F.col("text").rlike(BLOCK), F.col("text").rlike(r"^\[(?:INFO|ERROR)\]")
+    found = blocks(log, ["file"], ["line_no"], opens, closes & ~opens)
+    return found.groupBy("file", "block").agg(
+        F.max(F.nullif(F.regexp_extract("text", BLOCK, 3), F.lit(""))).alias("id"),
+        F.max(F.nullif(F.regexp_extract("text", BLOCK, 1), F.lit(""))).cast("int").alias("ordinal"),
+        F.max(F.nullif(F.regexp_extract("text", BLOCK, 2), F.lit(""))).alias("entity"),
+        F.bool_or(F.col("text").rlike(TRANSIENT)).alias("transient"),
+    )
+
+
+def latest_outcome(outcomes: DataFrame, key: list[str], run: str) -> DataFrame:
+    """(key, run, outcome) -> the outcome of each key's last run; within a run, 'retry' beats 'done'."""
+    order = Window.partitionBy(*key).orderBy(F.desc(run), F.desc(F.col("outcome") == "retry"))
+    return outcomes.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*key, run, "outcome")
+
+
+def retry_sets(download: DataFrame, upload: DataFrame, sync: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
+    """What each phase must run again; an earlier phase takes an item from the later ones."""
+    only = lambda df: df.select(*key).distinct()
+    d = only(download).join(only(done), key, "left_anti")
+    u = only(upload).join(d, key, "left_anti")
+    s = only(sync).join(u, key, "left_anti").join(d, key, "left_anti")
+    return d.withColumn("phase", F.lit("download")).union(u.withColumn("phase", F.lit("upload"))).union(s.withColumn("phase", F.lit("sync")))
+
+
+def counters(rows: DataFrame, result: str, amount: str | None = None) -> DataFrame:
+    """Totals by result that are not zero."""
+    total = F.count("*") if amount is None else F.sum(amount)
+    return rows.groupBy(F.col(result).alias("result")).agg(total.alias("n")).where("n > 0")
+
+
+def counter_diff(now: DataFrame, before: DataFrame) -> DataFrame:
+    """What each counter gained since a snapshot."""
+    joined = now.alias("a").join(before.alias("b"), "result", "full")
+    return joined.select("result", (F.coalesce("a.n", F.lit(0)) - F.coalesce("b.n", F.lit(0))).alias("delta"))
+
+
+def merge_counters(parts: list[DataFrame]) -> DataFrame:
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("result").agg(F.sum("n").alias("n"))
+
+
+def systemic_failure(synced: Column, failed: Column) -> Column:
+    """Something failed, and nothing was synced or half of all failed."""
+    return (failed > 0) & ((synced == 0) | (failed / (failed + synced) >= 0.5))
+
+
+def item_outcome(synced: Column, error: Column) -> Column:
+    return F.when(synced & error, "PARTIAL").when(synced, "SYNCED").when(error, "ERROR").otherwise("MAPPING")

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What a page title replaces, in order; later rules see what earlier ones made.
 TITLE_REPLACEMENTS = (
@@ -90,12 +91,12 @@ def statement_value(text: Column) -> Column:
     return strip(F.regexp_replace(out, r"[\x00-\x1F\x7F-\x{9F}]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(values: pd.Series) -> pd.Series:
     return values.map(lambda v: unicodedata.normalize("NFC", v), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def casefolded(values: pd.Series) -> pd.Series:
     return values.map(str.casefold, na_action="ignore")
 
@@ -121,7 +122,7 @@ def chunk_text(text: str, limit: int = CHUNK_LENGTH) -> list[str]:
     return [*parts, text[at:]]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _chunks(values: pd.Series) -> pd.Series:
     return values.map(chunk_text, na_action="ignore")
 

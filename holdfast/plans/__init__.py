@@ -1,5 +1,7 @@
 """The operators applied to the driver's tables, each with SQL that gives the same rows."""
 
 from .archive import ARCHIVE
+from .logs import LOGS
+from .texts import TEXTS
 
-REGISTRIES = [ARCHIVE]
+REGISTRIES = [ARCHIVE, TEXTS, LOGS]

@@ -119,3 +119,10 @@ def provenance_trace(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT conv_id AS page, arg_min(role, turn) AS user FROM conversations GROUP BY conv_id")
 def oldest_editor(spark: SparkSession, d: str) -> DataFrame:
     return provenance.first_editor(_revisions(spark, d))
+
+
+@query(f"WITH {LOG_SQL} SELECT date_trunc('hour', ts) AS start, event_type AS result, count(*) AS n FROM log GROUP BY 1, 2")
+def windowed_counters(spark: SparkSession, d: str) -> DataFrame:
+    from ..streaming import runlog
+
+    return runlog.windowed_counters(log(spark, d))

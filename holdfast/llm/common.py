@@ -83,12 +83,6 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-#: Bytes of `[^\x20\x09-\x0D]+`: all others separate words, as bytes.split() has it.
-def lower_ascii(data: bytes) -> bytes:
-    """Lower-case A-Z alone; bytes of other characters stay."""
-    return data.lower()
-
-
 def words_of(column: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray]:
     """All words `[^\\x20\\x09-\\x0D]+` of the texts, as binary, and the number in each text (null: none)."""
     texts = pc.fill_null(column.cast(pa.string()), "")
@@ -103,3 +97,17 @@ def words_of(column: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray]:
         counts = np.bincount(owner[full], minlength=len(counts)).astype(np.int64)
         flat = flat.filter(pa.array(full))
     return flat, counts
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices starts[i] .. starts[i] + sizes[i] - 1 for each i in turn."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    while base in df.columns:
+        base = f"_{base}"
+    return base

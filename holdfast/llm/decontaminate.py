@@ -403,6 +403,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, hit_part: int = HIT_PART,
                 yield batch.filter(pa.array((n_hit == 0) | (hit_part * n_hit < np.array(n_words, np.int64))))
 
         return docs.mapInArrow(run, docs.schema)
-    keyed = common.materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "decontaminate")
-    marks = verdicts(mark(keyed.select(F.col("_row").alias("doc_id"), "text"), benchmark, block_bytes), hit_part)
-    return keyed.join(marks.where("contaminated").select(F.col("doc_id").alias("_row")), "_row", "left_anti").drop("_row")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    keyed = common.materialize(docs.select(F.monotonically_increasing_id().alias("row"), whole), "decontaminate")
+    marks = verdicts(mark(keyed.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), benchmark, block_bytes), hit_part)
+    return keyed.join(marks.where("contaminated").select(F.col("doc_id").alias("row")), "row", "left_anti").select("doc.*")

@@ -118,19 +118,18 @@ def position_of(epoch: Column, schedules=SCHEDULES) -> Column:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, schedules=SCHEDULES) -> DataFrame:
     """The mixed corpus: a row for each copy taken, in training order, with the columns of ``docs`` and ``_position``."""
     plan = plan_mix(docs, weights, max_epochs, schedules).where("copies > 0")
-    # equal ids and texts are one key: each of its rows has its own plan row, paired by number
-    number = Window.partitionBy("_key", "_id").orderBy(F.lit(0))
-    mine = plan.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", "source_size", "target", "rank", "offset", "copies")
-    keyed = docs.withColumn("_key", shuffle_key()).withColumn("_id", F.col("doc_id")).withColumn("_source", F.col("source"))
-    number = Window.partitionBy("_key", "_id", "_source").orderBy("_key")
-    mine = mine.withColumn("_n", F.row_number().over(number))
-    joined = keyed.withColumn("_n", F.row_number().over(number)).alias("d").join(
-        mine.alias("p"),
+    # whole rows go in one column, so that theirs and the plan's names cannot meet
+    keyed = docs.select(shuffle_key().alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    mine = plan.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.struct("size", "source_size", "target", "rank", "offset", "copies").alias("_plan"))
+    # equal ids, texts and sources are one key: each of its rows has its own plan row, paired by number
+    number = F.row_number().over(Window.partitionBy("_key", "_id", "_source").orderBy("_key"))
+    joined = keyed.withColumn("_n", number).alias("d").join(
+        mine.withColumn("_n", number).alias("p"),
         (F.col("d._key") == F.col("p._key")) & F.col("d._id").eqNullSafe(F.col("p._id")) & F.col("d._source").eqNullSafe(F.col("p._source")) & (F.col("d._n") == F.col("p._n")),
     )
-    copies = joined.select("d.*", "p.size", "p.source_size", "p.target", "p.rank", "p.offset", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("_epoch"))
-    out = copies.select(*[F.col(f"`{c}`") for c in docs.columns], position_of(F.col("_epoch"), schedules).alias("_position"), F.col("_key"))
-    return out.repartitionByRange("_position", "_key").sortWithinPartitions("_position", "_key").drop("_key")
+    copies = joined.select("d._key", "d._doc", "p._plan.*", F.explode(F.sequence(F.lit(0), F.col("p._plan.copies").cast("int") - 1)).alias("_epoch"))
+    out = copies.select("_doc", position_of(F.col("_epoch"), schedules).alias("_position"), "_key")
+    return out.repartitionByRange("_position", "_key").sortWithinPartitions("_position", "_key").select("_doc.*", "_position")
 
 
 def mix_sources(docs: DataFrame) -> DataFrame:

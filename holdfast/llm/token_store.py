@@ -120,7 +120,7 @@ class WordTokenizer:
             self._learn(missing)
         places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
         each = self.sizes[places]
-        ids = self.pool[ragged(self.starts[places], each)]
+        ids = self.pool[common.ragged(self.starts[places], each)]
         word_ends = np.concatenate([[0], np.cumsum(each)])
         doc_ends = word_ends[np.cumsum(counts)]
         if end_id is None:
@@ -129,13 +129,6 @@ class WordTokenizer:
         return ids, np.diff(doc_ends, prepend=0) + 1
 
 
-def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices starts[i] .. starts[i] + sizes[i] - 1 for each i in turn."""
-    ends = np.cumsum(sizes)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
-
-
 _TOKENIZERS: dict[str | None, WordTokenizer] = {}
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 LARGE_FILE = 95 * 1024 * 1024
 CHUNK = 20_000_000
+# What exit codes mean.
+EXIT_HINTS = {2: "rejected its arguments", 124: "timed out", 130: "SIGINT (Ctrl-C)", 134: "SIGABRT", 137: "SIGKILL — likely OOM", 139: "SIGSEGV", 143: "SIGTERM"}
 
 
 def level(unlimited: Column) -> Column:
@@ -19,7 +21,12 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    return F.when(n >= 1e9, F.format_string("%.1f GB", n / 1e9)).when(n >= 1e6, F.format_string("%.1f MB", n / 1e6)).when(n >= 1e3, F.format_string("%.1f KB", n / 1e3)).otherwise(F.format_string("%d B", n.cast("bigint")))
+    """One decimal in the largest unit of 1,024 that leaves 1 or more."""
+    out, size = F.format_string("%,.1f PB", n / 1024.0**5), 1024.0**5
+    for unit in ("TB", "GB", "MB", "KB", "B"):
+        out = F.when(n < size, F.format_string(f"%,.1f {unit}", n / (size / 1024))).otherwise(out)
+        size /= 1024
+    return out
 
 
 def progress(done: Column, total: Column) -> Column:
@@ -28,9 +35,14 @@ def progress(done: Column, total: Column) -> Column:
 
 
 def upload_chunk(size: Column, exists: Column) -> Column:
-    """Bytes a chunk of a large new file; 0 sends the file at once."""
-    return F.when((size > LARGE_FILE) & ~exists, CHUNK).otherwise(0)
+    """Bytes a chunk; 0 sends a file that exists at once, unless it is too large for that."""
+    return F.when(exists & (size <= LARGE_FILE), 0).otherwise(CHUNK)
 
 
 def exit_text(code: Column) -> Column:
-    return F.when(code == 0, "ok").when(code > 128, F.concat(F.lit("signal "), (code - 128).cast("string"))).otherwise(F.concat(F.lit("exit "), code.cast("string")))
+    """What an exit code says; empty for success."""
+    hint = F.lit(None).cast("string")
+    for n, words in EXIT_HINTS.items():
+        hint = F.when(code == n, words).otherwise(hint)
+    hint = F.coalesce(hint, F.when(code > 128, F.concat(F.lit("signal "), (code - 128).cast("string"))))
+    return F.when(code == 0, "").otherwise(F.concat(F.lit(" (exit "), code.cast("string"), F.coalesce(F.concat(F.lit(" — "), hint), F.lit("")), F.lit(")")))

@@ -16,9 +16,9 @@ TITLE_REPLACEMENTS = (
 )
 TITLE_LENGTH = 181
 # Sequences that wiki text must not hold, removed in order.
-RESERVED_WIKITEXT = ("|", "{{", "}}", "[[", "]]", "''", "==")
+RESERVED_WIKITEXT = ("|", "=", "[[", "]]", "{{", "}}", "''")
 # Code points that statement values must not hold.
-BAD_CHARACTERS = "\u0000‎‏￾￿"
+BAD_CHARACTERS = "\ufeff\u200e\u200f\ufffe\uffff"
 VALUE_LENGTH, CHUNK_LENGTH = 1499, 1500
 WHITE = r"(?U)\s+"
 

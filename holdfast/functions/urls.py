@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MIN_TOKEN = 6
-CONTENTDM = r"/(?:cdm/ref|digital)/collection/[^/]+/id/\d+"
+CONTENTDM = r"(?i)^https?://[^/]+/(?:digital|cdm(?:/ref)?)/collection/[^/]+/id/\d+(?:/.*)?$"
 
 
 def authority(url: Column) -> Column:
@@ -48,7 +48,7 @@ def contentdm_manifest(url: Column) -> Column:
 
 
 def search_url(name: Column, hub: Column) -> Column:
-    return F.concat(F.lit("https://dp.la/search?provider="), F.url_encode(F.concat(F.lit('"'), name, F.lit('"'))), F.lit("&partner="), F.url_encode(hub))
+    return F.concat(F.lit("https://dp.la/search?provider="), F.url_encode(F.concat(F.lit('"'), name, F.lit('"'))), F.lit("&partner="), F.url_encode(F.concat(F.lit('"'), hub, F.lit('"'))))
 
 
 def repaired_scheme(url: Column) -> Column:

@@ -1,0 +1,114 @@
+"""Templates in wiki text: a small parser that minds nesting, and what rests on it."""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_OPEN_CLOSE = re.compile(r"\{\{|\}\}|\[\[|\]\]|\||=")
+# Wiki magic words and what they stand for.
+MAGIC_WORDS = {"{{!}}": "|", "{{=}}": "=", "{{((}}": "{{", "{{))}}": "}}", "{{!(}}": "{|", "{{)!}}": "|}"}
+_MAGIC = re.compile("|".join(re.escape(w) for w in sorted(MAGIC_WORDS, key=len, reverse=True)))
+
+
+def find_template(text: str, name: str) -> tuple[int, int] | None:
+    """Where the first template of that name begins and ends (case of the first letter and underscores don't count)."""
+    wanted = name.replace("_", " ").strip().casefold()
+    depth, starts = 0, []
+    for found in re.finditer(r"\{\{|\}\}", text):
+        if found[0] == "{{":
+            starts.append(found.start())
+            depth += 1
+        elif starts:
+            start = starts.pop()
+            depth -= 1
+            head = re.split(r"[|}]", text[start + 2 : found.start()], maxsplit=1)[0]
+            if head.replace("_", " ").strip().casefold() == wanted:
+                return start, found.end()
+    return None
+
+
+def parameters(text: str | None, name: str) -> dict[str, str] | None:
+    """The template's parameters, unnamed ones by number; pipes and equal signs inside inner templates and links stay."""
+    place = find_template(text or "", name)
+    if place is None:
+        return None
+    body = (text or "")[place[0] + 2 : place[1] - 2]
+    parts, depth, last, equals = [], 0, 0, None
+    marks: list[tuple[int, int | None]] = []
+    for found in _OPEN_CLOSE.finditer(body):
+        if found[0] in ("{{", "[["):
+            depth += 1
+        elif found[0] in ("}}", "]]"):
+            depth = max(0, depth - 1)
+        elif depth == 0 and found[0] == "|":
+            marks.append((last, equals))
+            parts.append(body[last : found.start()])
+            last, equals = found.end(), None
+        elif depth == 0 and equals is None:
+            equals = found.start()
+    marks.append((last, equals))
+    parts.append(body[last:])
+    out, number = {}, 0
+    for part, (start, at) in list(zip(parts, marks, strict=True))[1:]:
+        if at is None:
+            number += 1
+            out[str(number)] = part.strip()
+        else:
+            out[part[: at - start].strip()] = part[at - start + 1 :].strip()
+    return out
+
+
+def template_parameters(text: Column, name: str) -> Column:
+    """map of parameters, null where the template is not there; only texts with the name leave the JVM."""
+
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
+    def parse(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else parameters(v, name))
+
+    near = F.contains(F.lower(F.translate(text, "_", " ")), F.lit(name.replace("_", " ").lower()))
+    return F.when(near, parse(F.when(near, text)))
+
+
+def unescape_magic(text: str) -> str:
+    """Magic words replaced in one pass, so that what a replacement makes is not replaced again."""
+    return _MAGIC.sub(lambda m: MAGIC_WORDS[m[0]], text)
+
+
+@F.pandas_udf(T.StringType())
+def magic_unescaped(values: pd.Series) -> pd.Series:
+    return values.map(unescape_magic, na_action="ignore")
+
+
+def unwrap_language(value: Column) -> Column:
+    """struct(text, language) of a flat {{xx|text}} or {{xx|1=text}}; other values are English as they are."""
+    shape = r"^\s*\{\{\s*([a-z]{2,3}(?:-[a-z]+)?)\s*\|\s*(?:1\s*=\s*)?([^{}|]*?)\s*\}\}\s*$"
+    return F.when(value.rlike(shape), F.struct(F.regexp_extract(value, shape, 2).alias("text"), F.regexp_extract(value, shape, 1).alias("language"))).otherwise(
+        F.struct(value.alias("text"), F.lit("en").alias("language"))
+    )
+
+
+def institution_of(value: Column) -> Column:
+    """The entity of an institution, bare or in its template."""
+    bare = F.nullif(F.regexp_extract(value, r"^\s*(Q\d+)\s*$", 1), F.lit(""))
+    inner = F.nullif(F.regexp_extract(value, r"(?i)\{\{\s*institution\s*\|[^{}]*?wikidata\s*=\s*(Q\d+)", 1), F.lit(""))
+    return F.coalesce(bare, inner)
+
+
+def split_extra(value: Column, canonical: Column) -> Column:
+    """What stands after the first line break or tab of a value that begins with the canonical one; else null."""
+    at = F.regexp_instr(value, F.lit(r"[\n\r\t]"))
+    head = F.lower(F.trim(F.substr(value, F.lit(1), at - 1)))
+    return F.when((at > 0) & (head == F.lower(F.trim(canonical))), F.substr(value, at))
+
+
+def normalize(text: Column, name: str, expected: Column) -> Column:
+    """struct(kept, stripped): the template's parameters that differ from the expected ones, and the names of those that
+    do not (white space and case at the ends apart)."""
+    own = template_parameters(text, name)
+    same = lambda k, v: F.coalesce(F.lower(F.trim(F.try_element_at(expected, k))) == F.lower(F.trim(v)), F.lit(False))
+    return F.struct(F.map_filter(own, lambda k, v: ~same(k, v)).alias("kept"), F.array_sort(F.map_keys(F.map_filter(own, same))).alias("stripped"))

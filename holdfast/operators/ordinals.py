@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 MAX_MISSES, CEILING = 2, 500
 # Media types that are staged only, and those that are never taken.
-DOWNLOAD_ONLY = ("video/mp4", "video/mpeg", "video/quicktime", "video/x-msvideo", "audio/mpeg")
-INVALID = ("application/json", "application/xml", "text/html", "text/plain", "text/xml")
+DOWNLOAD_ONLY = ("video/mp4", "video/x-msvideo", "video/quicktime", "audio/x-ms-wma", "video/x-ms-wmv")
+INVALID = (
+    "text/html", "application/json", "application/xml", "text/xml", "text/plain", "application/msword", "application/octet-stream", "application/rtf",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+    "application/vnd.openxmlformats-officedocument.presentationml.presentation", "application/vnd.ms-excel", "application/vnd.ms-powerpoint",
+)
 
 
 def page_labels(ordinals: DataFrame) -> DataFrame:

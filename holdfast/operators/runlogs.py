@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 # Fixed pattern: both wordings of the line that opens an error block.
 BLOCK = r"-- Ordinal (\d+) \((M\d+)\) for ([0-9a-f]{32}): SDC sync failed(?: after retries)?; skipping ordinal\."
-TRANSIENT = r"(?i)timeout|timed out|connection (?:reset|aborted)|maxlag|readonly|502|503|504"
+# Errors that a plain retry is likely to pass.
+TRANSIENT_ERRORS = (
+    "MaxlagTimeoutError", "ServerError", "ReadTimeoutError", "ReadTimeout", "ConnectTimeoutError", "EndpointConnectionError", "ChunkedEncodingError",
+    "ProtocolError", "ConnectionError", "internal_api_error_DBQueryError", "internal_api_error_DBConnectionError", "editconflict", "failed-save", "readonly",
+    "ratelimited", "maxlag", "SlowDown", "RequestTimeout", "ServiceUnavailable", "InternalError",
+)
+TRANSIENT = "|".join(TRANSIENT_ERRORS)
 
 
 def carry_forward(lines: DataFrame, by: list[str], order: list[str], value: Column, name: str = "carried") -> DataFrame:

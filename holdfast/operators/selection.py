@@ -108,6 +108,6 @@ def targets_of_entity(institutions: DataFrame, maintain: bool = False) -> DataFr
 
 
 def title_order(items: DataFrame, title: str, length: int = 64) -> DataFrame:
-    """Items with the key that lists them by title: folded, without leading punctuation, then by id."""
-    key = F.regexp_replace(F.lower(F.substring(F.coalesce(F.col(title), F.lit("")), 1, length)), r"^[^\p{L}\p{N}]+", "")
+    """Items with the key that lists them by title: folded, without leading quotes and brackets, then by id."""
+    key = F.ltrim(F.lower(F.substring(F.coalesce(F.col(title), F.lit("")), 1, length)), F.lit(" \"'(<[-_."))
     return items.withColumn("sort_key", F.concat(key, F.lit("\u0000"), F.col("id").cast("string")))

@@ -11,18 +11,22 @@ from pyspark.sql import functions as F
 from ..functions import text
 
 # Properties and their entities that contributed statements use.
-CONTRIBUTOR, ROLE, COLLECTION = "P9126", "P3831", "P195"
-AGGREGATOR, HUB, INSTITUTION = "Q2944483", "Q393351", "Q108296843"
+CONTRIBUTOR = "P9126"
+SELF, AGGREGATOR, REPOSITORY, CUSTODIAL = "Q2944483", "Q393351", "Q108296843", "Q108296919"
 PUBLIC_DOMAIN, COPYRIGHTED = "Q19652", "Q50423863"
 STATUS, LICENSE, STATEMENT = "P6216", "P275", "P6426"
 
 
-def contributed(items: DataFrame) -> DataFrame:
-    """(id, hub, hub_qid, inst, inst_qid): aggregator, hub and institution, each with its role; a hub that is its own
-    institution is named once."""
-    row = lambda seq, qid, role: F.struct(F.lit(seq).alias("seq"), F.lit(CONTRIBUTOR).alias("prop"), qid.alias("value"), F.lit(role).alias("role"))
-    hub = F.when(F.col("hub_qid") != F.col("inst_qid"), row(2, F.col("hub_qid"), HUB))
-    rows = F.array_compact(F.array(row(1, F.lit(AGGREGATOR), AGGREGATOR), hub, F.when(F.col("inst_qid").isNotNull(), row(3, F.col("inst_qid"), INSTITUTION))))
+def contributed(items: DataFrame, content_hubs: list[str]) -> DataFrame:
+    """(id, hub_qid, inst_qid): this aggregator, the hub and the institution, each with its role.  A content hub is the
+    repository itself and its institution a department; any other hub aggregates, and the institution is the repository."""
+    content = F.col("hub_qid").isin(*content_hubs)
+    row = lambda seq, qid, role: F.struct(F.lit(seq).alias("seq"), F.lit(CONTRIBUTOR).alias("prop"), qid.alias("value"), role.alias("role"))
+    rows = F.array(
+        row(1, F.lit(SELF), F.lit(AGGREGATOR)),
+        row(2, F.col("hub_qid"), F.when(content, REPOSITORY).otherwise(AGGREGATOR)),
+        row(3, F.col("inst_qid"), F.when(content, CUSTODIAL).otherwise(REPOSITORY)),
+    )
     return items.select("id", F.explode(rows).alias("s")).select("id", "s.*")
 
 

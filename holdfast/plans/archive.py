@@ -137,7 +137,7 @@ def readiness_domain(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT page_id, regexp_matches(url, '/(?:cdm/ref|digital)/collection/[^/]+/id/\\d+') AS contentdm, contains(html, 'manifest.json') AS iiif, contains(html, '<img') AS media FROM pages"""
+    """SELECT page_id, regexp_matches(url, '(?i)^https?://[^/]+/(?:digital|cdm(?:/ref)?)/collection/[^/]+/id/\\d+(?:/.*)?$') AS contentdm, contains(html, 'manifest.json') AS iiif, contains(html, '<img') AS media FROM pages"""
 )
 def media_platform_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", urls.is_contentdm(F.col("url")).alias("contentdm"), F.contains("html", F.lit("manifest.json")).alias("iiif"), F.contains("html", F.lit("<img")).alias("media"))
@@ -232,13 +232,13 @@ def download_decision(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {INSTITUTIONS_SQL}, {ITEMS_SQL}, i AS (SELECT id, hub_qid, inst_qid FROM items JOIN institutions USING (hub, inst))
-SELECT id, 1 AS seq, 'P9126' AS prop, 'Q2944483' AS value, 'Q2944483' AS role FROM i
-UNION ALL SELECT id, 2, 'P9126', hub_qid, 'Q393351' FROM i WHERE hub_qid <> inst_qid
-UNION ALL SELECT id, 3, 'P9126', inst_qid, 'Q108296843' FROM i WHERE inst_qid IS NOT NULL"""
+    f"""WITH {INSTITUTIONS_SQL}, {ITEMS_SQL}, i AS (SELECT id, hub_qid, inst_qid FROM items JOIN institutions USING (hub, inst) WHERE inst_qid IS NOT NULL)
+SELECT id, 1 AS seq, 'P9126' AS prop, 'Q2944483' AS value, 'Q393351' AS role FROM i
+UNION ALL SELECT id, 2, 'P9126', hub_qid, CASE WHEN hub_qid IN ('Q3', 'Q7') THEN 'Q108296843' ELSE 'Q393351' END FROM i
+UNION ALL SELECT id, 3, 'P9126', inst_qid, CASE WHEN hub_qid IN ('Q3', 'Q7') THEN 'Q108296919' ELSE 'Q108296843' END FROM i"""
 )
 def claims_contributed(spark: SparkSession, d: str) -> DataFrame:
-    return statements.contributed(items(spark, d).join(institutions(spark, d), ["hub", "inst"]).select("id", "hub_qid", "inst_qid"))
+    return statements.contributed(items(spark, d).join(institutions(spark, d), ["hub", "inst"]).where("inst_qid is not null").select("id", "hub_qid", "inst_qid"), ["Q3", "Q7"])
 
 
 @query(
@@ -377,7 +377,7 @@ def stale_series(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey AS id, coalesce(lower(regexp_replace(substr(o_orderpriority, 1, 64), '^[^\\p{L}\\p{N}]+', '')), '') || chr(0) || o_orderkey AS sort_key FROM orders"""
+    """SELECT o_orderkey AS id, ltrim(lower(substr(o_orderpriority, 1, 64)), ' "''(<[-_.') || chr(0) || o_orderkey AS sort_key FROM orders"""
 )
 def title_order(spark: SparkSession, d: str) -> DataFrame:
     return selection.title_order(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority"), "o_orderpriority").select("id", "sort_key")

@@ -66,7 +66,7 @@ def slugify(spark: SparkSession, d: str) -> DataFrame:
     return joined.select(F.col("c_custkey").alias("id"), text.slug(F.concat("c_name", F.lit(" & "), "n_name")).alias("slug"))
 
 
-_VALUE = r"regexp_replace(regexp_replace(translate(text, chr(8206) || chr(8207) || chr(65534) || chr(65535), ''), '[\x00-\x1F\x7F-\x{9F}]+', ' ', 'g'), '^[\s\x0B\x{A0}]+|[\s\x0B\x{A0}]+$', '', 'g')"
+_VALUE = r"regexp_replace(regexp_replace(translate(text, chr(65279) || chr(8206) || chr(8207) || chr(65534) || chr(65535), ''), '[\x00-\x1F\x7F-\x{9F}]+', ' ', 'g'), '^[\s\x0B\x{A0}]+|[\s\x0B\x{A0}]+$', '', 'g')"
 
 
 @query(f"SELECT doc_id, nfc_normalize({_VALUE}) AS value FROM documents")

@@ -30,7 +30,7 @@ def test_error_blocks_of_both_wordings(spark):
     lines = [
         "[INFO] start",
         f"[ERROR] x -- Ordinal 3 (M12) for {item}: SDC sync failed; skipping ordinal.",
-        "Traceback: Connection reset",
+        "Traceback: ConnectionError",
         f"[ERROR] x -- Ordinal 4 (M13) for {item}: SDC sync failed after retries; skipping ordinal.",
         "ValueError",
         "[INFO] next",

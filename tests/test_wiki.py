@@ -1,0 +1,28 @@
+from pyspark.sql import functions as F
+
+from holdfast.functions import wiki
+
+TEXT = "x {{Artwork |title = {{en|1=A|b}} |date={{other date|~|1900}} | [[File:a.jpg|thumb]] |plain|url=http://a?b=c}} y"
+
+
+def test_parameters_mind_nesting():
+    assert wiki.parameters(TEXT, "artwork") == {"title": "{{en|1=A|b}}", "date": "{{other date|~|1900}}", "1": "[[File:a.jpg|thumb]]", "2": "plain", "url": "http://a?b=c"}
+    assert wiki.parameters(TEXT, "other_date") == {"1": "~", "2": "1900"}
+    assert wiki.parameters("{{broken", "broken") is None and wiki.parameters(None, "x") is None
+    assert wiki.parameters("{{x}}", "x") == {}
+
+
+def test_magic_words_in_one_pass():
+    assert wiki.unescape_magic("a{{!}}b{{((}}!}}") == "a|b{{!}}"
+
+
+def test_columns(spark):
+    df = spark.createDataFrame([(TEXT,), ("nothing",), (None,)], "t string")
+    assert [r[0] and r[0]["2"] for r in df.select(wiki.template_parameters(F.col("t"), "Artwork")).collect()] == ["plain", None, None]
+    one = lambda v, f: tuple(spark.createDataFrame([(v,)], "v string").select(f(F.col("v")).alias("r")).first()["r"] or ())
+    assert one("{{de|1= Haus }}", wiki.unwrap_language) == ("Haus", "de")
+    assert one("Haus", wiki.unwrap_language) == ("Haus", "en")
+    got = spark.createDataFrame([("Q5", "Title\nmore", "title"), ("{{Institution|wikidata=Q7}}", "Other\nmore", "title")], "q string, v string, c string")
+    assert [tuple(r) for r in got.select(wiki.institution_of(F.col("q")), wiki.split_extra(F.col("v"), F.col("c"))).collect()] == [("Q5", "\nmore"), ("Q7", None)]
+    row = df.limit(1).select(wiki.normalize(F.col("t"), "Artwork", F.create_map(F.lit("2"), F.lit("Plain "), F.lit("date"), F.lit("1901"))).alias("r")).first()["r"]
+    assert row["stripped"] == ["2"] and "date" in row["kept"]

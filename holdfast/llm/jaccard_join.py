@@ -41,8 +41,12 @@ LOCAL_HOT = 8
 HOT_SHINGLES = 20_000
 #: Sets of a group that are compared with all others before components are known.
 HUBS = 3
+#: Members of groups with one first member that are compared through one table of pairs.
+ROUTE = 8192
 #: Members of a group that are compared with each other in one task.
 BLOCK = 4096
+#: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
 SUMMARY = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, hot bigint, hot_count bigint"
@@ -86,9 +90,9 @@ def digest(own: np.ndarray) -> tuple[int, int]:
 
 
 def parity_bits(own: np.ndarray) -> bytes:
-    """A bitmap of at least as many bits as the set has shingles, a power of two; each shingle flips a bit."""
+    """A bitmap of at least twice as many bits as the set has shingles, a power of two; each shingle flips a bit."""
     size = 64
-    while size < len(own):
+    while size < 2 * len(own):
         size *= 2
     flips = np.bincount((own & _U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
@@ -216,7 +220,8 @@ def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBa
 
 
 def groups_of(keys: DataFrame) -> DataFrame:
-    """(gid, node): the members of each group of two nodes or more.  Groups with equal members are one (in a task)."""
+    """(gid, hub, node): the members of each group of two nodes or more, and its first.  Groups with equal members are
+    one (in a task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -236,9 +241,9 @@ def groups_of(keys: DataFrame) -> DataFrame:
             take = many[place[new]]
             if len(take):
                 rows = np.repeat(heads[take] - (np.cumsum(sizes[take]) - sizes[take]), sizes[take]) + np.arange(int(sizes[take].sum()))
-                yield pa.RecordBatch.from_pydict({"gid": np.repeat(gid[take], sizes[take]), "node": node[rows]})
+                yield pa.RecordBatch.from_pydict({"gid": np.repeat(gid[take], sizes[take]), "hub": np.repeat(node[heads[take]], sizes[take]), "node": node[rows]})
 
-    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "gid bigint, node bigint")
+    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "gid bigint, hub bigint, node bigint")
 
 
 class Members:
@@ -248,6 +253,9 @@ class Members:
         self.sizes, self.width = sizes, np.array([len(s) // 8 for s in sigs], np.int64)
         self.sigs = [np.frombuffer(s, "<u8") for s in sigs]
 
+    def only(self, chosen: np.ndarray) -> Members:
+        return Members(self.sizes[chosen], [self.sigs[i].tobytes() for i in chosen.tolist()])
+
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether each pair of members may be similar: by size and by parity bits."""
         sa, sb = self.sizes[a], self.sizes[b]
@@ -272,56 +280,57 @@ class Members:
         return bits
 
 
-def star_pairs(node: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A few members, each with all others."""
-    n = len(node)
-    a, b = [], []
-    for k in range(min(HUBS, n - 1)):
-        hub = int(np.argmin(mix(node.view(np.uint64) + _U(k)))) if k else 0
-        a.append(np.full(n - 1, hub))
-        b.append(np.delete(np.arange(n), hub))
-    return np.concatenate(a), np.concatenate(b)
-
-
-def cross_pairs(node: np.ndarray, comp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Members of different components, a row of the triangle at a time (several rows where it is small)."""
-    n, a, b, held = len(node), [], [], 0
-    for i in range(n - 1):
-        others = i + 1 + np.flatnonzero(comp[i + 1 :] != comp[i])
-        a.append(np.full(len(others), i))
-        b.append(others)
-        held += len(others)
-        if held > 1 << 16:
-            yield np.concatenate(a), np.concatenate(b)
-            a, b, held = [], [], 0
-    if held:
-        yield np.concatenate(a), np.concatenate(b)
+def star_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
+    """Mark a few members of a group, each with all others that are not known to be of its component."""
+    for k in range(min(HUBS, len(own) - 1)):
+        hub = own[int(np.argmin(mix(node[own].view(np.uint64) + _U(k)))) if k else 0]
+        together[hub, own[comp[own] != comp[hub]]] = True
+
+
+def cross_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
+    """Mark every two members of a group that are of different components."""
+    together[np.ix_(own, own)] |= comp[own][:, None] < comp[own][None, :]
 
 
-def candidates(members: DataFrame, choose: Callable) -> DataFrame:
-    """(gid, node, size, sig, comp) -> (u, v) pairs of a group that may be similar."""
+def candidates(members: DataFrame, mark: Callable) -> DataFrame:
+    """(gid, route, node, size, sig, comp) -> (u, v) pairs of a group that may be similar.
+
+    Groups with the same first member go to one task, which compares each pair once: near copies have many groups in
+    common.  Where they have more than ROUTE members together, a group is taken at a time.
+    """
+
+    def pairs_of(node, comp, sets: Members, groups: list[np.ndarray]) -> Iterator[np.ndarray]:
+        together = np.zeros((len(node), len(node)), bool)
+        for own in groups:
+            mark(node, comp, together, own)
+        step = max(1, (1 << 22) // len(node))
+        for i in range(0, len(node), step):
+            a, b = np.nonzero(together[i : i + step])
+            good = sets.near(a + i, b)
+            u, v = node[a[good] + i], node[b[good]]
+            yield np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "gid"):
-            gid, node, comp = (batch.column(c).to_numpy() for c in ("gid", "node", "comp"))
-            sizes, sigs = batch.column("n_shingles").to_numpy(), batch.column("sig").to_pylist()
-            heads = np.flatnonzero(np.concatenate([[True], gid[1:] != gid[:-1]]))
-            us, vs = [], []
+        for batch in runs(batches, "route"):
+            route, gid, every = (batch.column(c).to_numpy() for c in ("route", "gid", "node"))
+            comps, sizes, sigs = batch.column("comp").to_numpy(), batch.column("n_shingles").to_numpy(), batch.column("sig")
+            heads = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
             for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(gid)], strict=True):
-                if e - s < 2:
+                node, first, place = np.unique(every[s:e], return_index=True, return_inverse=True)
+                if len(node) < 2:
                     continue
-                own = Members(sizes[s:e], sigs[s:e])
-                found = choose(node[s:e], comp[s:e])
-                for a, b in [found] if isinstance(found, tuple) else found:
-                    good = own.near(a, b)
-                    us.append(node[s:e][a[good]])
-                    vs.append(node[s:e][b[good]])
-            if us:
-                u, v = np.concatenate(us), np.concatenate(vs)
-                pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
-                yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
+                comp, sets = comps[s:e][first], Members(sizes[s:e][first], sigs.take(pa.array(s + first)).to_pylist())
+                cuts = np.flatnonzero(gid[s + 1 : e] != gid[s : e - 1]) + 1
+                groups = [g for g in np.split(place, cuts) if len(g) > 1]
+                if len(node) <= ROUTE:
+                    found = pairs_of(node, comp, sets, groups)
+                else:
+                    found = (p for g in groups for p in pairs_of(node[g], comp[g], sets.only(g), [np.arange(len(g))]))
+                for pairs in found:
+                    if len(pairs):
+                        yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
 
-    return members.repartition("gid").sortWithinPartitions("gid", "node").mapInArrow(run, "u bigint, v bigint").where("u <> v").distinct()
+    return members.repartition("route").sortWithinPartitions("route", "gid", "node").mapInArrow(run, "u bigint, v bigint").where("u <> v").distinct()
 
 
 def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -335,7 +344,10 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 union = np.array([len(a) + len(b) for a, b in zip(left, right, strict=True)], np.int64) - shared
                 yield part.select(["u", "v"]).filter(pa.array((100 * shared >= 75 * union) & (union > 0)))
 
-    texts = docs.where("doc_id is not null")
+    pairs = common.materialize(pairs, "pairs")
+    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+    small = ids.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
     both = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
     return both.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint")
 
@@ -348,7 +360,8 @@ def in_blocks(members: DataFrame) -> DataFrame:
     dealt = members.join(sizes.select("gid", blocks.alias("blocks")), "gid").withColumn("mine", mine)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     meeting = F.when(F.col("blocks") == 1, F.col("gid")).otherwise(F.xxhash64("gid", F.least("mine", "other"), F.greatest("mine", "other")))
-    return dealt.withColumn("gid", meeting).drop("blocks", "mine", "other")
+    dealt = dealt.withColumn("route", F.when(F.col("blocks") == 1, F.col("hub")).otherwise(meeting))
+    return dealt.withColumn("gid", meeting).drop("blocks", "mine", "other", "hub")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -365,19 +378,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     groups = common.materialize(groups_of(index_keys(docs, index)), "groups")
     sigs = named.select(F.col("doc_id").alias("node"), "n_shingles", "sig")
-    members = groups.join(sigs, "node")
-    first = verify(candidates(in_blocks(members.withColumn("comp", F.col("node"))), star_pairs), docs)
+    # First each set within two of its groups: near copies have most groups in common, and meet in the same ones.
+    own_groups = groups.groupBy("node").agg(F.array_distinct(F.array(F.min(F.struct("gid", "hub")), F.max(F.struct("gid", "hub")))).alias("g"))
+    start = own_groups.select("node", F.explode("g").alias("g")).select("node", "g.gid", "g.hub").withColumn("comp", F.col("node")).join(sigs, "node")
+    links = verify(candidates(in_blocks(start), star_pairs), docs)
     same = reps.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    links = common.materialize(first.union(same.where("u <> v")), "links")
-    labels = components(links)
-
-    # groups whose members are still apart: all pairs of different components
-    labelled = groups.join(labels, "node", "left").select("gid", "node", F.coalesce("component", "node").alias("comp"))
-    apart = labelled.groupBy("gid").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("gid")
-    rest = labelled.join(apart, "gid").join(sigs, "node")
-    second = common.materialize(verify(candidates(in_blocks(rest), cross_pairs), docs), "links")
-    if second.count():
-        labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second))
+    labels = components(links.union(same.where("u <> v")))
+
+    # Then, in all groups whose members are still apart, members of different components: a few with all others, and
+    # at last every two.
+    for choose in (star_pairs, cross_pairs):
+        labelled = groups.join(labels, "node", "left").select("gid", "hub", "node", F.coalesce("component", "node").alias("comp"))
+        apart = labelled.groupBy("gid").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("gid")
+        rest = labelled.join(apart, "gid").join(sigs, "node")
+        more = common.materialize(verify(candidates(in_blocks(rest), choose), docs), "links")
+        if more.count():
+            labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
     out = own.join(labels, own["doc_id"] == labels["node"], "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -419,4 +435,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if not ids.count():
         return kept
     number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    return kept.withColumn("_n", number).where("_n = 1 or doc_id is null").drop("_n")
+    n = common.fresh_name(kept, "_n")
+    return kept.withColumn(n, number).where((F.col(n) == 1) | F.col("doc_id").isNull()).drop(n)

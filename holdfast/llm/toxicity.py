@@ -124,9 +124,9 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = 12, batch: int = 64, se
             ids = ids[counts[ids] > 0]
             if not len(ids):
                 continue
-            words = index[np.concatenate([np.arange(first_word[i], first_word[i] + counts[i]) for i in ids])]
+            words = index[common.ragged(first_word[ids], counts[ids])]
             own, inverse = np.unique(words, return_inverse=True)
-            grams = slots[np.concatenate([np.arange(first_slot[w], first_slot[w] + n[w]) for w in own])]
+            grams = slots[common.ragged(first_slot[own], n[own])]
             starts = np.cumsum(n[own]) - n[own]
             vectors = np.add.reduceat(embeddings[grams], starts) / n[own][:, None]
             first, sizes = window_starts(counts[ids])
@@ -147,11 +147,10 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = 12, batch: int = 64, se
             d_windows = (d_logits @ weights.T) / sizes[:, None]
             d_words = np.repeat(d_windows, sizes, axis=0)
             d_own = np.stack([np.bincount(inverse, d_words[:, k], len(own)) for k in range(DIMENSIONS)], 1) / n[own][:, None]
-            touched, place = np.unique(grams, return_inverse=True)
             spread = np.repeat(d_own, n[own], axis=0)
-            d_grams = np.stack([np.bincount(place, spread[:, k], len(touched)) for k in range(DIMENSIONS)], 1)
-            e_sum[touched] += (d_grams**2).sum(1)
-            embeddings[touched] -= rate * d_grams / np.sqrt(e_sum[touched])[:, None]
+            d_grams = np.stack([np.bincount(grams, spread[:, k], BUCKETS) for k in range(DIMENSIONS)], 1)
+            e_sum += (d_grams**2).sum(1)
+            embeddings -= rate * d_grams / np.sqrt(e_sum)[:, None]
             w_sum, b_sum = w_sum + (d_weights**2).sum(), b_sum + (d_bias**2).sum()
             weights -= 0.5 * rate * d_weights / np.sqrt(w_sum)
             bias -= 0.5 * rate * d_bias / np.sqrt(b_sum)

@@ -89,9 +89,9 @@ class Parts:
             for all_slots, starts, counts in grams:
                 if counts[i]:
                     found, n = np.unique(all_slots[starts[i] : starts[i] + counts[i]], return_counts=True)
-                    slots.append(found)
-                    values.append(SCALE * n / counts[i])
-            out.append((np.concatenate(slots), np.concatenate(values)) if slots else (np.zeros(0, np.int64), np.zeros(0)))
+                    slots.append(found.astype(np.int32))
+                    values.append((SCALE * n / counts[i]).astype(np.float32))
+            out.append((np.concatenate(slots), np.concatenate(values)) if slots else (np.zeros(0, np.int32), np.zeros(0, np.float32)))
         return out
 
 
@@ -109,15 +109,24 @@ class Sparse:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
         self.counts = np.array([len(s) for s, _ in rows], np.int64)
-        self.slots = np.concatenate([s for s, _ in rows]) if rows else np.zeros(0, np.int64)
-        self.values = np.concatenate([v for _, v in rows]).astype(np.float32) if rows else np.zeros(0, np.float32)
+        self.slots = np.concatenate([s for s, _ in rows]) if rows else np.zeros(0, np.int32)
+        self.values = np.concatenate([v for _, v in rows]) if rows else np.zeros(0, np.float32)
         self.starts = np.cumsum(self.counts) - self.counts
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return sums(weights[self.slots] * self.values, self.starts, self.counts)
+        out = np.zeros(len(self.counts))
+        for i in range(0, len(out), 256):
+            own = slice(i, i + 256)
+            part = slice(self.starts[i], self.starts[i] + int(self.counts[own].sum()))
+            out[own] = sums(weights[self.slots[part]] * self.values[part], self.starts[own] - self.starts[i], self.counts[own])
+        return out
 
     def transposed_dot(self, rows: np.ndarray) -> np.ndarray:
-        return np.bincount(self.slots, self.values * np.repeat(rows, self.counts), SIZE)
+        out = np.zeros(SIZE)
+        for i in range(0, len(self.counts), 256):  # a part at a time keeps temporary arrays small
+            part = slice(self.starts[i], self.starts[i] + int(self.counts[i : i + 256].sum()))
+            out += np.bincount(self.slots[part], self.values[part] * np.repeat(rows[i : i + 256], self.counts[i : i + 256]), SIZE)
+        return out
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ from . import common
 from . import hashed_text as ht
 
 #: Bounds of the labelled sample: rows, bytes of text.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 48 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 24 << 20
 MODULUS, HELD = 4, 2
 GRADES = 3
 #: Kept: at least this probability of grade TAIL or more.

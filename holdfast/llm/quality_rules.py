@@ -21,7 +21,7 @@ from . import common
 from . import hashed_text as ht
 
 #: Bounds of the labelled sample: rows, bytes of text.  A third of it calibrates.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 48 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 3000, 24 << 20
 MIN_WORDS, MAX_REPEATED_PERCENT = 50, 50
 #: Kept: at least this probability of good quality.
 THRESHOLD = 0.5

@@ -1,17 +1,20 @@
 """Language-model scores by a hierarchical Pitman-Yor process.
 
-Restaurants form a hierarchy.  At the bottom of each word's probability is the word restaurant: its customers are the
-corpus's words, its tables are served by the letter restaurants.  Those have a context each (the last ``ORDER`` letters
-of the word so far); a context's tables are customers of the context that is one letter shorter, which all contexts with
-that ending share; the empty context draws from a uniform base.
+Restaurants form a hierarchy.  Each word of the corpus has a restaurant for what follows it (the ends of texts have one for
+their first words); its customers are the corpus's tokens.  The tables of all of these are customers of the one word
+restaurant, which they share as parent; its tables are customers of the letter restaurants.  Those have a context each
+(the last ``ORDER`` letters of the word so far); a context's tables are customers of the context that is one letter
+shorter, which all contexts with that ending share; the empty context draws from a uniform base.
 
 As in the plain base score, all words that training has not seen are one type: its probability in the word restaurant's
 base is what the letter restaurants leave for words outside the training vocabulary.
 
-Seating is sampled by Gibbs sweeps, each of which seats anew the customers of every dish given its restaurant's tables
-and its parent's probability; predictive probabilities are averaged over sweeps after a burn-in.  Letters are put in
-``SYMBOLS`` classes (a-z and 0-9 have their own), which bounds the letter restaurants whatever the corpus; a letter's
-probability within its class is its smoothed share.  The word restaurant grows with the corpus and stays distributed.
+Seating is sampled by sweeps over the whole hierarchy.  Each seats anew the customers of every dish given its
+restaurant's present tables and its parent's probability, and passes the sampled tables up as the parent's customers:
+from pairs of words to words, from words to letters.  Predictive probabilities are averaged over sweeps after a burn-in.
+A pair that occurs once has one table.  Letters are put in ``SYMBOLS`` classes (a-z and 0-9 have their own), which bounds
+the letter restaurants whatever the corpus; a letter's probability within its class is its smoothed share.  Word and pair
+restaurants grow with the corpus and stay distributed; words are told apart by 64-bit hashes there.
 
 Tokens: words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z, then one end for each text.  Learns from rows whose
 crc32(doc_id as text) mod 7 is not 2.
@@ -22,10 +25,11 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,15 +39,17 @@ MODULUS, HELD = 7, 2
 SYMBOLS, ORDER = 64, 3
 STRENGTH = 1.0
 SWEEPS, BURN_IN = 12, 6
-#: Samples of the word restaurant's seating.
-SEATINGS = 4
+#: Sweeps over pairs, words and letters; the letter restaurants make SWEEPS of their own in each.
+WORD_SWEEPS, WORD_BURN_IN = 3, 1
+#: Name of the boundary between texts, as the word before a text's first and as the end.
+BOUNDARY = 1
 #: Probability of an end in the word restaurant's base.
 END_BASE = 1e-3
 #: Customers seated one by one; later ones in growing groups.
 ONE_BY_ONE = 32
 LN10 = np.log(10.0)
 
-SHARD_SCHEMA = "shard bigint, local int, word string, tf bigint, doc_id bigint, held_out boolean, n_tokens bigint, bag binary"
+SHARD_SCHEMA = "shard bigint, local int, word string, h bigint, tf bigint, code bigint, u bigint, w bigint, doc_id bigint, held_out boolean, n_tokens bigint, tokens binary"
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
@@ -213,48 +219,61 @@ def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- distributed counts
 
 
+def word_names(words: list[bytes]) -> np.ndarray:
+    """64-bit names of the words, and last that of the boundary."""
+    return np.array([*(xxhash.xxh64_intdigest(w) for w in words), BOUNDARY], np.uint64).view(np.int64)
+
+
 def shard_texts(docs: DataFrame) -> DataFrame:
-    """Cut documents into shards: a row for each distinct word of a shard (with its training count) and one for each
-    document (its bag of the shard's words)."""
+    """Cut documents into shards: a row for each distinct word of a shard and one for each distinct pair of neighbours
+    (with their training counts), and one for each document (the shard's numbers of its words, then of the end)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId() << 32
         schema = pa.schema(
-            [("shard", pa.int64()), ("local", pa.int32()), ("word", pa.string()), ("tf", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("bag", pa.binary())]
+            [("shard", pa.int64()), ("local", pa.int32()), ("word", pa.string()), ("h", pa.int64()), ("tf", pa.int64()), ("code", pa.int64()), ("u", pa.int64()), ("w", pa.int64())]
+            + [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("tokens", pa.binary())]
         )
+
+        def rows(m: int, **columns: pa.Array) -> pa.RecordBatch:
+            columns["shard"] = pa.array(np.full(m, shard))
+            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
+
         for batch in common.slices(batches):
             flat, counts = common.words_of(batch.column("text"), lower=True)
             coded = flat.dictionary_encode()
             index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
             held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             n = len(coded.dictionary)
+            names = word_names(coded.dictionary.cast(pa.binary()).to_pylist())
             learnt = np.bincount(index[np.repeat(~held, counts)], minlength=n)
-            nothing = lambda kind, m: pa.nulls(m, kind)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, shard)), pa.array(np.arange(n, dtype=np.int32)), coded.dictionary.cast(pa.string()), pa.array(learnt), nothing(pa.int64(), n), nothing(pa.bool_(), n), nothing(pa.int64(), n), nothing(pa.binary(), n)],
-                schema=schema,
-            )
-            bags, ends = [], np.cumsum(counts)
-            for s, e in zip((ends - counts).tolist(), ends.tolist(), strict=True):
-                own, tf = np.unique(index[s:e], return_counts=True)
-                bags.append(own.astype("<u4").tobytes() + tf.astype("<u4").tobytes())
+            yield rows(n, local=pa.array(np.arange(n, dtype=np.int32)), word=coded.dictionary.cast(pa.string()), h=pa.array(names[:n]), tf=pa.array(learnt))
+            ends = np.cumsum(counts + 1)
+            tokens = np.full(int(ends[-1]), n, np.int64)
+            tokens[np.delete(np.arange(len(tokens)), ends - 1)] = index
+            code, place = np.unique(pair_codes(tokens, n), return_inverse=True)
+            tf = np.bincount(place, np.repeat(~held, counts + 1), len(code)).astype(np.int64)
+            yield rows(len(code), code=pa.array(code), u=pa.array(names[code // (n + 1)]), w=pa.array(names[code % (n + 1)]), tf=pa.array(tf))
+            own = [part.astype("<u4").tobytes() for part in np.split(tokens, ends[:-1])]
             m = batch.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(m, shard)), nothing(pa.int32(), m), nothing(pa.string(), m), nothing(pa.int64(), m), batch.column("doc_id"), batch.column("held_out"), pa.array(counts + 1), pa.array(bags, pa.binary())],
-                schema=schema,
-            )
+            yield rows(m, local=pa.array(np.full(m, n, np.int32)), doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=pa.array(counts + 1), tokens=pa.array(own, pa.binary()))
             shard += 1
 
-    rows = docs.select(
+    own = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (common.fold("doc_id", MODULUS) == HELD).alias("held_out"), F.col("text").cast("string").alias("text")
     )
-    return rows.mapInArrow(run, SHARD_SCHEMA)
+    return own.mapInArrow(run, SHARD_SCHEMA)
+
+
+def pair_codes(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Each token with the one before it, as one number; n is the boundary."""
+    return np.concatenate([[n], tokens[:-1]]) * (n + 1) + tokens
 
 
 def letter_counts(words: DataFrame) -> LetterModel:
-    """Train the letter restaurants on the distinct words, one customer for each.
+    """Train the letter restaurants on (word, tables), a customer for each table.
 
     What is gathered is bounded: SYMBOLS ** (ORDER + 1) contexts with a letter, and the code points there are.
     """
@@ -262,109 +281,188 @@ def letter_counts(words: DataFrame) -> LetterModel:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            code, points, ends = letter_codes(batch.column(0).to_pylist())
+            if not batch.num_rows:
+                continue
+            code, points, ends = letter_codes(batch.column("word").to_pylist())
+            weight = np.repeat(batch.column("tables").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(ends, prepend=-1))
             inside = np.ones(len(code), bool)
             inside[ends] = False
             # code points as negative keys
             new = np.concatenate([code, -1 - points[inside]])
             keys, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            sums = np.bincount(place, np.concatenate([sums, np.ones(len(new))]), len(keys)).astype(np.int64)
+            sums = np.bincount(place, np.concatenate([sums, weight, weight[inside]]), len(keys)).astype(np.int64)
         yield pa.RecordBatch.from_pydict({"key": keys, "n": sums})
 
-    found = words.select("word").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
+    found = words.where("word is not null").select("word", "tables").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
     key, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
     return LetterModel(key[key >= 0], n[key >= 0], dict(zip((-1 - key[key < 0]).tolist(), n[key < 0].tolist(), strict=True)))
 
 
-def _hashes(words: list[str]) -> np.ndarray:
-    import zlib
+def _with(df: DataFrame, name: str, make: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """``df`` with a column of doubles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(make(batch), pa.float64())], names=[*batch.schema.names, name])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{kept}, {name} double")
+
+
+def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False)
 
-    return _mixed(np.fromiter((zlib.crc32(w.encode()) | len(w) << 32 for w in words), np.uint64, len(words)))
 
+def _log_bases(batch: pa.RecordBatch, letters: LetterModel) -> np.ndarray:
+    words = batch.column("word").to_pylist()
+    real = np.array([w is not None for w in words], bool)
+    out = np.full(len(words), np.log(END_BASE))
+    out[real] = letters.log_probability([w for w in words if w is not None]) + np.log1p(-END_BASE)
+    return out
 
-def _tables(counts: np.ndarray, log_base: np.ndarray, hashes: np.ndarray, discount: float, types: int, seating: int) -> np.ndarray:
-    mass = (STRENGTH + discount * types) * np.exp(np.clip(log_base, -700, 0))
-    return seat(counts, mass, discount, hashes, seating + 1)
+
+def _discount(once: int, twice: int) -> float:
+    return float(np.clip(once / (once + 2 * twice), 0.1, 0.9)) if once + twice else 0.5
+
+
+class Sweeps:
+    """Samples of the seating of all word restaurants.
+
+    pairs: (u, w, c), the pairs that training has twice or more; words: (h, word, c, after, before) with the numbers of
+    pairs that it has once, from the word and to it.  ``words`` gets columns served_k (tables of the restaurant of what
+    follows) and p_k (probability in the word restaurant) for each sample k, ``pairs`` t_k (tables).
+    """
+
+    def __init__(self, pairs: DataFrame, words: DataFrame, pair_discount: float):
+        self.pair_discount, self.discount, self.unseen = pair_discount, 0.5, []
+        letters = letter_counts(words.withColumn("tables", F.lit(1.0)))
+        words = common.materialize(_with(words, "lp", lambda b: _log_bases(b, letters)), "vocabulary")
+        pairs, total = pairs.withColumn("t", F.lit(1.0)), None
+        for sweep in range(WORD_SWEEPS):
+            after = pairs.groupBy(F.col("u").alias("h")).agg(F.sum("t").alias("more_after"))
+            before = pairs.groupBy(F.col("w").alias("h")).agg(F.sum("t").alias("more_before"))
+            own = words.join(after, "h", "left").join(before, "h", "left")
+            own = own.withColumn("served", F.col("after") + F.coalesce("more_after", F.lit(0.0))).withColumn("customers", F.col("before") + F.coalesce("more_before", F.lit(0.0)))
+            own = common.materialize(own.drop("more_after", "more_before", "tables"), "customers")
+            if total is None:  # one table a word at first
+                facts = own.agg(F.count("*").alias("n"), F.count_if(F.col("customers") == 1).alias("once"), F.count_if(F.col("customers") == 2).alias("twice")).first()
+                total, self.discount = facts["n"], _discount(facts["once"], facts["twice"])
+            own = common.materialize(_with(own, "tables", self._word_seats(total, sweep)), "seated").drop("lp")
+            letters = letter_counts(own)
+            words = common.materialize(_with(own, "lp", lambda b, letters=letters: _log_bases(b, letters)), "vocabulary")
+            # whole numbers, so that sums do not depend on the order of tasks
+            mass = F.sum(F.when(F.col("word").isNotNull(), F.floor(F.exp("lp") * 2.0**52)).otherwise(0))
+            facts = words.agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"), mass.alias("mass")).first()
+            total, every = facts["tables"] or 0.0, facts["customers"] or 0.0
+            drawn = (STRENGTH + self.discount * total) / (STRENGTH + every)
+            p = F.greatest(F.col("customers") - self.discount * F.col("tables"), F.lit(0.0)) / (STRENGTH + every) + F.exp("lp") * drawn
+            words = words.withColumn("p", p)
+            if sweep >= WORD_BURN_IN:
+                k = sweep - WORD_BURN_IN
+                words, pairs = words.withColumn(f"served_{k}", F.col("served")).withColumn(f"p_{k}", F.col("p")), pairs.withColumn(f"t_{k}", F.col("t"))
+                self.unseen.append(float(drawn * np.clip(1 - END_BASE - (facts["mass"] or 0) / 2**52, 1e-6, 1)))
+            if sweep + 1 < WORD_SWEEPS:
+                known = pairs.drop("t").join(words.select(F.col("h").alias("u"), "served"), "u").join(words.select(F.col("h").alias("w"), "p"), "w")
+                pairs = common.materialize(_with(known, "t", self._pair_seats(sweep)).drop("served", "p"), "pair_seats")
+            words = words.drop("served", "p", "customers")
+        self.words, self.pairs = words, pairs
+
+    def _word_seats(self, total: float, sweep: int) -> Callable[[pa.RecordBatch], np.ndarray]:
+        discount = self.discount
+
+        def make(batch: pa.RecordBatch) -> np.ndarray:
+            mass = (STRENGTH + discount * total) * np.exp(np.clip(_numbers(batch, "lp"), -700, 0))
+            return seat(_numbers(batch, "customers").astype(np.int64), mass, discount, _mixed(_numbers(batch, "h").astype(np.int64).view(np.uint64)), sweep + 1)
+
+        return make
+
+    def _pair_seats(self, sweep: int) -> Callable[[pa.RecordBatch], np.ndarray]:
+        discount = self.pair_discount
+
+        def make(batch: pa.RecordBatch) -> np.ndarray:
+            mass = (STRENGTH + discount * _numbers(batch, "served")) * _numbers(batch, "p")
+            u, w = (_numbers(batch, c).astype(np.int64).view(np.uint64) for c in ("u", "w"))
+            return seat(_numbers(batch, "c"), mass, discount, _mixed(u * np.uint64(0x9E3779B97F4A7C15) + w), sweep + 1)
+
+        return make
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """Contract of op4."""
     staged = common.materialize(shard_texts(docs), "shards")
-    by_word = Window.partitionBy("word")
+    by_word, by_pair = Window.partitionBy("word"), Window.partitionBy("u", "w")
     words = staged.where("word is not null").select(
-        "shard", "local", "word", F.sum("tf").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("shard")) == 1).alias("first")
+        "shard", "local", "h", "word", F.sum("tf").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("shard")) == 1).alias("first")
     )
     words = common.materialize(words, "words")
     learnt = words.where("first and c > 0")
-    facts = learnt.agg(F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
+    pairs = staged.where("code is not null").select(
+        "u", "w", "tf", "shard", "code", F.sum("tf").over(by_pair).alias("c"), (F.row_number().over(by_pair.orderBy("shard")) == 1).alias("first")
+    )
+    # a pair that training has once, here, is known to its shard
+    alone = F.col("c") == F.col("tf")
+    pairs = pairs.where("c > 0").select("u", "w", "c", "first", F.when(~(alone & (F.col("c") == 1)), F.col("shard")).alias("shard"), F.when(~(alone & (F.col("c") == 1)), F.col("code")).alias("code"))
+    pairs = common.materialize(pairs, "pairs")
+    facts = learnt.agg(F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     ends = staged.where("n_tokens is not null and not held_out").count()
     n, types = facts["n"] + ends, facts["types"] + (ends > 0)
-    discount = float(np.clip(facts["once"] / (facts["once"] + 2 * facts["twice"]), 0.1, 0.9)) if facts["once"] + facts["twice"] else 0.5
-    letters = letter_counts(learnt)
-
-    def log_base(own: list[str]) -> np.ndarray:
-        return letters.log_probability(own) + np.log1p(-END_BASE)
-
-    def count_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, mass = np.zeros(SEATINGS, np.int64), 0.0
-        for batch in batches:
-            own, counts = batch.column("word").to_pylist(), batch.column("c").to_numpy(zero_copy_only=False)
-            base, hashes = log_base(own), _hashes(own)
-            total += np.array([_tables(counts, base, hashes, discount, types, s).sum() for s in range(SEATINGS)], np.int64)
-            mass += float(np.exp(base).sum())
-        # whole numbers, so that sums do not depend on the order of tasks
-        yield pa.RecordBatch.from_pydict({"seating": np.arange(SEATINGS), "tables": total, "mass": np.full(SEATINGS, int(mass * 2**52))})
-
-    seated = learnt.select("word", "c").mapInArrow(count_tables, "seating bigint, tables bigint, mass bigint").groupBy("seating").agg(F.sum("tables").alias("tables"), F.sum("mass").alias("mass")).collect()
-    tables, seen_mass = np.zeros(SEATINGS), 0.0
-    for row in seated:
-        tables[row["seating"]], seen_mass = row["tables"], row["mass"] / 2**52
-    log_unseen = float(np.log(np.clip(1 - END_BASE - seen_mass, 1e-6, 1)))
-    tables += ends > 0
-
-    def log_predictive(counts: np.ndarray, base: np.ndarray, own_tables: list[np.ndarray]) -> np.ndarray:
-        each = []
-        for s in range(SEATINGS):
-            drawn = np.log(STRENGTH + discount * tables[s]) + base
-            kept = np.maximum(counts - discount * own_tables[s], 0)
-            each.append(np.logaddexp(drawn, np.log(np.maximum(kept, 1e-300))) - np.log(STRENGTH + n))
-        return np.logaddexp.reduce(each, axis=0) - np.log(SEATINGS)
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            own = coded.dictionary.to_pylist()
-            index = coded.indices.to_numpy(zero_copy_only=False)
-            counts = np.zeros(len(own), np.int64)
-            counts[index] = batch.column("c").to_numpy(zero_copy_only=False)
-            base, hashes = np.where(counts > 0, log_base(own), log_unseen), _hashes(own)
-            value = log_predictive(counts, base, [_tables(counts, base, hashes, discount, types, s) for s in range(SEATINGS)]) / LN10
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("local"), pa.array(counts[index]), pa.array(value[index].astype(np.float64))], names=["shard", "local", "c", "log_p"]
-            )
-
-    end_value = float(log_predictive(np.array([ends]), np.array([np.log(END_BASE)]), [np.array([float(ends > 0)])] * SEATINGS)[0]) / LN10
+    once = pairs.where("first and c = 1")
+    twice = pairs.where("first and c = 2").count()
+    vocabulary = learnt.groupBy("h").agg(F.min("word").alias("word"), F.sum("c").alias("c"))
+    if ends:
+        vocabulary = vocabulary.union(docs.sparkSession.range(1).select(F.lit(BOUNDARY).cast("bigint"), F.lit(None).cast("string"), F.lit(ends).cast("bigint")))
+    for column, name in (("u", "after"), ("w", "before")):
+        vocabulary = vocabulary.join(once.groupBy(F.col(column).alias("h")).agg(F.count("*").alias(name)), "h", "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("double"))
+    vocabulary = common.materialize(vocabulary.select("h", "word", "c", "after", "before"), "vocabulary")
+    seen = Sweeps(pairs.where("first and c > 1").select("u", "w", "c"), vocabulary, _discount(once.count(), twice))
+    samples, unseen, discount = range(len(seen.unseen)), seen.unseen, seen.pair_discount
+    tables, chances, seats = [f"served_{k}" for k in samples], [f"p_{k}" for k in samples], [f"t_{k}" for k in samples]
+    edge = seen.words.where(F.col("h") == BOUNDARY).select(*tables, *chances).first()
+    edge_tables = [edge[c] for c in tables] if edge else [0.0] * len(unseen)
+    edge_chances = [edge[c] for c in chances] if edge else [END_BASE] * len(unseen)
     bottom = np.log10(n + types + 1)
 
     def total(_key, own: pa.Table, texts: pa.Table) -> pa.Table:
-        local = own.column("local").to_numpy()
-        counts, values = np.zeros(len(local), np.int64), np.zeros(len(local))
-        counts[local], values[local] = own.column("c").to_numpy(), own.column("log_p").to_numpy()
+        size = texts.column("local")[0].as_py()
+        of_word, code = own.column("local").is_valid().to_numpy(), own.column("code").to_numpy()
+        local = own.column("local").to_numpy()[of_word].astype(np.int64)
+        counts = np.zeros(size + 1, np.int64)
+        counts[local], counts[size] = own.column("c").to_numpy()[of_word], ends
+        own_pairs = np.flatnonzero(~of_word)
+        own_pairs = own_pairs[np.argsort(code[own_pairs])]
+        pair_code, pair_count = code[own_pairs].astype(np.int64), own.column("c").to_numpy()[own_pairs]
+
+        lengths = texts.column("n_tokens").to_numpy()
+        tokens = np.frombuffer(b"".join(texts.column("tokens").to_pylist()), "<u4").astype(np.int64)
+        learnt_here = np.repeat(~texts.column("held_out").to_numpy().astype(bool), lengths)
+        distinct, place = np.unique(pair_codes(tokens, size), return_inverse=True)
+        # pairs without a row are those that training has not, or once and here
+        customers = np.bincount(place, learnt_here, len(distinct))
+        at = np.minimum(np.searchsorted(pair_code, distinct), max(len(pair_code) - 1, 0))
+        shared = pair_code[at] == distinct if len(pair_code) else np.zeros(len(distinct), bool)
+        customers[shared] = pair_count[at[shared]]
+        u, w = distinct // (size + 1), distinct % (size + 1)
+        chance = np.zeros(len(distinct))
+        for k in samples:
+            served, p, t = np.zeros(size + 1), np.full(size + 1, unseen[k]), np.minimum(customers, 1)
+            known = counts[local] > 0
+            served[local[known]], p[local[known]] = own.column(tables[k]).to_numpy()[of_word][known], own.column(chances[k]).to_numpy()[of_word][known]
+            served[size], p[size] = edge_tables[k], edge_chances[k]
+            t[shared] = own.column(seats[k]).to_numpy()[own_pairs][at[shared]]
+            chance += (np.maximum(customers - discount * t, 0) + (STRENGTH + discount * served[u]) * p[w]) / (STRENGTH + counts[u])
+        value = np.log10(np.maximum(chance / len(unseen), 1e-300))[place]
+        starts = np.cumsum(lengths) - lengths
         plain = np.log10(counts + 1) - bottom
-        known = counts > 0
-        rows = []
-        for bag in texts.column("bag").to_pylist():
-            pairs = np.frombuffer(bag, "<u4").astype(np.int64)
-            ids, tf = pairs[: len(pairs) // 2], pairs[len(pairs) // 2 :]
-            rows.append((int(tf[known[ids]].sum()) + int(ends > 0), float((tf * plain[ids]).sum()) + np.log10(ends + 1) - bottom, float((tf * values[ids]).sum()) + end_value))
-        columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
         return pa.table(
             {
-                "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": texts.column("n_tokens"), "n_known": pa.array(columns[0], pa.int64()),
-                "train_tokens": pa.array(np.full(texts.num_rows, n), pa.int64()), "base_score": pa.array(columns[1], pa.float64()), "score": pa.array(columns[2], pa.float64()),
+                "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": texts.column("n_tokens"), "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts),
+                "train_tokens": pa.array(np.full(texts.num_rows, n), pa.int64()), "base_score": np.add.reduceat(plain[tokens], starts), "score": np.add.reduceat(value, starts),
             }
         )
 
-    values = words.select("shard", "local", "word", "c").mapInArrow(look_up, "shard bigint, local int, c bigint, log_p double")
-    texts = staged.where("n_tokens is not null").select("shard", "doc_id", "held_out", "n_tokens", "bag")
-    return values.groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(total, SCHEMA)
+    nothing = lambda names: [F.lit(None).cast("double").alias(c) for c in names]
+    of_words = words.where("c > 0").join(seen.words.select("h", *tables, *chances), "h").select("shard", "local", F.lit(None).cast("bigint").alias("code"), "c", *tables, *chances, *nothing(seats))
+    many = pairs.where("shard is not null").join(seen.pairs.select("u", "w", *seats), ["u", "w"], "left")
+    of_pairs = many.select("shard", F.lit(None).cast("int").alias("local"), "code", "c", *nothing([*tables, *chances]), *[F.coalesce(c, F.lit(1.0)).alias(c) for c in seats])
+    texts = staged.where("n_tokens is not null").select("shard", "local", "doc_id", "held_out", "n_tokens", "tokens")
+    return of_words.union(of_pairs).groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(total, SCHEMA)

@@ -50,3 +50,20 @@ def test_seating_is_within_bounds_and_repeats():
 
 def test_empty(documents):
     assert py.score_texts(documents([])).count() == 0
+
+
+def test_word_order_counts(documents):
+    rng = np.random.default_rng(3)
+    follows = {w: [f"w{(7 * w + k) % 40}" for k in range(2)] for w in range(40)}
+    rows = []
+    for i in range(200):
+        own = ["w1"]
+        while len(own) < 30:
+            own.append(follows[int(own[-1][1:])][int(rng.integers(2))])
+        rows.append((i, " ".join(own)))
+    held = next(i for i in range(200, 400) if zlib.crc32(str(i).encode()) % 7 == 2)
+    fluent = rows[0][1]
+    scrambled = " ".join(rng.permutation(fluent.split()))
+    found = {r["doc_id"]: r for r in py.score_texts(documents([*rows, (held, scrambled)])).collect()}
+    assert found[0]["base_score"] == pytest.approx(found[held]["base_score"])
+    assert found[0]["score"] > found[held]["score"] + 10

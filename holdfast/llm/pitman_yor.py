@@ -80,12 +80,36 @@ def seat(customers: np.ndarray, mass: np.ndarray, discount: float, keys: np.ndar
     while len(live := np.flatnonzero(customers > k)):
         group = np.minimum(customers[live], k + k // 2) - k
         spread = np.maximum(mass[live] + k - discount * tables[live], 1e-9)
-        mean = np.minimum(mass[live] * np.log1p(group / spread), group)
-        tables[live] += np.floor(mean + uniforms(keys[live], seed * 1000 + k))
+        share = np.minimum(mass[live] * np.log1p(group / spread) / group, 1.0)
+        tables[live] += binomials(group, share, keys[live], seed * 1000 + k)
         k += k // 2
     return tables
 
 
+def binomials(n: np.ndarray, p: np.ndarray, keys: np.ndarray, step: int) -> np.ndarray:
+    """Binomial numbers by inversion of the uniforms; by the normal approximation where mean or rest is 200 or more."""
+    n, u = n.astype(np.float64), uniforms(keys, step)
+    flipped = p > 0.5
+    q = np.where(flipped, 1 - p, p)
+    out = np.zeros(len(n))
+    large = np.flatnonzero(n * q >= 200)
+    if len(large):
+        m, v = n[large] * q[large], uniforms(keys[large], step + (1 << 40))
+        normal = np.sqrt(-2 * np.log(1 - u[large])) * np.cos(2 * np.pi * v)
+        out[large] = np.clip(np.rint(m + np.sqrt(m * (1 - q[large])) * normal), 0, n[large])
+    live = np.flatnonzero(n * q < 200)
+    chance = np.exp(n[live] * np.log1p(-q[live]))
+    below = chance.copy()
+    k = 0
+    while len(live):
+        more = (u[live] >= below) & (k < n[live]) & (k < 600)
+        live, chance, below = live[more], chance[more], below[more]
+        chance = chance * (n[live] - k) / (k + 1) * q[live] / (1 - q[live])
+        below, k = below + chance, k + 1
+        out[live] = k
+    return np.where(flipped, n - out, out)
+
+
 def discount_of(counts: np.ndarray) -> float:
     once, twice = int((counts == 1).sum()), int((counts == 2).sum())
     return float(np.clip(once / (once + 2 * twice), 0.1, 0.9)) if once + twice else 0.5

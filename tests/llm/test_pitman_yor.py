@@ -67,3 +67,20 @@ def test_word_order_counts(documents):
     found = {r["doc_id"]: r for r in py.score_texts(documents([*rows, (held, scrambled)])).collect()}
     assert found[0]["base_score"] == pytest.approx(found[held]["base_score"])
     assert found[0]["score"] > found[held]["score"] + 10
+
+
+def test_late_customers_are_sampled():
+    m = 4000
+    keys = np.arange(m, dtype=np.uint64)
+    got = py.seat(np.full(m, 1000), np.full(m, 3.0), 0.5, keys, 1)
+    rng, one_by_one = np.random.default_rng(1), np.ones(m)
+    for k in range(1, 1000):
+        one_by_one += rng.random(m) < 3.0 / (3.0 + k - 0.5 * one_by_one)
+    assert got.mean() == pytest.approx(one_by_one.mean(), rel=0.05)
+    assert got.std() == pytest.approx(one_by_one.std(), rel=0.1)
+
+
+def test_letters_are_served_to_tables(spark):
+    words = lambda n: spark.createDataFrame([("ab", n), ("xy", 1.0)], "word string, tables double")
+    few, many = py.letter_counts(words(1.0)), py.letter_counts(words(50.0))
+    assert many.log_probability(["ab"])[0] > few.log_probability(["ab"])[0] + 0.3

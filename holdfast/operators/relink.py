@@ -18,11 +18,14 @@ def relink(files: DataFrame, live: DataFrame) -> DataFrame:
     alive = own.join(live.select(F.col("id").alias("embedded_id")).distinct(), "embedded_id", "left_semi").select("file", F.col("embedded_id").alias("direct"))
     spread = own.select("file", F.explode(urls.variants(F.col("url"))).alias("shown_at"))
     exact = spread.join(live.select("id", "shown_at"), "shown_at").groupBy("file").agg(F.min("id").alias("exact"), F.count_distinct("id").alias("n_exact"))
-    # records by scope and by every token of their URL, so that the search is an equality
-    pieces = F.explode(F.array_distinct(F.split("shown_at", "[^A-Za-z0-9_-]+")))
-    indexed = live.select("id", "scope", pieces.alias("token"))
+    # a record whose URL holds the token has the token's first letters somewhere, so that the search starts as an equality
+    starts = F.sequence(F.lit(1), F.greatest(F.length("shown_at") - urls.MIN_TOKEN + 1, F.lit(1)))
+    pieces = F.array_distinct(F.transform(starts, lambda i: F.substring("shown_at", i, F.lit(urls.MIN_TOKEN))))
+    pieces = F.explode(F.filter(pieces, lambda x: x.rlike(f"^[A-Za-z0-9_-]{{{urls.MIN_TOKEN}}}$")))
+    indexed = live.select("id", "scope", "shown_at", pieces.alias("gram"))
     token = own.select("file", "scope", urls.stable_token(F.col("url")).alias("token")).where("token is not null")
-    scoped = token.join(indexed, ["scope", "token"]).groupBy("file").agg(F.min("id").alias("scoped"), F.count_distinct("id").alias("n_scoped"))
+    token = token.withColumn("gram", F.substring("token", 1, urls.MIN_TOKEN))
+    scoped = token.join(indexed, ["scope", "gram"]).where(F.contains("shown_at", "token")).groupBy("file").agg(F.min("id").alias("scoped"), F.count_distinct("id").alias("n_scoped"))
     joined = own.join(alive, "file", "left").join(exact, "file", "left").join(scoped, "file", "left")
     anchor = (
         F.when(F.col("direct").isNotNull(), "embedded")

@@ -75,3 +75,11 @@ def test_retry_sets_in_order(spark):
     of = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id int")
     found = runlogs.retry_sets(of(1, 2, 3), of(2, 4), of(4, 5, 1), of(1), ["id"])
     assert rows(found, "id", "phase") == [(1, "sync"), (2, "download"), (3, "download"), (4, "upload"), (5, "sync")]
+
+
+def test_relink_finds_tokens_inside_longer_ones(spark):
+    live = spark.createDataFrame(
+        [("i1", "http://a.org/dlg_abc_337", "s"), ("i2", "http://a.org/zzz777b", "t"), ("i3", "http://a.org/zzz777", "t"), ("i4", "http://a.org/q/dlg_abc_337", "u"), ("i5", None, "s")], "id string, shown_at string, scope string"
+    )
+    files = spark.createDataFrame([("f1", None, "http://old.org/abc_337", "s"), ("f2", None, "http://old.org/zzz777", "t"), ("f3", None, "http://old.org/abc_338", "s")], "file string, embedded_id string, url string, scope string")
+    assert rows(relink.relink(files, live), "file", "anchor") == [("f1", "token"), ("f2", "ambiguous"), ("f3", "unresolved")]

@@ -1,6 +1,6 @@
 """Statements: building them from items, and reconciling what should be with what is.
 
-expected: entity, prop, value [, owner]; existing: entity, stmt, prop, value, ours, foreign
+expected: entity, prop, value [, owner]; existing: entity, stmt, prop, value, ours, foreign [, malformed]
 """
 
 from __future__ import annotations
@@ -43,23 +43,28 @@ def rights_statements(items: DataFrame, rights: DataFrame) -> DataFrame:
 
 
 def long_values(values: DataFrame, limit: int = text.CHUNK_LENGTH) -> DataFrame:
-    """(id, prop, pos, value) -> parts of long values, with the series letter and part number that keep them in order."""
+    """(id, prop, language, pos, value) -> parts of long values, with the series letter and part number that keep them in
+    order.  Letters are by property and language, as null is for what has none."""
     from pyspark.sql import Window
 
     cut = values.withColumn("parts", text.chunks(F.col("value"), limit))
-    over = Window.partitionBy("id", "prop").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    over = Window.partitionBy("id", "prop", "language").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     nth = F.sum((F.size("parts") > 1).cast("int")).over(over)
     lettered = cut.withColumn("letter", F.when(F.size("parts") > 1, text.series_letter(nth)))
-    return lettered.select("id", "prop", "pos", "letter", F.posexplode("parts").alias("part", "value"))
+    return lettered.select("id", "prop", "language", "pos", "letter", F.posexplode("parts").alias("part", "value"))
 
 
 def reconcile(expected: DataFrame, existing: DataFrame, protected: tuple[str, ...] = ()) -> DataFrame:
     """An action for each expected and each existing statement, by (entity, prop, value).
 
     add: expected and not there, or there with a foreign source only; keep: ours; annotate: there without any source;
-    remove: ours, of a property that is not protected, and expected no more; ignore: not ours.
+    remove: ours, of a property that is not protected, and expected no more; ignore: not ours.  Malformed statements (a time
+    without its parts, an unknown value without its wording) are apart from the others of their value, which may be null:
+    ours go, of protected properties too.
     """
     key = ["entity", "prop", "value"]
+    malformed = F.coalesce("malformed", F.lit(False)) if "malformed" in existing.columns else F.lit(False)
+    broken, existing = existing.where(malformed), existing.where(~malformed)
     want = expected.select(*key).distinct().withColumn("wanted", F.lit(True))
     have = existing.groupBy(*key).agg(F.bool_or("ours").alias("ours"), F.bool_or("foreign").alias("foreign"), F.count("*").alias("n"))
     action = (
@@ -70,7 +75,8 @@ def reconcile(expected: DataFrame, existing: DataFrame, protected: tuple[str, ..
         .when(F.col("ours") & ~F.col("prop").isin(*protected), "remove")
         .otherwise("ignore")
     )
-    return want.join(have, key, "full").select(*key, action.alias("action"))
+    gone = broken.select(*key, F.when(F.col("ours"), "remove").otherwise("ignore").alias("action")).distinct()
+    return want.join(have, key, "full").select(*key, action.alias("action")).union(gone)
 
 
 def reconcile_merged(references: DataFrame, expected: DataFrame, loaded: DataFrame) -> DataFrame:

@@ -77,8 +77,8 @@ def text_normalise(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def text_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Greedy cutting is beyond a fixed pattern; tests join the parts again."""
-    values = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("P1476").alias("prop"), F.lit(0).alias("pos"), text.statement_value(F.col("text")).alias("value"))
-    return statements.long_values(values)
+    values = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("P1476").alias("prop"), F.col("lang").alias("language"), F.lit(0).alias("pos"), text.statement_value(F.col("text")).alias("value"))
+    return statements.long_values(values).drop("language")
 
 
 @query(

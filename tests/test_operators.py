@@ -83,3 +83,19 @@ def test_relink_finds_tokens_inside_longer_ones(spark):
     )
     files = spark.createDataFrame([("f1", None, "http://old.org/abc_337", "s"), ("f2", None, "http://old.org/zzz777", "t"), ("f3", None, "http://old.org/abc_338", "s")], "file string, embedded_id string, url string, scope string")
     assert rows(relink.relink(files, live), "file", "anchor") == [("f1", "token"), ("f2", "ambiguous"), ("f3", "unresolved")]
+
+
+def test_series_letters_are_by_language(spark):
+    long = "word " * 600
+    own = spark.createDataFrame([(1, "P", "en", 0, long), (1, "P", "fr", 1, long), (1, "P", "en", 2, long), (1, "P", None, 3, long)], "id int, prop string, language string, pos int, value string")
+    found = statements.long_values(own).where("part = 0")
+    assert [r["letter"] for r in found.orderBy("pos").collect()] == ["A", "A", "B", "A"]
+
+
+def test_malformed_statements_of_ours_go(spark):
+    expected = spark.createDataFrame([(1, "P", "a")], "entity int, prop string, value string")
+    existing = spark.createDataFrame(
+        [(1, "P", "a", True, False, False), (1, "P", "a", True, False, True), (1, "T", None, True, False, True), (1, "P", "q", False, True, True)], "entity int, prop string, value string, ours boolean, foreign boolean, malformed boolean"
+    )
+    found = statements.reconcile(expected, existing, ("T",)).collect()
+    assert sorted((r["prop"], r["value"] or "", r["action"]) for r in found) == [("P", "a", "keep"), ("P", "a", "remove"), ("P", "q", "ignore"), ("T", "", "remove")]

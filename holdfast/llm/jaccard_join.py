@@ -398,6 +398,60 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def all_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
+    """Mark every two members of a group."""
+    together[np.ix_(own, own)] |= node[own][:, None] < node[own][None, :]
+
+
+def similar_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The join itself: all pairs of different sets that are similar, each compared by its texts.
+
+    A set's name is the least hash of its texts, so that a doc_id may have several.  Returns (doc_id, set) of all rows with
+    a doc_id and a set that is not empty, and (u, v) of names with u > v.
+    """
+    docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    summary = common.materialize(summarize(texts), "summary")
+    hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
+    index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
+    own = summary.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2", "sig").dropDuplicates(["doc_id"])
+    least = own.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    reps = common.materialize(own.join(least, ["d1", "d2", "n_shingles"]).select("doc_id", "rep"), "reps")
+    sigs = own.join(least.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "sig")
+    groups = groups_of(index_keys(texts, index))
+    members = groups.join(reps.withColumnRenamed("doc_id", "node"), "node").select("gid", "hub", F.col("rep").alias("node")).distinct()
+    members = common.materialize(members.withColumn("comp", F.lit(0).cast("bigint")).join(sigs, "node"), "members")
+    chosen = texts.join(sigs.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    links = common.materialize(verify(candidates(in_blocks(members), all_pairs), chosen), "links")
+    named = docs.select("doc_id", F.xxhash64("text").alias("text")).join(reps.select(F.col("doc_id").alias("text"), F.col("rep").alias("set")), "text")
+    return common.materialize(named.select("doc_id", "set").distinct(), "named"), links
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_links: the number of other documents that are similar to any of a document's texts, for each doc_id.
+
+    Documents of one set are counted by their number, so that copies are not expanded into pairs; only documents with
+    several sets are listed.
+    """
+    named, links = similar_pairs(docs)
+    sets = named.groupBy("doc_id").agg(F.count("*").alias("sets"))
+    named = common.materialize(named.join(sets, "doc_id"), "named")
+    every = named.select(F.col("set").alias("a"), F.col("set").alias("b")).distinct()
+    near = common.materialize(every.union(links.select("u", "v")).union(links.select("v", "u")), "near")
+    singles = named.where("sets = 1").groupBy(F.col("set").alias("b")).agg(F.count("*").alias("n"))
+    several = named.where("sets > 1").select("doc_id", F.col("set").alias("b"))
+    by_set = near.join(singles, "b").groupBy("a").agg(F.sum("n").alias("n"))
+    listed = near.join(several, "b").groupBy("a").agg(F.count_distinct("doc_id").alias("m"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    one = named.where("sets = 1").withColumnRenamed("set", "a").join(by_set, "a", "left").join(listed, "a", "left").select("doc_id", (zero("n") + zero("m") - 1).alias("n_links"))
+    reach = several.withColumnRenamed("b", "a").join(near, "a").select("doc_id", "b").distinct()
+    of_singles = reach.join(singles, "b").groupBy("doc_id").agg(F.sum("n").alias("n"))
+    of_several = reach.join(several.withColumnRenamed("doc_id", "other"), "b").groupBy("doc_id").agg(F.count_distinct("other").alias("m"))
+    more = several.select("doc_id").distinct().join(of_singles, "doc_id", "left").join(of_several, "doc_id", "left").select("doc_id", (zero("n") + zero("m") - 1).alias("n_links"))
+    ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    return ids.join(one.union(more), "doc_id", "left").select("doc_id", zero("n_links").alias("n_links"))
+
+
 def joined_documents(docs: DataFrame) -> DataFrame:
     """Contract of op2."""
     return near_duplicates(docs)

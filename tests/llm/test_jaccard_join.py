@@ -90,3 +90,20 @@ def test_keep_one(documents, odd_rows):
 
 def test_empty(documents):
     assert jj.near_duplicates(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_every_link_is_counted(documents, odd_rows, seed):
+    """Also inside groups of near copies, and where a doc_id has several texts."""
+    rows = [(None if i is None else i + 10_000, t) for i, t, *_ in odd_rows if i != 4] + near_copies(seed, 20)
+    base = [f"w{k}" for k in range(60)]
+    rows += [(20_000 + k, " ".join([*base[:58], f"x{k}", "y"])) for k in range(6)]
+    rows += [(20_000, " ".join(base)), (20_007, "other words of no one else at all"), (20_007, " ".join(base)), (20_008, " ".join(base))]
+    own = {}
+    for i, t in rows:
+        if i is not None:
+            own.setdefault(i, []).append(shingles(t))
+    near = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * len(a | b)
+    expected = {i: sum(j != i and any(near(a, b) for a in x for b in y) for j, y in own.items()) for i, x in own.items()}
+    assert max(expected.values()) >= 7
+    assert {r["doc_id"]: r["n_links"] for r in jj.link_counts(documents(rows)).collect()} == expected

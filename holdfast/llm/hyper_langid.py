@@ -53,7 +53,7 @@ def symbol_table() -> np.ndarray:
 
 def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all letter n-grams and the text that each is from; n-grams without a letter in the middle are left out."""
-    points = np.frombuffer("\n".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32) if texts else np.zeros(0, np.uint32)
+    points = np.frombuffer(("\n".join(texts) + "\n").lower().encode("utf-32-le", "surrogatepass"), np.uint32) if texts else np.zeros(0, np.uint32)
     lengths = np.array([len(t.lower()) for t in texts], np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths + 1)[: len(points)]
     symbols = symbol_table()[points]

@@ -107,3 +107,11 @@ def test_quality_rules(documents, labels, corpus, odd_rows):
     assert sum(right) / len(right) > 0.95
     assert not any(r["kept"] and r["base_failed"] for r in found)
     assert quality_rules.quality_verdicts(documents([]), labels([])).count() == 0
+
+
+def test_last_text_of_a_group_has_a_closing_boundary():
+    from holdfast.llm import hyper_langid
+
+    for last in ("a", "!a", "word"):
+        codes, owner = hyper_langid.ngram_codes([last, "x y", last])
+        assert codes[owner == 0].tolist() == codes[owner == 2].tolist() != []

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,44 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/holdfast-{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables written in each open ``scratch`` block, the innermost last.
+_OPEN: list[list[str]] = []
+
+
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    path = path or new_path(spark, name)
+    if path is None:
+        path = new_path(spark, name)
+        if _OPEN:
+            _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that are materialized in the block at its end, but for those handed to what it yields."""
+    own: list[str] = []
+    kept: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        files = df.inputFiles()
+        kept.extend(path for path in own if not files or any(path.rsplit("/", 1)[1] in f for f in files))
+        return df
+
+    _OPEN.append(own)
+    try:
+        yield keep
+    finally:
+        _OPEN.remove(own)
+        if _OPEN:
+            _OPEN[-1].extend(kept)
+        for path in own:
+            if path not in kept:
+                remove(spark, path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a written folder on whatever file system holds it."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

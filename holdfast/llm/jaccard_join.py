@@ -1,21 +1,27 @@
 """Exact Jaccard join of word shingle sets by partition and pigeonhole.
 
 A document's set is its distinct 5-word shingles.  The universe of shingles is cut into segments by hash, more of them
-for larger size bands.  Two sets with similarity 0.75 or more differ in at most H = (|R| + |S|) / 7 shingles, so if a set
-counts on H + 1 segments that are not empty, one of them is the same in both.  A set that has too few such segments
-counts a second time on segments with two shingles or more, whose one-deletion neighbourhoods join the index: to
-differ by less than two they must meet there.  A set that still falls short indexes all its shingles.  Segments are
-taken in one order for all sets of a band, by cost: those with shingles that very many documents share come last, so
-that common passages are seldom an index key.  The order only steers cost; every order finds all links.
-
-Sets that share a key form groups.  Within a group, first a few sets, then sets of different components are compared:
-by size, by a parity bitmap (its bits that differ are a lower bound of the difference), and at last exactly by their
-shingles.  Equal sets are one member from the start.  Links become components by alternating stars.
+for larger size bands; shingles that many documents share have segments of their own, a class of segments for each power
+of two of their number.  Two sets with similarity 0.75 or more differ in at most H = (|R| + |S|) / 7 shingles.  A segment
+is used either whole (one key: both sets must be equal in it, or they differ there by one at least) or also with its
+one-deletion neighbourhood (a key for each shingle left out: they must be within one of each other, or differ there by
+two).  These are its first and second unit; each counts one.  Units are taken in one order for all sets of a band, by
+their cost in keys and in candidates, until a set has H + 1 units: then a similar pair shares a key.  (The set whose
+units end first has H + 1 of them in common order, so some segment differs by less than its units; the other set takes
+the same units of that segment.)  A set that has too few units indexes all its shingles as well.  The counts of shared
+shingles only steer cost; every order finds all links.
+
+Equal sets are one node, named by a 64-bit digest; its texts' documents are joined in at the end.  Nodes that share a key
+form a group, and groups of equal members are one.  First a few nodes of each group are compared with the others, in
+parts of bounded size; then, in groups whose members are still in different components, every two members of different
+components.  Pairs are compared by size, by a parity bitmap (its bits that differ are a lower bound of the difference),
+and at last exactly by the shingles of their texts.  Links become components by alternating stars.
 
 A document of fewer than five words has its whole sequence as its one shingle; null texts and texts without words have
 the empty set and link with nothing.  Rows with a null doc_id link with nothing and have a null component.  Rows with
-equal doc_ids are one document whose links are those of any of its texts.  An empty table gives an empty result; other
-columns are ignored.
+equal doc_ids are one document whose links are those of any of its texts.  Very long texts are sets like all others; one
+text is held at a time, with eight bytes for each of its words.  An empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -33,23 +39,32 @@ from .components import components
 
 SHINGLE = 5
 #: Similarity: 100 * |intersection| >= 75 * |union|, so the sizes' ratio is at most 4 / 3 and the difference (|R| + |S|) / 7.
-#: Segments of a band: this part of its largest size.
+#: Bits of a size by which bands differ: sizes of a band are within a factor of four.
+BAND_BITS = 2
+#: Segments of a class of a band: this part of its largest size.
 SEGMENTS = 0.45
-#: A shingle that this many documents of one slice share is counted over all slices ...
+#: A shingle that this many sets of one task share is counted over all tasks ...
 LOCAL_HOT = 8
-#: ... and makes its segment costly; so many shingles, the most frequent, steer the order (it changes no result).
-HOT_SHINGLES = 20_000
-#: Sets of a group that are compared with all others before components are known.
-HUBS = 3
-#: Members of groups with one first member that are compared through one table of pairs.
-ROUTE = 8192
-#: Members of a group that are compared with each other in one task.
-BLOCK = 4096
+#: ... of the shingles that a task holds counts of ...
+TASK_HOT = 100_000
+#: ... and has a class of segments by its count; so many, the most frequent, steer the order (it changes no result).
+HOT_SHINGLES = 50_000
+#: Cost of a member met in a group, in keys; and of a deletion neighbourhood's keys.
+MEETING_COST, SECOND_COST = 1 / 16, 2.5
+#: Keys that a task gathers before it writes them, and keys of a bucket.
+HELD_KEYS, BUCKET_KEYS = 1 << 20, 1 << 19
+#: Bytes of a key that are written; the bucket has its upper bits.
+KEY_BYTES = 5
+#: Members of a group that go into one row, and that are compared with each other in one task.
+PART = 1024
+#: Partners of one node that are compared in one task.
+PARTNERS = 256
 #: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
-SUMMARY = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary, hot bigint, hot_count bigint"
+SUMMARY = "doc_id bigint, n_shingles bigint, node bigint, sig binary, hot bigint, hot_count bigint"
+GROUPS = "gid bigint, members bigint, part int, parts int, nodes array<bigint>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,22 +99,23 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def digest(own: np.ndarray) -> tuple[int, int]:
+def digest(own: np.ndarray) -> int:
+    """Name of a set."""
     with np.errstate(over="ignore"):
-        return int(mix(own).sum(dtype=np.uint64).view(np.int64)), int(mix(own ^ _U(0xA0761D6478BD642F)).sum(dtype=np.uint64).view(np.int64))
+        return int(mix(mix(own).sum(dtype=np.uint64) + _U(len(own))).view(np.int64))
 
 
 def parity_bits(own: np.ndarray) -> bytes:
-    """A bitmap of at least twice as many bits as the set has shingles, a power of two; each shingle flips a bit."""
+    """A bitmap of at least as many bits as the set has shingles, a power of two; each shingle flips a bit."""
     size = 64
-    while size < 2 * len(own):
+    while size < len(own):
         size *= 2
     flips = np.bincount((own & _U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
 
 def band_of(size: int) -> int:
-    return size.bit_length() - 1
+    return (size.bit_length() - 1) // BAND_BITS
 
 
 def bands(size: int) -> list[tuple[int, int]]:
@@ -107,95 +123,122 @@ def bands(size: int) -> list[tuple[int, int]]:
     partners."""
     own = band_of(size)
     out = [(own, (size + 4 * size // 3) // 7)]
-    top = 2**own - 1
+    top = 2 ** (own * BAND_BITS) - 1
     if 3 * size <= 4 * top:
         out.append((own - 1, (size + top) // 7))
     return out
 
 
 class Index:
-    """Segments in order of cost, and a set's keys."""
+    """Classes of shared shingles, the order of units, and a set's keys."""
 
     def __init__(self, hot: np.ndarray, counts: np.ndarray):
-        self.hot, self.counts, self.orders = hot, counts.astype(np.float64), {}
-
-    def order(self, band: int) -> np.ndarray:
-        """Place of each segment in the band's order."""
-        if band not in self.orders:
-            m = max(1, round(SEGMENTS * 2 ** (band + 1)))
-            cost = np.zeros(m)
-            if len(self.hot):
-                cost = np.bincount((mix(self.hot) % _U(m)).astype(np.int64), self.counts**2, m)
-            place = np.empty(m, np.int64)
-            place[np.argsort(cost, kind="stable")] = np.arange(m)
-            self.orders[band] = place
-        return self.orders[band]
+        by = np.argsort(hot)
+        self.hot, self.classes = hot[by], np.log2(np.maximum(counts[by], 2)).astype(np.int64)
 
     def keys(self, own: np.ndarray) -> np.ndarray:
         out = []
-        mixed = mix(own)
+        mixed, of_class = mix(own), np.zeros(len(own), np.int64)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, own), len(self.hot) - 1)
+            of_class = np.where(self.hot[at] == own, self.classes[at], 0)
         with np.errstate(over="ignore"):
             for band, difference in bands(len(own)):
-                need, order = difference + 1, self.order(band)
-                segment = order[(mixed % _U(len(order))).astype(np.int64)]
+                need, width = difference + 1, max(1, round(SEGMENTS * 2 ** (BAND_BITS * (band + 1))))
+                segment = (mixed % _U(width)).astype(np.int64) + of_class * width
                 by = np.argsort(segment, kind="stable")
                 placed, weights = segment[by], mix(own[by] + _U(band + 1))
                 heads = np.flatnonzero(np.diff(placed, prepend=-1))
                 sizes = np.diff(heads, append=len(placed))
                 sums = np.add.reduceat(weights, heads)
                 keys = mix(sums + placed[heads].astype(np.uint64))
-                out.append(keys[:need])
-                short = need - len(heads)
-                if short > 0:
-                    twice = np.flatnonzero(sizes > 1)
-                    for i in twice[:short]:
-                        part = weights[heads[i] : heads[i] + sizes[i]]
-                        out.append(mix(sums[i] - part + _U(placed[heads[i]])))
-                    if len(twice) < short:
-                        out.append(mix(weights ^ _U(0x2545F4914F6CDD1D)))
+                if need <= len(heads) and not placed[heads[need - 1]] // width:  # first units of the plain class suffice
+                    out.append(keys[:need])
+                    continue
+                shared = placed[heads] // width
+                met = np.where(shared > 0, MEETING_COST * 2.0**shared, 0.0)
+                twice = np.flatnonzero(sizes > 1)
+                cost = np.concatenate([1 + met, SECOND_COST * (1 + met[twice])])
+                units = np.argsort(cost, kind="stable")[:need]
+                out.append(keys[units[units < len(heads)]])
+                for i in twice[units[units >= len(heads)] - len(heads)].tolist():
+                    part = weights[heads[i] : heads[i] + sizes[i]]
+                    out.append(mix(sums[i] - part + _U(placed[heads[i]])))
+                if len(units) < need:
+                    out.append(mix(weights ^ _U(0x2545F4914F6CDD1D)))
         return np.unique(np.concatenate(out))
 
 
+def _most(names: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(names) > most:
+        chosen = np.argsort(-counts, kind="stable")[:most]
+        return names[chosen], counts[chosen]
+    return names, counts
+
+
 def summarize(docs: DataFrame) -> DataFrame:
-    """A row a document with its set's size, digest and parity bits; and rows of shingles that are frequent in a slice."""
+    """A row a document with its set's size, name and parity bits; and rows of shingles that are frequent in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("sig", pa.binary()), ("hot", pa.int64()), ("hot_count", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("hot", pa.int64()), ("hot_count", pa.int64())])
+        hot, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in common.slices(batches):
             sets = shingle_sets(batch.column("text"))
-            digests = [digest(s) for s in sets]
-            first = {d: s for d, s in zip(digests, sets, strict=True)}
-            found, counts = np.unique(np.concatenate(list(first.values())), return_counts=True)
-            often = counts >= LOCAL_HOT
-            m, n = int(often.sum()), len(sets)
-            nothing = lambda kind, k: pa.nulls(k, kind)
+            names = [digest(s) for s in sets]
+            found, own = np.unique(np.concatenate(list(dict(zip(names, sets, strict=True)).values())), return_counts=True)
+            found, own = found[own > 1], own[own > 1]
+            both, place = np.unique(np.concatenate([hot, found]), return_inverse=True)
+            hot, counts = _most(both, np.bincount(place, np.concatenate([counts, own]), len(both)).astype(np.int64), TASK_HOT)
+            n = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()), nothing(pa.int64(), n), nothing(pa.int64(), n)],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
                 schema=schema,
             )
-            yield pa.RecordBatch.from_arrays(
-                [nothing(pa.int64(), m), nothing(pa.int64(), m), nothing(pa.int64(), m), nothing(pa.int64(), m), nothing(pa.binary(), m), pa.array(found[often].view(np.int64)), pa.array(counts[often])], schema=schema
-            )
+        often = counts >= LOCAL_HOT
+        m = int(often.sum())
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(m, schema.field(i).type) for i in range(4)), pa.array(hot[often].view(np.int64)), pa.array(counts[often])], schema=schema)
 
     return docs.mapInArrow(run, SUMMARY)
 
 
-def index_keys(docs: DataFrame, index: Index) -> DataFrame:
-    """(key, node) rows.  Of equal sets in a task one is indexed; the digests hold the others to it."""
+def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
+    """(bucket, keys, nodes, counts): the keys of a task's sets by their first ``bits`` bits; node i has counts[i] of them."""
+
+    def rows(keys: list[np.ndarray], nodes: list[int]) -> Iterator[pa.RecordBatch]:
+        owner = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
+        every, names = np.concatenate(keys), np.array(nodes, np.int64)
+        bucket = (every >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(every), np.int64)
+        by = np.argsort(bucket, kind="stable")
+        every, owner, bucket = every[by], owner[by], bucket[by]
+        low = np.ascontiguousarray(every.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        out = []
+        for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(bucket)], strict=True):
+            first = np.flatnonzero(np.diff(owner[s:e], prepend=-1))
+            out.append((int(bucket[s]), low[s:e].tobytes(), names[owner[s:e][first]].tobytes(), np.diff(first, append=e - s).astype("<u4").tobytes()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "keys", "nodes", "counts"]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
+        keys, nodes, held = [], [], 0
         for batch in common.slices(batches):
-            keys, nodes = [], []
-            for doc, own in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text")), strict=True):
+            for own in shingle_sets(batch.column("text")):
                 if len(own) and (name := digest(own)) not in seen:
                     seen.add(name)
                     keys.append(index.keys(own))
-                    nodes.append(np.full(len(keys[-1]), doc, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_pydict({"key": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes)})
+                    nodes.append(name)
+                    held += len(keys[-1])
+                    if held >= HELD_KEYS:
+                        yield from rows(keys, nodes)
+                        keys, nodes, held = [], [], 0
+            if len(seen) > HELD_KEYS:
+                seen.clear()
+        if keys:
+            yield from rows(keys, nodes)
 
-    return docs.where("doc_id is not null").mapInArrow(run, "key bigint, node bigint")
+    return docs.mapInArrow(run, "bucket bigint, keys binary, nodes binary, counts binary")
 
 
 def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -219,31 +262,63 @@ def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBa
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def single_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Batches of one value of the column each."""
+    for batch in runs(batches, column):
+        values = batch.column(column).to_numpy(zero_copy_only=False)
+        heads = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(values)], strict=True):
+            yield batch.slice(s, e - s)
+
+
 def groups_of(keys: DataFrame) -> DataFrame:
-    """(gid, hub, node): the members of each group of two nodes or more, and its first.  Groups with equal members are
-    one (in a task)."""
+    """GROUPS rows: the nodes that share a key, two at least, in parts of about PART by hash; equal groups are one."""
+
+    def of_bucket(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Keys that two rows have at least, and their nodes, sorted and distinct."""
+        low = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+        key = np.zeros((len(low), 8), np.uint8)
+        key[:, :KEY_BYTES] = low
+        key = key.view("<u8").ravel()
+        node = np.repeat(np.frombuffer(b"".join(batch.column("nodes").to_pylist()), np.int64), np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<u4"))
+        by = np.argsort(key)
+        same = key[by[1:]] == key[by[:-1]]
+        by = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        by = by[np.lexsort((node[by], key[by]))]
+        key, node = key[by], node[by]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        return key[fresh], node[fresh]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in runs(batches, "key"):
-            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-            fresh = np.ones(len(key), bool)
-            fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-            key, node = key[fresh], node[fresh]
+        for batch in single_runs(batches, "bucket"):
+            key, node = of_bucket(batch)
+            if not len(key):
+                continue
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             sizes = np.diff(heads, append=len(key))
             with np.errstate(over="ignore"):
                 gid = np.add.reduceat(mix(node.view(np.uint64) + _U(0x9E3779B97F4A7C15)), heads).view(np.int64)
             many = np.flatnonzero(sizes > 1)
+            if not len(many):
+                continue
             own, place = np.unique(gid[many], return_index=True)
-            new = np.array([g not in seen for g in own.tolist()], bool)
-            seen.update(own[new].tolist())
-            take = many[place[new]]
-            if len(take):
-                rows = np.repeat(heads[take] - (np.cumsum(sizes[take]) - sizes[take]), sizes[take]) + np.arange(int(sizes[take].sum()))
-                yield pa.RecordBatch.from_pydict({"gid": np.repeat(gid[take], sizes[take]), "hub": np.repeat(node[heads[take]], sizes[take]), "node": node[rows]})
+            out = []
+            for g, k in zip(own.tolist(), many[place].tolist(), strict=True):
+                members, parts = node[heads[k] : heads[k] + sizes[k]], 1
+                if sizes[k] <= PART:
+                    out.append((g, int(sizes[k]), 0, 1, members))
+                    continue
+                while parts * PART < sizes[k]:
+                    parts *= 2
+                dealt = (mix(members.view(np.uint64)) % _U(parts)).astype(np.int64)
+                out += [(g, int(sizes[k]), p, parts, members[dealt == p]) for p in np.unique(dealt).tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())))], names=["gid", "members", "part", "parts", "nodes"]
+            )
 
-    return keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "gid bigint, hub bigint, node bigint")
+    found = keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, GROUPS)
+    return found.groupBy("gid", "members", "part", "parts").agg(F.first("nodes").alias("nodes"))
 
 
 class Members:
@@ -253,9 +328,6 @@ class Members:
         self.sizes, self.width = sizes, np.array([len(s) // 8 for s in sigs], np.int64)
         self.sigs = [np.frombuffer(s, "<u8") for s in sigs]
 
-    def only(self, chosen: np.ndarray) -> Members:
-        return Members(self.sizes[chosen], [self.sigs[i].tobytes() for i in chosen.tolist()])
-
     def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether each pair of members may be similar: by size and by parity bits."""
         sa, sb = self.sizes[a], self.sizes[b]
@@ -263,9 +335,8 @@ class Members:
         out = np.zeros(len(a), bool)
         for width in np.unique(np.minimum(self.width[a], self.width[b])[fits]) if fits.any() else []:
             pairs = np.flatnonzero(fits & (np.minimum(self.width[a], self.width[b]) == width))
-            bits = {i: self._folded(i, width) for i in np.unique(np.concatenate([a[pairs], b[pairs]])).tolist()}
-            names = np.array(list(bits), np.int64)
-            table = np.stack(list(bits.values()))
+            names = np.unique(np.concatenate([a[pairs], b[pairs]]))
+            table = np.stack([self._folded(i, width) for i in names.tolist()])
             step = max(1, (1 << 21) // int(width))
             for i in range(0, len(pairs), step):
                 part = pairs[i : i + step]
@@ -280,151 +351,164 @@ class Members:
         return bits
 
 
-def star_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
-    """Mark a few members of a group, each with all others that are not known to be of its component."""
-    for k in range(min(HUBS, len(own) - 1)):
-        hub = own[int(np.argmin(mix(node[own].view(np.uint64) + _U(k)))) if k else 0]
-        together[hub, own[comp[own] != comp[hub]]] = True
+def star_pairs(groups: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(u, v): the first node of each part with the part's others, and the first of a group with those of its parts, where
+    they may be similar."""
 
-
-def cross_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
-    """Mark every two members of a group that are of different components."""
-    together[np.ix_(own, own)] |= comp[own][:, None] < comp[own][None, :]
-
-
-def candidates(members: DataFrame, mark: Callable) -> DataFrame:
-    """(gid, route, node, size, sig, comp) -> (u, v) pairs of a group that may be similar.
-
-    Groups with the same first member go to one task, which compares each pair once: near copies have many groups in
-    common.  Where they have more than ROUTE members together, a group is taken at a time.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sizes = np.concatenate([batch.column(c).to_numpy() for c in ("size_u", "size_v")])
+            own = Members(sizes, [*batch.column("sig_u").to_pylist(), *batch.column("sig_v").to_pylist()])
+            yield batch.select(["u", "v"]).filter(pa.array(own.near(np.arange(n), np.arange(n, 2 * n))))
+
+    first = F.element_at("nodes", 1)
+    inside = groups.where(F.size("nodes") > 1).select(first.alias("u"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("v"))
+    large = groups.where("parts > 1").select("gid", first.alias("v"))
+    across = large.join(large.groupBy("gid").agg(F.min("v").alias("u")), "gid").select("u", "v")
+    pairs = inside.union(across).where("u <> v").distinct()
+    for side in ("v", "u"):
+        pairs = pairs.join(sigs.select(F.col("node").alias(side), F.col("n_shingles").alias(f"size_{side}"), F.col("sig").alias(f"sig_{side}")), side)
+    return pairs.select("u", "v", "size_u", "size_v", "sig_u", "sig_v").mapInArrow(run, "u bigint, v bigint")
+
+
+def cross_pairs(groups: DataFrame, comps: DataFrame, sigs: DataFrame) -> DataFrame:
+    """(u, v): every two members of a group that are of different components and may be similar.
+
+    In groups of several parts, members of the component that has most are compared with those of other components only;
+    these are dealt into parts, too, and each such part meets each part of the group in a task.
     """
 
-    def pairs_of(node, comp, sets: Members, groups: list[np.ndarray]) -> Iterator[np.ndarray]:
-        together = np.zeros((len(node), len(node)), bool)
-        for own in groups:
-            mark(node, comp, together, own)
-        step = max(1, (1 << 22) // len(node))
-        for i in range(0, len(node), step):
-            a, b = np.nonzero(together[i : i + step])
-            good = sets.near(a + i, b)
-            u, v = node[a[good] + i], node[b[good]]
-            yield np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in runs(batches, "route"):
-            route, gid, every = (batch.column(c).to_numpy() for c in ("route", "gid", "node"))
-            comps, sizes, sigs = batch.column("comp").to_numpy(), batch.column("n_shingles").to_numpy(), batch.column("sig")
-            heads = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
-            for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(gid)], strict=True):
-                node, first, place = np.unique(every[s:e], return_index=True, return_inverse=True)
-                if len(node) < 2:
-                    continue
-                comp, sets = comps[s:e][first], Members(sizes[s:e][first], sigs.take(pa.array(s + first)).to_pylist())
-                cuts = np.flatnonzero(gid[s + 1 : e] != gid[s : e - 1]) + 1
-                groups = [g for g in np.split(place, cuts) if len(g) > 1]
-                if len(node) <= ROUTE:
-                    found = pairs_of(node, comp, sets, groups)
-                else:
-                    found = (p for g in groups for p in pairs_of(node[g], comp[g], sets.only(g), [np.arange(len(g))]))
-                for pairs in found:
-                    if len(pairs):
-                        yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
-
-    return members.repartition("route").sortWithinPartitions("route", "gid", "node").mapInArrow(run, "u bigint, v bigint").where("u <> v").distinct()
-
-
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are similar by their whole sets."""
+        for batch in single_runs(batches, "route"):
+            node, comp = batch.column("node").to_numpy(), batch.column("comp").to_numpy()
+            other, whole = batch.column("other").to_numpy(zero_copy_only=False), batch.column("whole").to_numpy(zero_copy_only=False)
+            sets = Members(batch.column("n_shingles").to_numpy(), batch.column("sig").to_pylist())
+            left, right = np.flatnonzero(other), np.flatnonzero(whole)
+            right = right[np.argsort(sets.sizes[right], kind="stable")]
+            sizes = sets.sizes[right]
+            step = max(1, (1 << 20) // max(len(right), 1))
+            for i in range(0, len(left), step):
+                some = left[i : i + step]
+                low = np.searchsorted(sizes, (3 * sets.sizes[some] + 3) // 4)
+                high = np.searchsorted(sizes, 4 * sets.sizes[some] // 3, side="right")
+                a, b = np.repeat(some, high - low), right[common.ragged(low, high - low)]
+                good = comp[a] != comp[b]
+                a, b = a[good], b[good]
+                good = sets.near(a, b)
+                u, v = node[a[good]], node[b[good]]
+                if len(u):
+                    pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
+                    yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
+
+    every = groups.select("gid", "members", "part", "parts", F.explode("nodes").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    apart = every.groupBy("gid", "members").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("gid", "members")
+    every = common.materialize(every.join(apart, ["gid", "members"]).join(sigs, "node"), "apart")
+    both = (F.lit(True).alias("other"), F.lit(True).alias("whole"))
+    small = every.where("parts = 1").select(F.xxhash64("gid", "members").alias("route"), "node", "comp", "n_shingles", "sig", *both)
+    large = every.where("parts > 1")
+    counts = large.groupBy("gid", "members", "comp").count()
+    main = counts.groupBy("gid", "members").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), (F.sum("count") - F.max("count")).alias("others"))
+    large = large.join(main, ["gid", "members"]).withColumn("blocks", F.ceil(F.col("others") / PART).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    columns = lambda other: (F.xxhash64("gid", "members", "part", "block").alias("route"), "node", "comp", "n_shingles", "sig", F.lit(other).alias("other"), F.lit(not other).alias("whole"))
+    whole = large.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns(False))
+    others = large.where("comp <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns(True))
+    rows = small.union(whole).union(others)
+    return rows.repartition("route").sortWithinPartitions("route").mapInArrow(run, "u bigint, v bigint").distinct()
+
+
+def verify(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The pairs that are similar by their whole sets.  places: (node, doc_id), a document of each node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "text_u"):
-            for part in common.slices(iter([batch]), "text_v"):
-                left, right = shingle_sets(part.column("text_u")), shingle_sets(part.column("text_v"))
-                shared = np.array([len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(left, right, strict=True)], np.int64)
-                union = np.array([len(a) + len(b) for a, b in zip(left, right, strict=True)], np.int64) - shared
-                yield part.select(["u", "v"]).filter(pa.array((100 * shared >= 75 * union) & (union > 0)))
+        route = node = None
+        hub = np.zeros(0, np.uint64)
+        for batch in common.slices(batches):
+            routes, us, nodes = (batch.column(c).to_numpy() for c in ("route", "u", "node"))
+            u, v = [], []
+            for i, own in enumerate(shingle_sets(batch.column("text"))):
+                if digest(own) != nodes[i]:  # another text of the same doc_id
+                    continue
+                if us[i] == nodes[i]:
+                    route, node, hub = routes[i], nodes[i], own
+                elif routes[i] == route and us[i] == node:
+                    shared = len(np.intersect1d(hub, own, assume_unique=True))
+                    if 100 * shared >= 75 * (len(hub) + len(own) - shared):
+                        u.append(node)
+                        v.append(nodes[i])
+            if u:
+                yield pa.RecordBatch.from_pydict({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
 
     pairs = common.materialize(pairs, "pairs")
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select("v")).distinct()
+    partners = pairs.groupBy("u").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / PARTNERS))
+    dealt = pairs.join(partners, "u").select(F.xxhash64("u", F.pmod(F.xxhash64("v"), "blocks")).alias("route"), "u", "v")
+    wanted = dealt.select("route", "u", F.col("v").alias("node")).union(dealt.select("route", "u", F.col("u").alias("node")).distinct())
+    wanted = common.materialize(wanted.join(places, "node"), "wanted")
+    ids = wanted.select("doc_id").distinct()
     small = ids.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    both = pairs.join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u").join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
-    return both.select("u", "v", "text_u", "text_v").mapInArrow(run, "u bigint, v bigint")
+    both = wanted.join(texts, "doc_id").select("route", "u", "node", "text")
+    return both.repartition("route").sortWithinPartitions("route", "u", F.col("u") != F.col("node")).mapInArrow(run, "u bigint, v bigint").distinct()
 
 
-def in_blocks(members: DataFrame) -> DataFrame:
-    """Groups larger than BLOCK, dealt out so that every two members meet in one of many smaller groups."""
-    sizes = members.groupBy("gid").agg(F.count("*").alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.join(sizes.select("gid", blocks.alias("blocks")), "gid").withColumn("mine", mine)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = F.when(F.col("blocks") == 1, F.col("gid")).otherwise(F.xxhash64("gid", F.least("mine", "other"), F.greatest("mine", "other")))
-    dealt = dealt.withColumn("route", F.when(F.col("blocks") == 1, F.col("hub")).otherwise(meeting))
-    return dealt.withColumn("gid", meeting).drop("blocks", "mine", "other", "hub")
+class Joined:
+    """What both forms of the join start from.  docs: (doc_id, text); every row with a doc_id and a set has its node."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        summary = common.materialize(summarize(self.docs), "summary")
+        hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
+        index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
+        self.rows = summary.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "sig")
+        self.named = self.rows.where("doc_id is not null and n_shingles > 0")
+        # a set has a key for each third shingle
+        keys = (self.named.agg(F.sum("n_shingles")).first()[0] or 0) // 3
+        bits = max(0, int(keys // BUCKET_KEYS).bit_length())
+        self.sigs = common.materialize(self.named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "sigs")
+        self.groups = common.materialize(groups_of(index_keys(self.docs.where("doc_id is not null"), index, bits)), "groups")
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        return common.materialize(verify(pairs, self.docs.where("doc_id is not null"), self.sigs.select("node", "doc_id")), "links")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of each document."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    summary = common.materialize(summarize(docs), "summary")
-    hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
-    index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
-    own = summary.where("n_shingles is not null").select("doc_id", "n_shingles", "d1", "d2", "sig")
-    named = own.where("doc_id is not null and n_shingles > 0")
-    # equal sets are one member: the smallest id
-    least = named.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = common.materialize(named.join(least, ["d1", "d2", "n_shingles"]).select("doc_id", "rep"), "reps")
-
-    groups = common.materialize(groups_of(index_keys(docs, index)), "groups")
-    sigs = named.select(F.col("doc_id").alias("node"), "n_shingles", "sig")
-    # First each set within two of its groups: near copies have most groups in common, and meet in the same ones.
-    own_groups = groups.groupBy("node").agg(F.array_distinct(F.array(F.min(F.struct("gid", "hub")), F.max(F.struct("gid", "hub")))).alias("g"))
-    start = own_groups.select("node", F.explode("g").alias("g")).select("node", "g.gid", "g.hub").withColumn("comp", F.col("node")).join(sigs, "node")
-    links = verify(candidates(in_blocks(start), star_pairs), docs)
-    same = reps.select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    labels = components(links.union(same.where("u <> v")))
-
-    # Then, in all groups whose members are still apart, members of different components: a few with all others, and
-    # at last every two.
-    for choose in (star_pairs, cross_pairs):
-        labelled = groups.join(labels, "node", "left").select("gid", "hub", "node", F.coalesce("component", "node").alias("comp"))
-        apart = labelled.groupBy("gid").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("gid")
-        rest = labelled.join(apart, "gid").join(sigs, "node")
-        more = common.materialize(verify(candidates(in_blocks(rest), choose), docs), "links")
-        if more.count():
+    with common.scratch(docs.sparkSession) as keep:
+        own = Joined(docs)
+        sigs = own.sigs.select("node", "n_shingles", "sig")
+        links = own.verified(star_pairs(own.groups, sigs))
+        # texts of one doc_id are one document
+        ids = own.named.groupBy("doc_id").agg(F.count("*").alias("texts"), F.min("node").alias("u"), F.max("node").alias("v")).where("texts > 1")
+        repeated = common.materialize(ids, "repeated")
+        some = repeated.limit(1).count() > 0
+        if some:
+            links = links.union(own.named.join(repeated.where("u <> v").select("doc_id", "u"), "doc_id").select("u", F.col("node").alias("v")).where("u <> v").distinct())
+        labels = components(links)
+        # Then, in groups whose members are still apart, every two members of different components.
+        more = own.verified(cross_pairs(own.groups, labels.withColumnRenamed("component", "comp"), sigs))
+        if more.limit(1).count():
             labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
-    out = own.join(labels, own["doc_id"] == labels["node"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def all_pairs(node: np.ndarray, comp: np.ndarray, together: np.ndarray, own: np.ndarray) -> None:
-    """Mark every two members of a group."""
-    together[np.ix_(own, own)] |= node[own][:, None] < node[own][None, :]
+        first = own.sigs.select("node", "doc_id", "copies").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        least = first.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("size")).where("size > 1")
+        ends = first.join(least, "component").select("node", "component_id")
+        out = own.rows.join(ends, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        if some:  # also rows without words
+            whole = out.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("least"))
+            out = out.join(whole, "doc_id", "left").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+        return keep(common.materialize(out, "components"))
 
 
 def similar_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The join itself: all pairs of different sets that are similar, each compared by its texts.
 
-    A set's name is the least hash of its texts, so that a doc_id may have several.  Returns (doc_id, set) of all rows with
-    a doc_id and a set that is not empty, and (u, v) of names with u > v.
+    Returns (doc_id, set) of all rows with a doc_id and a set that is not empty, and (u, v) of sets.
     """
-    docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    summary = common.materialize(summarize(texts), "summary")
-    hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
-    index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
-    own = summary.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2", "sig").dropDuplicates(["doc_id"])
-    least = own.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = common.materialize(own.join(least, ["d1", "d2", "n_shingles"]).select("doc_id", "rep"), "reps")
-    sigs = own.join(least.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "sig")
-    groups = groups_of(index_keys(texts, index))
-    members = groups.join(reps.withColumnRenamed("doc_id", "node"), "node").select("gid", "hub", F.col("rep").alias("node")).distinct()
-    members = common.materialize(members.withColumn("comp", F.lit(0).cast("bigint")).join(sigs, "node"), "members")
-    chosen = texts.join(sigs.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    links = common.materialize(verify(candidates(in_blocks(members), all_pairs), chosen), "links")
-    named = docs.select("doc_id", F.xxhash64("text").alias("text")).join(reps.select(F.col("doc_id").alias("text"), F.col("rep").alias("set")), "text")
-    return common.materialize(named.select("doc_id", "set").distinct(), "named"), links
+    with common.scratch(docs.sparkSession) as keep:
+        own = Joined(docs)
+        nobody = own.sigs.select("node", F.col("node").alias("comp")).limit(0)
+        found = own.verified(cross_pairs(own.groups, nobody, own.sigs.select("node", "n_shingles", "sig")))
+        named = common.materialize(own.named.select("doc_id", F.col("node").alias("set")).distinct(), "named")
+        return keep(named), keep(found)
 
 
 def link_counts(docs: DataFrame) -> DataFrame:

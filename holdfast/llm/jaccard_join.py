@@ -12,9 +12,10 @@ the same units of that segment.)  A set that has too few units indexes all its s
 shingles only steer cost; every order finds all links.
 
 Equal sets are one node, named by a 64-bit digest; its texts' documents are joined in at the end.  Nodes that share a key
-form a group, and groups of equal members are one.  First a few nodes of each group are compared with the others, in
-parts of bounded size; then, in groups whose members are still in different components, every two members of different
-components.  Pairs are compared by size, by a parity bitmap (its bits that differ are a lower bound of the difference),
+form a group, and groups of equal members are one.  First each node is compared with the first nodes of two of its groups;
+then, in groups whose members are still in different components, with two nodes of others; and at last, in those that
+remain, every two members of different components are, so that a group of near copies is not expanded into its pairs.
+Pairs are compared by size, by a parity bitmap (its bits that differ are a lower bound of the difference),
 and at last exactly by the shingles of their texts.  Links become components by alternating stars.
 
 A document of fewer than five words has its whole sequence as its one shingle; null texts and texts without words have
@@ -55,15 +56,17 @@ MEETING_COST, SECOND_COST = 1 / 16, 2.5
 HELD_KEYS, BUCKET_KEYS = 1 << 20, 1 << 19
 #: Bytes of a key that are written; the bucket has its upper bits.
 KEY_BYTES = 5
-#: Members of a group that go into one row, and that are compared with each other in one task.
-PART = 1024
+#: Members of a group that go into one row, and members of groups with one first member that are compared in one table.
+PART, ROUTE = 1024, 2048
+#: Bits for a shingle in the bitmaps that choose the last pairs.
+WIDE = 8
 #: Partners of one node that are compared in one task.
 PARTNERS = 256
 #: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
-SUMMARY = "doc_id bigint, n_shingles bigint, node bigint, sig binary, hot bigint, hot_count bigint"
+SUMMARY = "doc_id bigint, n_shingles bigint, node bigint, sig binary, wide binary, hot bigint, hot_count bigint"
 GROUPS = "gid bigint, members bigint, part int, parts int, nodes array<bigint>"
 
 
@@ -105,10 +108,10 @@ def digest(own: np.ndarray) -> int:
         return int(mix(mix(own).sum(dtype=np.uint64) + _U(len(own))).view(np.int64))
 
 
-def parity_bits(own: np.ndarray) -> bytes:
-    """A bitmap of at least as many bits as the set has shingles, a power of two; each shingle flips a bit."""
+def parity_bits(own: np.ndarray, bits: int = 1) -> bytes:
+    """A bitmap of at least ``bits`` bits for each shingle of the set, a power of two; each shingle flips a bit."""
     size = 64
-    while size < len(own):
+    while size < bits * len(own):
         size *= 2
     flips = np.bincount((own & _U(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
@@ -180,7 +183,7 @@ def summarize(docs: DataFrame) -> DataFrame:
     """A row a document with its set's size, name and parity bits; and rows of shingles that are frequent in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("hot", pa.int64()), ("hot_count", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("wide", pa.binary()), ("hot", pa.int64()), ("hot_count", pa.int64())])
         hot, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in common.slices(batches):
             sets = shingle_sets(batch.column("text"))
@@ -191,12 +194,12 @@ def summarize(docs: DataFrame) -> DataFrame:
             hot, counts = _most(both, np.bincount(place, np.concatenate([counts, own]), len(both)).astype(np.int64), TASK_HOT)
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()), pa.array([parity_bits(s) for s in sets], pa.binary()), pa.array([parity_bits(s, WIDE) for s in sets], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
                 schema=schema,
             )
         often = counts >= LOCAL_HOT
         m = int(often.sum())
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(m, schema.field(i).type) for i in range(4)), pa.array(hot[often].view(np.int64)), pa.array(counts[often])], schema=schema)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(m, schema.field(i).type) for i in range(5)), pa.array(hot[often].view(np.int64)), pa.array(counts[often])], schema=schema)
 
     return docs.mapInArrow(run, SUMMARY)
 
@@ -351,9 +354,8 @@ class Members:
         return bits
 
 
-def star_pairs(groups: DataFrame, sigs: DataFrame) -> DataFrame:
-    """(u, v): the first node of each part with the part's others, and the first of a group with those of its parts, where
-    they may be similar."""
+def similar_by_bits(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
+    """The (u, v) that may be similar by their sizes and bitmaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -362,59 +364,118 @@ def star_pairs(groups: DataFrame, sigs: DataFrame) -> DataFrame:
             own = Members(sizes, [*batch.column("sig_u").to_pylist(), *batch.column("sig_v").to_pylist()])
             yield batch.select(["u", "v"]).filter(pa.array(own.near(np.arange(n), np.arange(n, 2 * n))))
 
-    first = F.element_at("nodes", 1)
-    inside = groups.where(F.size("nodes") > 1).select(first.alias("u"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("v"))
-    large = groups.where("parts > 1").select("gid", first.alias("v"))
-    across = large.join(large.groupBy("gid").agg(F.min("v").alias("u")), "gid").select("u", "v")
-    pairs = inside.union(across).where("u <> v").distinct()
     for side in ("v", "u"):
         pairs = pairs.join(sigs.select(F.col("node").alias(side), F.col("n_shingles").alias(f"size_{side}"), F.col("sig").alias(f"sig_{side}")), side)
     return pairs.select("u", "v", "size_u", "size_v", "sig_u", "sig_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def cross_pairs(groups: DataFrame, comps: DataFrame, sigs: DataFrame) -> DataFrame:
+def two_each(pairs: DataFrame) -> DataFrame:
+    """(u, v) -> for each v the least and the greatest u."""
+    chosen = pairs.where("u <> v").groupBy("v").agg(F.array_distinct(F.array(F.min("u"), F.max("u"))).alias("us"))
+    return chosen.select(F.explode("us").alias("u"), "v").distinct()
+
+
+def star_pairs(groups: DataFrame) -> DataFrame:
+    """(u, v): each node with the first nodes of two of its groups (of its parts, and these with the group's)."""
+    first = F.element_at("nodes", 1)
+    inside = groups.where(F.size("nodes") > 1).select(first.alias("u"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("v"))
+    large = groups.where("parts > 1").select("gid", "members", first.alias("v"))
+    across = large.join(large.groupBy("gid", "members").agg(F.min("v").alias("u")), ["gid", "members"]).select("u", "v")
+    return two_each(inside.union(across))
+
+
+def apart(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows of members (gid, members, part, parts, node, comp) of the groups whose members are in several components, with a
+    node of the least and one of the greatest component."""
+    every = groups.select("gid", "members", "part", "parts", F.explode("nodes").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    ends = every.groupBy("gid", "members").agg(F.min(F.struct("comp", "node")).alias("low"), F.max(F.struct("comp", "node")).alias("high")).where("low.comp <> high.comp")
+    return every.join(ends, ["gid", "members"])
+
+
+def apart_pairs(rows: DataFrame) -> DataFrame:
+    """(u, v): each member of a group of several components with a node of another, in two of its groups."""
+    other = F.when(F.col("comp") == F.col("low.comp"), F.col("high.node")).otherwise(F.col("low.node"))
+    return two_each(rows.select(other.alias("u"), F.col("node").alias("v")))
+
+
+def cross_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     """(u, v): every two members of a group that are of different components and may be similar.
 
-    In groups of several parts, members of the component that has most are compared with those of other components only;
-    these are dealt into parts, too, and each such part meets each part of the group in a task.
+    Groups of one part that have their first member in common go to one task, ROUTE members or more at a time, which has each
+    node's bitmap once and says each pair once.  In groups of several parts, members of the component that has most are compared
+    with those of other components only; these are dealt into parts, too, and each such part meets each part of the group in
+    a task.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = "u bigint, v bigint"
+
+    def pairs(node: np.ndarray, u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        found = np.unique(np.stack([np.maximum(node[u], node[v]), np.minimum(node[u], node[v])], 1), axis=0)
+        return pa.RecordBatch.from_pydict({"u": found[:, 0], "v": found[:, 1]})
+
+    def between(sets: Members, comp: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        right = right[np.argsort(sets.sizes[right], kind="stable")]
+        sizes = sets.sizes[right]
+        step = max(1, (1 << 20) // max(len(right), 1))
+        for i in range(0, len(left), step):
+            some = left[i : i + step]
+            low = np.searchsorted(sizes, (3 * sets.sizes[some] + 3) // 4)
+            high = np.searchsorted(sizes, 4 * sets.sizes[some] // 3, side="right")
+            a, b = np.repeat(some, high - low), right[common.ragged(low, high - low)]
+            good = comp[a] != comp[b]
+            yield a[good], b[good]
+
+    def of_routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in single_runs(batches, "route"):
+            node = batch.column("node").to_numpy(zero_copy_only=False)
+            m = int(np.count_nonzero(~np.isnan(node))) if node.dtype.kind == "f" else len(node)
+            members = batch.slice(0, m)
+            node, comp = members.column("node").to_numpy(), members.column("comp").to_numpy()
+            sets = Members(members.column("n_shingles").to_numpy(), members.column("wide").to_pylist())
+            together = np.zeros((m, m), bool)
+            for nodes in batch.slice(m).column("nodes"):
+                own = np.searchsorted(node, nodes.values.to_numpy())
+                for a, b in between(sets, comp, own, own):
+                    a, b = a[a < b], b[a < b]
+                    together[a, b] = True
+            a, b = np.nonzero(together)
+            for i in range(0, len(a), 1 << 20):
+                u, v = a[i : i + (1 << 20)], b[i : i + (1 << 20)]
+                good = sets.near(u, v)
+                if good.any():
+                    yield pairs(node, u[good], v[good])
+
+    def of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in single_runs(batches, "route"):
             node, comp = batch.column("node").to_numpy(), batch.column("comp").to_numpy()
             other, whole = batch.column("other").to_numpy(zero_copy_only=False), batch.column("whole").to_numpy(zero_copy_only=False)
-            sets = Members(batch.column("n_shingles").to_numpy(), batch.column("sig").to_pylist())
-            left, right = np.flatnonzero(other), np.flatnonzero(whole)
-            right = right[np.argsort(sets.sizes[right], kind="stable")]
-            sizes = sets.sizes[right]
-            step = max(1, (1 << 20) // max(len(right), 1))
-            for i in range(0, len(left), step):
-                some = left[i : i + step]
-                low = np.searchsorted(sizes, (3 * sets.sizes[some] + 3) // 4)
-                high = np.searchsorted(sizes, 4 * sets.sizes[some] // 3, side="right")
-                a, b = np.repeat(some, high - low), right[common.ragged(low, high - low)]
-                good = comp[a] != comp[b]
-                a, b = a[good], b[good]
+            sets = Members(batch.column("n_shingles").to_numpy(), batch.column("wide").to_pylist())
+            for a, b in between(sets, comp, np.flatnonzero(other), np.flatnonzero(whole)):
                 good = sets.near(a, b)
-                u, v = node[a[good]], node[b[good]]
-                if len(u):
-                    pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0)
-                    yield pa.RecordBatch.from_pydict({"u": pairs[:, 0], "v": pairs[:, 1]})
-
-    every = groups.select("gid", "members", "part", "parts", F.explode("nodes").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    apart = every.groupBy("gid", "members").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("gid", "members")
-    every = common.materialize(every.join(apart, ["gid", "members"]).join(sigs, "node"), "apart")
-    both = (F.lit(True).alias("other"), F.lit(True).alias("whole"))
-    small = every.where("parts = 1").select(F.xxhash64("gid", "members").alias("route"), "node", "comp", "n_shingles", "sig", *both)
-    large = every.where("parts > 1")
-    counts = large.groupBy("gid", "members", "comp").count()
-    main = counts.groupBy("gid", "members").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), (F.sum("count") - F.max("count")).alias("others"))
-    large = large.join(main, ["gid", "members"]).withColumn("blocks", F.ceil(F.col("others") / PART).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    columns = lambda other: (F.xxhash64("gid", "members", "part", "block").alias("route"), "node", "comp", "n_shingles", "sig", F.lit(other).alias("other"), F.lit(not other).alias("whole"))
-    whole = large.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns(False))
-    others = large.where("comp <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns(True))
-    rows = small.union(whole).union(others)
-    return rows.repartition("route").sortWithinPartitions("route").mapInArrow(run, "u bigint, v bigint").distinct()
+                if good.any():
+                    yield pairs(node, a[good], b[good])
+
+    wide = sigs.select("node", "n_shingles", "wide")
+    small = rows.where("parts = 1").select("gid", "members", "node", "comp")
+    named = small.groupBy("gid", "members").agg(F.array_sort(F.collect_list("node")).alias("nodes")).withColumn("hub", F.element_at("nodes", 1))
+    weight = named.groupBy("hub").agg(F.ceil(F.sum("members") / ROUTE).alias("chunks"))
+    routed = common.materialize(named.join(weight, "hub").select(F.xxhash64("hub", F.pmod("gid", "chunks")).alias("route"), "nodes"), "routes")
+    comps = rows.select("node", "comp").distinct()
+    nothing = lambda kind: F.lit(None).cast(kind)
+    own = routed.select("route", F.explode("nodes").alias("node")).distinct().join(comps, "node").join(wide, "node").select("route", "node", "comp", "n_shingles", "wide", nothing("array<bigint>").alias("nodes"))
+    lists = routed.select("route", nothing("bigint").alias("node"), nothing("bigint").alias("comp"), nothing("bigint").alias("n_shingles"), nothing("binary").alias("wide"), "nodes")
+    found = own.union(lists).repartition("route").sortWithinPartitions("route", F.asc_nulls_last("node")).mapInArrow(of_routes, schema)
+
+    large = rows.where("parts > 1").drop("low", "high")
+    if large.limit(1).count():
+        large = large.join(wide, "node")
+        counts = large.groupBy("gid", "members", "comp").count()
+        main = counts.groupBy("gid", "members").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), (F.sum("count") - F.max("count")).alias("others"))
+        large = large.join(main, ["gid", "members"]).withColumn("blocks", F.ceil(F.col("others") / PART).cast("int")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        columns = lambda other: (F.xxhash64("gid", "members", "part", "block").alias("route"), "node", "comp", "n_shingles", "wide", F.lit(other).alias("other"), F.lit(not other).alias("whole"))
+        whole = large.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns(False))
+        others = large.where("comp <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns(True))
+        found = found.union(whole.union(others).repartition("route").sortWithinPartitions("route").mapInArrow(of_blocks, schema))
+    return found.distinct()
 
 
 def verify(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
@@ -459,12 +520,12 @@ class Joined:
         summary = common.materialize(summarize(self.docs), "summary")
         hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
         index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
-        self.rows = summary.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "sig")
+        self.rows = summary.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "sig", "wide")
         self.named = self.rows.where("doc_id is not null and n_shingles > 0")
         # a set has a key for each third shingle
         keys = (self.named.agg(F.sum("n_shingles")).first()[0] or 0) // 3
         bits = max(0, int(keys // BUCKET_KEYS).bit_length())
-        self.sigs = common.materialize(self.named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig")), "sigs")
+        self.sigs = common.materialize(self.named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("wide").alias("wide")), "sigs")
         self.groups = common.materialize(groups_of(index_keys(self.docs.where("doc_id is not null"), index, bits)), "groups")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -475,8 +536,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of each document."""
     with common.scratch(docs.sparkSession) as keep:
         own = Joined(docs)
-        sigs = own.sigs.select("node", "n_shingles", "sig")
-        links = own.verified(star_pairs(own.groups, sigs))
+        sigs = own.sigs
+        links = own.verified(similar_by_bits(star_pairs(own.groups), sigs))
         # texts of one doc_id are one document
         ids = own.named.groupBy("doc_id").agg(F.count("*").alias("texts"), F.min("node").alias("u"), F.max("node").alias("v")).where("texts > 1")
         repeated = common.materialize(ids, "repeated")
@@ -484,10 +545,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if some:
             links = links.union(own.named.join(repeated.where("u <> v").select("doc_id", "u"), "doc_id").select("u", F.col("node").alias("v")).where("u <> v").distinct())
         labels = components(links)
-        # Then, in groups whose members are still apart, every two members of different components.
-        more = own.verified(cross_pairs(own.groups, labels.withColumnRenamed("component", "comp"), sigs))
-        if more.limit(1).count():
-            labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+        # Then groups whose members are still apart: first some pairs, then all.
+        for choose in (lambda rows: similar_by_bits(apart_pairs(rows), sigs), lambda rows: cross_pairs(rows, sigs)):
+            rows = common.materialize(apart(own.groups, labels.withColumnRenamed("component", "comp")), "apart")
+            more = own.verified(choose(rows))
+            if more.limit(1).count():
+                labels = components(labels.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
         first = own.sigs.select("node", "doc_id", "copies").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         least = first.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("size")).where("size > 1")
         ends = first.join(least, "component").select("node", "component_id")
@@ -506,7 +569,7 @@ def similar_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     with common.scratch(docs.sparkSession) as keep:
         own = Joined(docs)
         nobody = own.sigs.select("node", F.col("node").alias("comp")).limit(0)
-        found = own.verified(cross_pairs(own.groups, nobody, own.sigs.select("node", "n_shingles", "sig")))
+        found = own.verified(cross_pairs(apart(own.groups, nobody), own.sigs))
         named = common.materialize(own.named.select("doc_id", F.col("node").alias("set")).distinct(), "named")
         return keep(named), keep(found)
 

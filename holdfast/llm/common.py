@@ -52,6 +52,8 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
         if _OPEN:
             _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
+    # shuffle files go when the plan that wrote them is collected
+    spark._jvm.java.lang.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,26 +11,32 @@ base is what the letter restaurants leave for words outside the training vocabul
 
 Seating is sampled by sweeps over the whole hierarchy.  Each seats anew the customers of every dish given its
 restaurant's present tables and its parent's probability, and passes the sampled tables up as the parent's customers:
-from pairs of words to words, from words to letters.  Predictive probabilities are averaged over sweeps after a burn-in.
-A pair that occurs once has one table.  Letters are put in ``SYMBOLS`` classes (a-z and 0-9 have their own), which bounds
-the letter restaurants whatever the corpus; a letter's probability within its class is its smoothed share.  Word and pair
-restaurants grow with the corpus and stay distributed; words are told apart by 64-bit hashes there.
+from pairs of words to words, from words to letters.  Predictive probabilities are averaged over the sweeps.  Letters are put in ``SYMBOLS`` classes (a-z and 0-9 have their own), which bounds the letter restaurants
+whatever the corpus; a letter's probability within its class is its smoothed share.
+
+Documents are cut into shards, a row each, which hold their words and tokens.  Word and pair restaurants are spread over
+the shards: a shard knows the corpus's counts of all words and pairs that it has.  It sends a hash of each, with its own
+count, to the hash's bucket, and gets back the counts of those that other shards have too, so that what occurs in one
+shard alone never comes back.  Random numbers depend on the pair or word alone: every shard that has it seats it alike,
+and its owner, the first of them, adds its tables to the sums.  Words are told apart by 64-bit hashes, pairs in their
+bucket by 40 bits more.
 
 Tokens: words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z, then one end for each text.  Learns from rows whose
 crc32(doc_id as text) mod 7 is not 2.
 
-Null texts count as empty (an end alone); a null doc_id is in the training part; repeated rows each count; an empty
-table gives an empty result; other columns are ignored.
+Null texts count as empty (an end alone); a null doc_id is in the training part; repeated rows each count; equal texts
+score alike; a very long text is a shard of its own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -39,18 +45,26 @@ MODULUS, HELD = 7, 2
 SYMBOLS, ORDER = 64, 3
 STRENGTH = 1.0
 SWEEPS, BURN_IN = 12, 6
-#: Sweeps over pairs, words and letters; the letter restaurants make SWEEPS of their own in each.
-WORD_SWEEPS, WORD_BURN_IN = 3, 1
+#: Sweeps over pairs, words and letters (the letter restaurants make SWEEPS of their own in each).  All are averaged; what
+#: they start from, one table for each dish, is not.
+WORD_SWEEPS = 2
 #: Name of the boundary between texts, as the word before a text's first and as the end.
 BOUNDARY = 1
 #: Probability of an end in the word restaurant's base.
 END_BASE = 1e-3
 #: Customers seated one by one; later ones in growing groups.
 ONE_BY_ONE = 32
+#: Text bytes of a shard; hashes of a bucket; bytes of a pair's hash beside its bucket.
+SHARD_BYTES, BUCKET, PAIR_BYTES = 16 << 20, 1 << 20, 5
 LN10 = np.log(10.0)
 
-SHARD_SCHEMA = "shard bigint, local int, word string, h bigint, tf bigint, code bigint, u bigint, w bigint, doc_id bigint, held_out boolean, n_tokens bigint, tokens binary"
+SHARD_SCHEMA = "shard bigint, words binary, tokens binary, lengths array<int>, held array<boolean>, doc_ids array<bigint>, n_learnt bigint, n_tokens bigint"
 SCHEMA = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+#: What a pass over shards writes: hashes with values for a bucket, or numbers to be summed.
+SENT = "bucket bigint, kind int, shard bigint, names binary, first binary, second binary, key bigint, n double"
+#: What buckets send back: values of some of a shard's hashes, by their place in what it sent.
+BACK = "shard bigint, bucket bigint, kind int, places binary, first binary, second binary, key bigint, n double"
+WORDS, PAIRS, TABLES = 0, 1, 2
 
 
 # ---------------------------------------------------------------- seating
@@ -240,50 +254,96 @@ def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code * SYMBOLS + symbols, points, ends
 
 
-# ---------------------------------------------------------------- distributed counts
+# ---------------------------------------------------------------- letters of words
+
+
+def letter_keys(words: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the letter restaurants learn from words, a customer for each table: counts of contexts with a letter, and of
+    code points (as negative keys).  Their number is bounded whatever the words."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0)
+    code, points, ends = letter_codes(words)
+    weight = np.repeat(tables, np.diff(ends, prepend=-1))
+    inside = np.ones(len(code), bool)
+    inside[ends] = False
+    keys, place = np.unique(np.concatenate([code, -1 - points[inside]]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([weight, weight[inside]]), len(keys))
+
+
+def letter_model(keys: np.ndarray, counts: np.ndarray) -> LetterModel:
+    by = np.argsort(keys)
+    key, n = keys[by], np.rint(counts[by]).astype(np.int64)
+    return LetterModel(key[key >= 0], n[key >= 0], dict(zip((-1 - key[key < 0]).tolist(), n[key < 0].tolist(), strict=True)))
+
+
+def _log_bases(words: list[str], letters: LetterModel) -> np.ndarray:
+    """Log probability of each word, and last of the end, in the word restaurant's base."""
+    return np.append(letters.log_probability(words) + np.log1p(-END_BASE), np.log(END_BASE))
+
+
+# ---------------------------------------------------------------- shards
 
 
 def word_names(words: list[bytes]) -> np.ndarray:
     """64-bit names of the words, and last that of the boundary."""
-    return np.array([*(xxhash.xxh64_intdigest(w) for w in words), BOUNDARY], np.uint64).view(np.int64)
+    return np.array([*(xxhash.xxh64_intdigest(w) for w in words), BOUNDARY], np.uint64)
+
+
+def pair_codes(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Each token with the one before it, as one number; n is the boundary."""
+    return np.concatenate([[n], tokens[:-1]]) * (n + 1) + tokens
+
+
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """Numbers, byte by byte of each in turn, compressed."""
+    raw = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def shard_texts(docs: DataFrame) -> DataFrame:
-    """Cut documents into shards: a row for each distinct word of a shard and one for each distinct pair of neighbours
-    (with their training counts), and one for each document (the shard's numbers of its words, then of the end)."""
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def shard_texts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """SHARD_SCHEMA rows: a shard's words, its tokens (numbers of its words; their number is the end), and its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId() << 32
-        schema = pa.schema(
-            [("shard", pa.int64()), ("local", pa.int32()), ("word", pa.string()), ("h", pa.int64()), ("tf", pa.int64()), ("code", pa.int64()), ("u", pa.int64()), ("w", pa.int64())]
-            + [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("tokens", pa.binary())]
-        )
-
-        def rows(m: int, **columns: pa.Array) -> pa.RecordBatch:
-            columns["shard"] = pa.array(np.full(m, shard))
-            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
+        held: list[pa.RecordBatch] = []
+        size = 0
 
-        for batch in common.slices(batches):
+        def row() -> pa.RecordBatch:
+            nonlocal held, size, shard
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             flat, counts = common.words_of(batch.column("text"), lower=True)
             coded = flat.dictionary_encode()
-            index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             n = len(coded.dictionary)
-            names = word_names(coded.dictionary.cast(pa.binary()).to_pylist())
-            learnt = np.bincount(index[np.repeat(~held, counts)], minlength=n)
-            yield rows(n, local=pa.array(np.arange(n, dtype=np.int32)), word=coded.dictionary.cast(pa.string()), h=pa.array(names[:n]), tf=pa.array(learnt))
             ends = np.cumsum(counts + 1)
             tokens = np.full(int(ends[-1]), n, np.int64)
-            tokens[np.delete(np.arange(len(tokens)), ends - 1)] = index
-            code, place = np.unique(pair_codes(tokens, n), return_inverse=True)
-            tf = np.bincount(place, np.repeat(~held, counts + 1), len(code)).astype(np.int64)
-            yield rows(len(code), code=pa.array(code), u=pa.array(names[code // (n + 1)]), w=pa.array(names[code % (n + 1)]), tf=pa.array(tf))
-            own = [part.astype("<u4").tobytes() for part in np.split(tokens, ends[:-1])]
-            m = batch.num_rows
-            yield rows(m, local=pa.array(np.full(m, n, np.int32)), doc_id=batch.column("doc_id"), held_out=batch.column("held_out"), n_tokens=pa.array(counts + 1), tokens=pa.array(own, pa.binary()))
-            shard += 1
+            tokens[np.delete(np.arange(len(tokens)), ends - 1)] = coded.indices.to_numpy(zero_copy_only=False)
+            out = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            words = b"\n".join(coded.dictionary.cast(pa.binary()).to_pylist())
+            values = [
+                [shard], [len(words).to_bytes(8, "little") + pa.compress(words, "zstd", asbytes=True)], [_packed(tokens, "<u4")], [(counts + 1).tolist()], [out.tolist()],
+                [batch.column("doc_id").to_pylist()], [int((counts + 1)[~out].sum())], [len(tokens)],
+            ]
+            kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+            names = ["shard", "words", "tokens", "lengths", "held", "doc_ids", "n_learnt", "n_tokens"]
+            held, size, shard = [], 0, shard + 1
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
+
+        for batch in common.slices(batches, limit=min(shard_bytes, common.SLICE_BYTES)):
+            own = batch.column("text").nbytes
+            if held and size + own > shard_bytes:
+                yield row()
+            held.append(batch)
+            size += own
+        if held:
+            yield row()
 
     own = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (common.fold("doc_id", MODULUS) == HELD).alias("held_out"), F.col("text").cast("string").alias("text")
@@ -291,202 +351,298 @@ def shard_texts(docs: DataFrame) -> DataFrame:
     return own.mapInArrow(run, SHARD_SCHEMA)
 
 
-def pair_codes(tokens: np.ndarray, n: int) -> np.ndarray:
-    """Each token with the one before it, as one number; n is the boundary."""
-    return np.concatenate([[n], tokens[:-1]]) * (n + 1) + tokens
+class Shard:
+    """A shard's words and pairs, in the order of their hashes, with the corpus's counts once buckets have sent them."""
+
+    def __init__(self, row: dict, bits: int):
+        data = row["words"]
+        raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True) if len(data) > 8 else b""
+        self.id, self.bits = row["shard"], bits
+        self.words = raw.split(b"\n") if raw else []
+        self.tokens = _unpacked(row["tokens"], "<u4").astype(np.int64)
+        self.lengths, self.held, self.doc_ids = np.array(row["lengths"], np.int64), np.array(row["held"], bool), row["doc_ids"]
+        n = len(self.words)
+        self.names = word_names(self.words)
+        learnt = np.repeat(~self.held, self.lengths)
+        self.counts = np.bincount(self.tokens[learnt], minlength=n + 1).astype(np.float64)
+        code, place = np.unique(pair_codes(self.tokens, n), return_inverse=True)
+        u, w = code // (n + 1), code % (n + 1)
+        with np.errstate(over="ignore"):
+            hashes = _mixed(self.names[u] * np.uint64(0x9E3779B97F4A7C15) + self.names[w])
+        by = np.argsort(hashes)
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        self.u, self.w, self.hashes, self.place = u[by], w[by], hashes[by], rank[place]
+        self.pair_counts = np.bincount(self.place[learnt], minlength=len(code)).astype(np.float64)
+        self.by_name = np.argsort(self.names)
+        self.own, self.own_pairs = np.ones(n + 1, bool), np.ones(len(code), bool)
+
+    def text(self) -> list[str]:
+        return [w.decode("utf-8", "surrogatepass") for w in self.words]
+
+    def send(self, kind: int, hashes: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> Iterator[tuple]:
+        """SENT rows of sorted hashes with their numbers, a row for each bucket."""
+        if not len(hashes):
+            return
+        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        width = PAIR_BYTES if kind == PAIRS else 8
+        low = np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
+        for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(bucket)], strict=True):
+            yield int(bucket[s]), kind, self.id, low[s:e].tobytes(), _packed(first[s:e], "<u8"), None if second is None else _packed(second[s:e], "<u8"), None, None
+
+    def take(self, back: list[dict]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Take in what buckets sent back; returns, for each kind of tables, those of each word's restaurant and those at
+        which it is the dish."""
+        names, out = self.names[self.by_name], {}
+        for row in back:
+            kind, bucket = row["kind"], np.uint64(row["bucket"] << 64 - self.bits if self.bits else 0)
+            start = int(np.searchsorted(self.hashes if kind == PAIRS else names, bucket))
+            first = _unpacked(row["first"], "<u8")
+            if kind >= TABLES:
+                after, before = out.setdefault(kind, (np.zeros(len(names)), np.zeros(len(names))))
+                at = self.by_name[start : start + len(first)]
+                after[at], before[at] = first, _unpacked(row["second"], "<u8")
+                continue
+            at, own = start + _unpacked(row["places"], "<u4").astype(np.int64), _unpacked(row["second"], "u1").astype(bool)
+            if kind == WORDS:
+                self.counts[self.by_name[at]], self.own[self.by_name[at]] = first, own
+            else:
+                self.pair_counts[at], self.own_pairs[at] = first, own
+        return out
+
+    def send_tables(self, sweep: int, tables: np.ndarray) -> Iterator[tuple]:
+        """The tables that its own pairs have, summed by the restaurant and by the dish."""
+        own, n = tables * self.own_pairs, len(self.names)
+        after, before = np.bincount(self.u, own, n), np.bincount(self.w, own, n)
+        yield from self.send(TABLES + sweep, self.names[self.by_name], after[self.by_name], before[self.by_name])
+
+
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[t]) for i, (_, t) in enumerate(fields)], names=[name for name, _ in fields])
 
 
-def letter_counts(words: DataFrame) -> LetterModel:
-    """Train the letter restaurants on (word, tables), a customer for each table.
+def _joined(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of several rows as numbers, and the number of the row of each."""
+    low = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, width)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :width] = low
+    return out.view("<u8").ravel(), np.repeat(np.arange(len(rows)), [len(r) // width for r in rows])
 
-    What is gathered is bounded: SYMBOLS ** (ORDER + 1) contexts with a letter, and the code points there are.
+
+def _gathered(sent: DataFrame) -> DataFrame:
+    """What the buckets send back.
+
+    Of words and pairs: the corpus's counts of those that several shards have, to each of these shards, and which of them
+    is the owner; and numbers of distinct ones (all, that occur once, twice) under the keys 3 * kind + 0, 1, 2.  Of tables:
+    the sums of all that was sent, in the order in which it was.
     """
 
+    def counted(kind: int, bucket: int, shards: list[int], names: list[bytes], first: list[bytes]) -> Iterator[tuple]:
+        keys, row = _joined(names, PAIR_BYTES if kind == PAIRS else 8)
+        n = np.concatenate([_unpacked(x, "<u8") for x in first]).astype(np.int64)
+        by = np.argsort(keys, kind="stable")  # rows come in the order of shards
+        heads = np.flatnonzero(np.concatenate([[True], keys[by][1:] != keys[by][:-1]]))
+        sizes, totals = np.diff(heads, append=len(keys)), np.add.reduceat(n[by], heads)
+        for k, m in enumerate((np.count_nonzero(totals), np.count_nonzero(totals == 1), np.count_nonzero(totals == 2))):
+            yield None, None, None, None, None, None, 3 * kind + k, float(m)
+        many = np.repeat(sizes > 1, sizes)
+        at, total, owner = by[many], np.repeat(totals, sizes)[many], np.zeros(len(by), bool)
+        owner[heads] = True
+        order = np.argsort(at)
+        at, total, owner = at[order], total[order], owner[many][order]
+        starts = np.cumsum([0, *(len(x) // (PAIR_BYTES if kind == PAIRS else 8) for x in names)])
+        cuts = np.searchsorted(at, starts)
+        for i, shard in enumerate(shards):
+            s, e = int(cuts[i]), int(cuts[i + 1])
+            if s < e:
+                yield shard, bucket, kind, _packed(at[s:e] - starts[i], "<u4"), _packed(total[s:e], "<u8"), _packed(owner[s:e], "u1"), None, None
+
+    def summed(kind: int, bucket: int, shards: list[int], names: list[bytes], first: list[bytes], second: list[bytes]) -> Iterator[tuple]:
+        keys, row = _joined(names, 8)
+        place = np.unique(keys, return_inverse=True)[1]
+        sums = [np.bincount(place, np.concatenate([_unpacked(x, "<u8") for x in own]).astype(np.float64))[place] for own in (first, second)]
+        cuts = np.searchsorted(row, np.arange(len(shards) + 1))
+        for i, shard in enumerate(shards):
+            part = slice(int(cuts[i]), int(cuts[i + 1]))
+            yield shard, bucket, kind, None, _packed(sums[0][part], "<u8"), _packed(sums[1][part], "<u8"), None, None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[dict] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            columns = [[r[c] for r in held] for c in ("shard", "names", "first", "second")]
+            bucket, kind = held[0]["bucket"], held[0]["kind"]
+            rows = list(summed(kind, bucket, *columns) if kind >= TABLES else counted(kind, bucket, *columns[:3]))
+            yield _rows(rows, BACK)
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            code, points, ends = letter_codes(batch.column("word").to_pylist())
-            weight = np.repeat(batch.column("tables").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(ends, prepend=-1))
-            inside = np.ones(len(code), bool)
-            inside[ends] = False
-            # code points as negative keys
-            new = np.concatenate([code, -1 - points[inside]])
-            keys, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            sums = np.bincount(place, np.concatenate([sums, weight, weight[inside]]), len(keys)).astype(np.int64)
-        yield pa.RecordBatch.from_pydict({"key": keys, "n": sums})
-
-    found = words.where("word is not null").select("word", "tables").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas().sort_values("key")
-    key, n = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-    return LetterModel(key[key >= 0], n[key >= 0], dict(zip((-1 - key[key < 0]).tolist(), n[key < 0].tolist(), strict=True)))
+            for r in batch.to_pylist():
+                if held and (held[0]["bucket"], held[0]["kind"]) != (r["bucket"], r["kind"]):
+                    yield from done()
+                    held.clear()
+                held.append(r)
+        if held:
+            yield from done()
 
+    return sent.where("bucket is not null").repartition("bucket").sortWithinPartitions("bucket", "kind", "shard").mapInArrow(run, BACK)
 
-def _with(df: DataFrame, name: str, make: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
-    """``df`` with a column of doubles."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(make(batch), pa.float64())], names=[*batch.schema.names, name])
+# ---------------------------------------------------------------- the model
 
-    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{kept}, {name} double")
 
+def _discount(once: float, twice: float) -> float:
+    return float(np.clip(once / (once + 2 * twice), 0.1, 0.9)) if once + twice else 0.5
 
-def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
-    return batch.column(name).to_numpy(zero_copy_only=False)
 
+@dataclass
+class Sweep:
+    """What all shards know of a sweep: the letters and sums that it starts from, and the sums that it comes to."""
+
+    number: int
+    letters: LetterModel
+    pair_discount: float
+    discount: float
+    #: Tables and customers of the word restaurant before the sweep, and its tables after it.
+    tables: float
+    customers: float
+    seated: float = 0.0
+    #: Probability of all words that training has not seen.
+    unseen: float = 0.0
+
+    def words(self, shard: Shard, customers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Base probability and tables of each word and the end."""
+        bases = np.exp(np.clip(_log_bases(shard.text(), self.letters), -700, 0))
+        return bases, seat(customers.astype(np.int64), (STRENGTH + self.discount * self.tables) * bases, self.discount, _mixed(shard.names), self.number)
+
+    def chances(self, bases: np.ndarray, customers: np.ndarray, tables: np.ndarray, total: float) -> np.ndarray:
+        """Probability of each word in the word restaurant that has ``total`` tables."""
+        return (np.maximum(customers - self.discount * tables, 0.0) + (STRENGTH + self.discount * total) * bases) / (STRENGTH + self.customers)
+
+    def pairs(self, shard: Shard, served: np.ndarray, chances: np.ndarray) -> np.ndarray:
+        """Tables of each pair."""
+        mass = (STRENGTH + self.pair_discount * served[shard.u]) * chances[shard.w]
+        return seat(shard.pair_counts.astype(np.int64), mass, self.pair_discount, shard.hashes, self.number)
+
+
+#: Keys of numbers that passes sum, below those of code points.
+_SUMS = -(1 << 40)
+Tables = dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def _sums(keys: np.ndarray | list[int], values: np.ndarray | list[float]) -> list[tuple]:
+    return [(None, None, None, None, None, None, int(k), float(v)) for k, v in zip(keys, values, strict=True)]
+
+
+def _numbers(rows: DataFrame) -> dict[int, float]:
+    """Sums of a bounded number of keys."""
+    found = rows.where("key is not null").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    return dict(zip(found["key"].tolist(), found["n"].tolist(), strict=True))
+
+
+class Restaurants:
+    """Seating of all restaurants, by passes over the shards."""
+
+    def __init__(self, shards: DataFrame):
+        self.shards = shards
+        facts = shards.agg(F.coalesce(F.sum("n_learnt"), F.lit(0)).alias("learnt"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).first()
+        self.n, self.bits = facts["learnt"], int(facts["tokens"] // BUCKET).bit_length()
+        bits = self.bits
+
+        def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    own = Shard(batch.slice(i, 1).to_pylist()[0], bits)
+                    by = own.by_name
+                    yield _rows([*own.send(WORDS, own.names[by], own.counts[by]), *own.send(PAIRS, own.hashes, own.pair_counts)], SENT)
+
+        found = common.materialize(_gathered(shards.mapInArrow(counts, SENT)), "counts")
+        self.back, facts = found.where("shard is not null"), _numbers(found.select("key", "n"))
+        fact = lambda k: facts.get(k, 0.0)
+        self.types = fact(3 * WORDS)
+        pair_discount = _discount(fact(3 * PAIRS + 1), fact(3 * PAIRS + 2))
+
+        def alone(shard: Shard, _tables: Tables) -> Iterator[tuple]:
+            own = np.flatnonzero((shard.own & (shard.counts > 0))[:-1])
+            words = shard.text()
+            yield from shard.send_tables(0, np.minimum(shard.pair_counts, 1))
+            yield from _sums(*letter_keys([words[i] for i in own.tolist()], np.ones(len(own))))
+
+        sums = self._sweep(alone)
+        self.sweeps = [Sweep(1, self._letters(sums), pair_discount, _discount(fact(3 * WORDS + 1), fact(3 * WORDS + 2)), self.types, fact(3 * PAIRS))]
+        for number in range(1, WORD_SWEEPS + 1):
+            now = self.sweeps[-1]
+
+            def seated(shard: Shard, tables: Tables, now=now) -> Iterator[tuple]:
+                after, before = tables[TABLES + now.number - 1]
+                bases, own_tables = now.words(shard, before)
+                pairs = now.pairs(shard, after, now.chances(bases, before, own_tables, now.tables))
+                yield from shard.send_tables(now.number, pairs)
+                own = shard.own & (shard.counts > 0)
+                words, at = shard.text(), np.flatnonzero(own[:-1])
+                yield from _sums(*letter_keys([words[i] for i in at.tolist()], own_tables[at]))
+                values = [own_tables[own].sum(), (pairs * shard.own_pairs).sum(), np.count_nonzero(before[own] == 1), np.count_nonzero(before[own] == 2), np.floor(bases[at] * 2.0**52).sum()]
+                yield from _sums([_SUMS - k for k in range(len(values))], values)
+
+            sums = self._sweep(seated)
+            tables, customers, once, twice, mass = (sums.get(_SUMS - k, 0.0) for k in range(5))
+            now.seated = tables
+            now.unseen = (STRENGTH + now.discount * tables) / (STRENGTH + now.customers) * float(np.clip(1 - END_BASE - mass / 2.0**52, 1e-6, 1))
+            if number < WORD_SWEEPS:
+                self.sweeps.append(Sweep(number + 1, self._letters(sums), pair_discount, _discount(once, twice), tables, customers))
 
-def _log_bases(batch: pa.RecordBatch, letters: LetterModel) -> np.ndarray:
-    words = batch.column("word").to_pylist()
-    real = np.array([w is not None for w in words], bool)
-    out = np.full(len(words), np.log(END_BASE))
-    out[real] = letters.log_probability([w for w in words if w is not None]) + np.log1p(-END_BASE)
-    return out
+    @staticmethod
+    def _letters(sums: dict[int, float]) -> LetterModel:
+        keys = np.array(sorted(k for k in sums if k > _SUMS), np.int64)
+        return letter_model(keys, np.array([sums[k] for k in keys.tolist()]))
 
+    def over(self, step: Callable[[Shard, Tables], pa.RecordBatch], schema: str) -> DataFrame:
+        """``step`` of each shard with what the buckets sent it."""
+        bits, nothing = self.bits, _rows([], schema)
 
-def _discount(once: int, twice: int) -> float:
-    return float(np.clip(once / (once + 2 * twice), 0.1, 0.9)) if once + twice else 0.5
+        def run(_key, rows: pa.Table, back: pa.Table) -> pa.Table:
+            if not rows.num_rows:
+                return pa.Table.from_batches([nothing])
+            shard = Shard(rows.slice(0, 1).to_pylist()[0], bits)
+            return pa.Table.from_batches([step(shard, shard.take(back.to_pylist()))])
 
+        return self.shards.groupBy("shard").cogroup(self.back.drop("key", "n").groupBy("shard")).applyInArrow(run, schema)
 
-class Sweeps:
-    """Samples of the seating of all word restaurants.
+    def _sweep(self, step: Callable[[Shard, Tables], Iterator[tuple]]) -> dict[int, float]:
+        """Run a step that yields SENT rows; adds the sums of tables to what shards are sent, and returns other sums."""
+        sent = common.materialize(self.over(lambda *a: _rows(list(step(*a)), SENT), SENT), "sweep")
+        self.back = self.back.union(common.materialize(_gathered(sent), "tables"))
+        return _numbers(sent.select("key", "n"))
 
-    pairs: (u, w, c), the pairs that training has twice or more; words: (h, word, c, after, before) with the numbers of
-    pairs that it has once, from the word and to it.  ``words`` gets columns served_k (tables of the restaurant of what
-    follows) and p_k (probability in the word restaurant) for each sample k, ``pairs`` t_k (tables).
-    """
 
-    def __init__(self, pairs: DataFrame, words: DataFrame, pair_discount: float):
-        self.pair_discount, self.discount, self.unseen = pair_discount, 0.5, []
-        letters = letter_counts(words.withColumn("tables", F.lit(1.0)))
-        words = common.materialize(_with(words, "lp", lambda b: _log_bases(b, letters)), "vocabulary")
-        pairs, total = pairs.withColumn("t", F.lit(1.0)), None
-        for sweep in range(WORD_SWEEPS):
-            after = pairs.groupBy(F.col("u").alias("h")).agg(F.sum("t").alias("more_after"))
-            before = pairs.groupBy(F.col("w").alias("h")).agg(F.sum("t").alias("more_before"))
-            own = words.join(after, "h", "left").join(before, "h", "left")
-            own = own.withColumn("served", F.col("after") + F.coalesce("more_after", F.lit(0.0))).withColumn("customers", F.col("before") + F.coalesce("more_before", F.lit(0.0)))
-            own = common.materialize(own.drop("more_after", "more_before", "tables"), "customers")
-            if total is None:  # one table a word at first
-                facts = own.agg(F.count("*").alias("n"), F.count_if(F.col("customers") == 1).alias("once"), F.count_if(F.col("customers") == 2).alias("twice")).first()
-                total, self.discount = facts["n"], _discount(facts["once"], facts["twice"])
-            own = common.materialize(_with(own, "tables", self._word_seats(total, sweep)), "seated").drop("lp")
-            letters = letter_counts(own)
-            words = common.materialize(_with(own, "lp", lambda b, letters=letters: _log_bases(b, letters)), "vocabulary")
-            # whole numbers, so that sums do not depend on the order of tasks
-            mass = F.sum(F.when(F.col("word").isNotNull(), F.floor(F.exp("lp") * 2.0**52)).otherwise(0))
-            facts = words.agg(F.sum("tables").alias("tables"), F.sum("customers").alias("customers"), mass.alias("mass")).first()
-            total, every = facts["tables"] or 0.0, facts["customers"] or 0.0
-            drawn = (STRENGTH + self.discount * total) / (STRENGTH + every)
-            p = F.greatest(F.col("customers") - self.discount * F.col("tables"), F.lit(0.0)) / (STRENGTH + every) + F.exp("lp") * drawn
-            words = words.withColumn("p", p)
-            if sweep >= WORD_BURN_IN:
-                k = sweep - WORD_BURN_IN
-                words, pairs = words.withColumn(f"served_{k}", F.col("served")).withColumn(f"p_{k}", F.col("p")), pairs.withColumn(f"t_{k}", F.col("t"))
-                self.unseen.append(float(drawn * np.clip(1 - END_BASE - (facts["mass"] or 0) / 2**52, 1e-6, 1)))
-            if sweep + 1 < WORD_SWEEPS:
-                known = pairs.drop("t").join(words.select(F.col("h").alias("u"), "served"), "u").join(words.select(F.col("h").alias("w"), "p"), "w")
-                pairs = common.materialize(_with(known, "t", self._pair_seats(sweep)).drop("served", "p"), "pair_seats")
-            words = words.drop("served", "p", "customers")
-        self.words, self.pairs = words, pairs
-
-    def _word_seats(self, total: float, sweep: int) -> Callable[[pa.RecordBatch], np.ndarray]:
-        discount = self.discount
-
-        def make(batch: pa.RecordBatch) -> np.ndarray:
-            mass = (STRENGTH + discount * total) * np.exp(np.clip(_numbers(batch, "lp"), -700, 0))
-            return seat(_numbers(batch, "customers").astype(np.int64), mass, discount, _mixed(_numbers(batch, "h").astype(np.int64).view(np.uint64)), sweep + 1)
-
-        return make
-
-    def _pair_seats(self, sweep: int) -> Callable[[pa.RecordBatch], np.ndarray]:
-        discount = self.pair_discount
-
-        def make(batch: pa.RecordBatch) -> np.ndarray:
-            mass = (STRENGTH + discount * _numbers(batch, "served")) * _numbers(batch, "p")
-            u, w = (_numbers(batch, c).astype(np.int64).view(np.uint64) for c in ("u", "w"))
-            return seat(_numbers(batch, "c"), mass, discount, _mixed(u * np.uint64(0x9E3779B97F4A7C15) + w), sweep + 1)
-
-        return make
-
-
-def score_texts(docs: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Contract of op4."""
-    staged = common.materialize(shard_texts(docs), "shards")
-    by_word, by_pair = Window.partitionBy("word"), Window.partitionBy("u", "w")
-    words = staged.where("word is not null").select(
-        "shard", "local", "h", "word", F.sum("tf").over(by_word).alias("c"), (F.row_number().over(by_word.orderBy("shard")) == 1).alias("first")
-    )
-    words = common.materialize(words, "words")
-    learnt = words.where("first and c > 0")
-    pairs = staged.where("code is not null").select(
-        "u", "w", "tf", "shard", "code", F.sum("tf").over(by_pair).alias("c"), (F.row_number().over(by_pair.orderBy("shard")) == 1).alias("first")
-    )
-    # a pair that training has once, here, is known to its shard
-    alone = F.col("c") == F.col("tf")
-    pairs = pairs.where("c > 0").select("u", "w", "c", "first", F.when(~(alone & (F.col("c") == 1)), F.col("shard")).alias("shard"), F.when(~(alone & (F.col("c") == 1)), F.col("code")).alias("code"))
-    pairs = common.materialize(pairs, "pairs")
-    facts = learnt.agg(F.count("*").alias("types"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
-    ends = staged.where("n_tokens is not null and not held_out").count()
-    n, types = facts["n"] + ends, facts["types"] + (ends > 0)
-    once = pairs.where("first and c = 1")
-    twice = pairs.where("first and c = 2").count()
-    vocabulary = learnt.groupBy("h").agg(F.min("word").alias("word"), F.sum("c").alias("c"))
-    if ends:
-        vocabulary = vocabulary.union(docs.sparkSession.range(1).select(F.lit(BOUNDARY).cast("bigint"), F.lit(None).cast("string"), F.lit(ends).cast("bigint")))
-    for column, name in (("u", "after"), ("w", "before")):
-        vocabulary = vocabulary.join(once.groupBy(F.col(column).alias("h")).agg(F.count("*").alias(name)), "h", "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("double"))
-    vocabulary = common.materialize(vocabulary.select("h", "word", "c", "after", "before"), "vocabulary")
-    seen = Sweeps(pairs.where("first and c > 1").select("u", "w", "c"), vocabulary, _discount(once.count(), twice))
-    samples, unseen, discount = range(len(seen.unseen)), seen.unseen, seen.pair_discount
-    tables, chances, seats = [f"served_{k}" for k in samples], [f"p_{k}" for k in samples], [f"t_{k}" for k in samples]
-    edge = seen.words.where(F.col("h") == BOUNDARY).select(*tables, *chances).first()
-    edge_tables = [edge[c] for c in tables] if edge else [0.0] * len(unseen)
-    edge_chances = [edge[c] for c in chances] if edge else [END_BASE] * len(unseen)
-    bottom = np.log10(n + types + 1)
-
-    def total(_key, own: pa.Table, texts: pa.Table) -> pa.Table:
-        size = texts.column("local")[0].as_py()
-        of_word, code = own.column("local").is_valid().to_numpy(), own.column("code").to_numpy()
-        local = own.column("local").to_numpy()[of_word].astype(np.int64)
-        counts = np.zeros(size + 1, np.int64)
-        counts[local], counts[size] = own.column("c").to_numpy()[of_word], ends
-        own_pairs = np.flatnonzero(~of_word)
-        own_pairs = own_pairs[np.argsort(code[own_pairs])]
-        pair_code, pair_count = code[own_pairs].astype(np.int64), own.column("c").to_numpy()[own_pairs]
-
-        lengths = texts.column("n_tokens").to_numpy()
-        tokens = np.frombuffer(b"".join(texts.column("tokens").to_pylist()), "<u4").astype(np.int64)
-        learnt_here = np.repeat(~texts.column("held_out").to_numpy().astype(bool), lengths)
-        distinct, place = np.unique(pair_codes(tokens, size), return_inverse=True)
-        # pairs without a row are those that training has not, or once and here
-        customers = np.bincount(place, learnt_here, len(distinct))
-        at = np.minimum(np.searchsorted(pair_code, distinct), max(len(pair_code) - 1, 0))
-        shared = pair_code[at] == distinct if len(pair_code) else np.zeros(len(distinct), bool)
-        customers[shared] = pair_count[at[shared]]
-        u, w = distinct // (size + 1), distinct % (size + 1)
-        chance = np.zeros(len(distinct))
-        for k in samples:
-            served, p, t = np.zeros(size + 1), np.full(size + 1, unseen[k]), np.minimum(customers, 1)
-            known = counts[local] > 0
-            served[local[known]], p[local[known]] = own.column(tables[k]).to_numpy()[of_word][known], own.column(chances[k]).to_numpy()[of_word][known]
-            served[size], p[size] = edge_tables[k], edge_chances[k]
-            t[shared] = own.column(seats[k]).to_numpy()[own_pairs][at[shared]]
-            chance += (np.maximum(customers - discount * t, 0) + (STRENGTH + discount * served[u]) * p[w]) / (STRENGTH + counts[u])
-        value = np.log10(np.maximum(chance / len(unseen), 1e-300))[place]
-        starts = np.cumsum(lengths) - lengths
-        plain = np.log10(counts + 1) - bottom
-        return pa.table(
-            {
-                "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": texts.column("n_tokens"), "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts),
-                "train_tokens": pa.array(np.full(texts.num_rows, n), pa.int64()), "base_score": np.add.reduceat(plain[tokens], starts), "score": np.add.reduceat(value, starts),
-            }
-        )
-
-    nothing = lambda names: [F.lit(None).cast("double").alias(c) for c in names]
-    of_words = words.where("c > 0").join(seen.words.select("h", *tables, *chances), "h").select("shard", "local", F.lit(None).cast("bigint").alias("code"), "c", *tables, *chances, *nothing(seats))
-    many = pairs.where("shard is not null").join(seen.pairs.select("u", "w", *seats), ["u", "w"], "left")
-    of_pairs = many.select("shard", F.lit(None).cast("int").alias("local"), "code", "c", *nothing([*tables, *chances]), *[F.coalesce(c, F.lit(1.0)).alias(c) for c in seats])
-    texts = staged.where("n_tokens is not null").select("shard", "local", "doc_id", "held_out", "n_tokens", "tokens")
-    return of_words.union(of_pairs).groupBy("shard").cogroup(texts.groupBy("shard")).applyInArrow(total, SCHEMA)
+    with common.scratch(docs.sparkSession) as keep:
+        model = Restaurants(common.materialize(shard_texts(docs, shard_bytes), "shards"))
+        n, sweeps, bottom = model.n, model.sweeps, np.log10(model.n + model.types + 1)
+
+        def scores(shard: Shard, tables: Tables) -> pa.RecordBatch:
+            chance = np.zeros(len(shard.hashes))
+            for now in sweeps:
+                after, before = tables[TABLES + now.number - 1]
+                bases, own_tables = now.words(shard, before)
+                pairs = now.pairs(shard, after, now.chances(bases, before, own_tables, now.tables))
+                p = np.where(shard.counts > 0, now.chances(bases, before, own_tables, now.seated), now.unseen)
+                served, discount = tables[TABLES + now.number][0], now.pair_discount
+                new = np.maximum(shard.pair_counts - discount * pairs, 0.0) + (STRENGTH + discount * served[shard.u]) * p[shard.w]
+                chance += new / (STRENGTH + shard.counts[shard.u])
+            value = np.log10(np.maximum(chance / len(sweeps), 1e-300))[shard.place]
+            starts = np.cumsum(shard.lengths) - shard.lengths
+            plain = np.log10(shard.counts + 1) - bottom
+            sums = lambda x: pa.array(np.add.reduceat(x, starts))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shard.doc_ids, pa.int64()), pa.array(shard.held), pa.array(shard.lengths), sums((shard.counts > 0)[shard.tokens].astype(np.int64)),
+                    pa.array(np.full(len(starts), n), pa.int64()), sums(plain[shard.tokens]), sums(value),
+                ],
+                names=[c.split(" ")[0] for c in SCHEMA.split(", ")],
+            )
+
+        return keep(common.materialize(model.over(scores, SCHEMA), "scores"))

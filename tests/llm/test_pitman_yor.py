@@ -80,7 +80,6 @@ def test_late_customers_are_sampled():
     assert got.std() == pytest.approx(one_by_one.std(), rel=0.1)
 
 
-def test_letters_are_served_to_tables(spark):
-    words = lambda n: spark.createDataFrame([("ab", n), ("xy", 1.0)], "word string, tables double")
-    few, many = py.letter_counts(words(1.0)), py.letter_counts(words(50.0))
+def test_letters_are_served_to_tables():
+    few, many = (py.letter_model(*py.letter_keys(["ab", "xy"], np.array([n, 1.0]))) for n in (1.0, 50.0))
     assert many.log_probability(["ab"])[0] > few.log_probability(["ab"])[0] + 0.3

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -19,6 +20,10 @@ TITLE_LENGTH = 181
 RESERVED_WIKITEXT = ("|", "=", "[[", "]]", "{{", "}}", "''")
 # Code points that statement values must not hold.
 BAD_CHARACTERS = "\ufeff\u200e\u200f\ufffe\uffff"
+# What does not count at the ends of compared texts.
+TRIMMED = " \t\r\n.,;:!?\"'`‘’“”()[]{}<>-‐‑‒–—…/\\|"
+# Wiki magic words and what they stand for.
+MAGIC_WORDS = {"{{!}}": "|", "{{=}}": "=", "{{((}}": "{{", "{{))}}": "}}", "{{!(}}": "{|", "{{)!}}": "|}"}
 VALUE_LENGTH, CHUNK_LENGTH = 1499, 1500
 WHITE = r"(?U)\s+"
 
@@ -101,35 +106,68 @@ def casefolded(values: pd.Series) -> pd.Series:
     return values.map(str.casefold, na_action="ignore")
 
 
+def magic_unescaped(value: Column) -> Column:
+    """Magic words replaced in one pass, so that what a replacement makes is not replaced again: each word first becomes a
+    code point that no text holds.  (No word can begin inside another.)"""
+    marks = [chr(0xFDD0 + i) for i in range(len(MAGIC_WORDS))]
+    for mark, word in zip(marks, MAGIC_WORDS, strict=True):
+        value = F.replace(value, F.lit(word), F.lit(mark))
+    for mark, plain in zip(marks, MAGIC_WORDS.values(), strict=True):
+        value = F.replace(value, F.lit(mark), F.lit(plain))
+    return value
+
+
+def _case_folded(value: Column) -> Column:
+    """Only texts beyond ASCII leave the JVM."""
+    plain = value.rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, F.lower(value)).otherwise(casefolded(F.when(~plain, value)))
+
+
+def _trimmed(value: Column) -> Column:
+    return F.regexp_replace(F.trim(value, F.lit(TRIMMED)), WHITE, " ")
+
+
 def folded(value: Column) -> Column:
-    """For comparing: punctuation at both ends dropped, white space collapsed, case folded; null is empty."""
-    bare = F.regexp_replace(strip(F.coalesce(value, F.lit(""))), r"^[\p{P}\p{Z}]+|[\p{P}\p{Z}]+$", "")
-    return F.coalesce(casefolded(F.trim(F.regexp_replace(bare, WHITE, " "))), F.lit(""))
+    """For comparing: magic words undone, punctuation at both ends dropped, white space collapsed, case folded; null is
+    empty."""
+    return _case_folded(_trimmed(magic_unescaped(F.coalesce(value, F.lit("")))))
 
 
-def chunk_text(text: str, limit: int = CHUNK_LENGTH) -> list[str]:
-    """Greedy parts of at most ``limit`` characters that join to the text; a cut never lies beside white space unless
-    nothing else is left of it."""
-    parts, at = [], 0
-    while len(text) - at > limit:
-        cut = at + limit
-        while cut > at + 1 and (text[cut - 1].isspace() or text[cut].isspace()):
-            cut -= 1
-        if cut <= at + 1:
-            cut = at + limit
-        parts.append(text[at:cut])
-        at = cut
-    return [*parts, text[at:]]
+def folded_parts(value: Column, delimiter: str = "; ") -> Column:
+    """The parts of a joined value, each as for comparing; empty ones are left out."""
+    parts = F.split(_case_folded(magic_unescaped(F.coalesce(value, F.lit("")))), re.escape(delimiter), -1)
+    return F.filter(F.transform(parts, _trimmed), lambda x: x != "")
+
+
+def cut_value(value: Column) -> Column:
+    """At most VALUE_LENGTH characters, without white space at the end; null is empty."""
+    return rstrip(F.substring(F.coalesce(value, F.lit("")), 1, VALUE_LENGTH))
+
 
+def ellipsis(value: Column, limit: int) -> Column:
+    """The first ``limit`` characters, with a note of the length where there are more; null is empty."""
+    note = F.concat(F.substring(value, 1, limit), F.lit("... [truncated, "), F.length(value).cast("string"), F.lit(" chars total]"))
+    return F.when(F.length(value) > limit, note).otherwise(F.coalesce(value, F.lit("")))
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _chunks(values: pd.Series) -> pd.Series:
-    return values.map(chunk_text, na_action="ignore")
 
+def chunks(value: Column, limit: int = CHUNK_LENGTH) -> Column:
+    """Greedy parts of at most ``limit`` characters that join to the text; a cut never lies beside white space unless
+    nothing else is left of it."""
+
+    def step(state: Column, _: Column) -> Column:
+        rest = state["rest"]
+        window = F.substring(rest, 1, limit + 1)
+        good = F.regexp_extract(window, r"(?sU)^(.*\S)\S", 1)
+        own = F.when(good == "", F.substring(window, 1, limit)).otherwise(good)
+        more = F.length(rest) > limit
+        return F.struct(
+            F.when(more, F.substr(rest, F.length(own) + 1)).otherwise("").alias("rest"), F.when(rest == "", state["parts"]).otherwise(F.concat(state["parts"], F.array(F.when(more, own).otherwise(rest)))).alias("parts")
+        )
 
-def chunks(text: Column, limit: int = CHUNK_LENGTH) -> Column:
-    """Only long values leave the JVM's own operators."""
-    return F.when(F.length(text) > limit, _chunks(F.when(F.length(text) > limit, text))).otherwise(F.array(text))
+    # two parts that follow each other are longer than the limit together
+    turns = F.sequence(F.lit(1), 2 * F.ceil(F.length(value) / limit) + 2)
+    start = F.struct(value.alias("rest"), F.array().cast("array<string>").alias("parts"))
+    return F.when(F.length(value) > limit, F.aggregate(turns, start, step)["parts"]).otherwise(F.array(value))
 
 
 def series_letter(n: Column) -> Column:
@@ -159,6 +197,5 @@ def is_junk_value(c: Column) -> Column:
 
 def multi_value_subset(value: Column, canonical: Column, delimiter: str = "; ") -> Column:
     """Whether the folded parts of one joined value are all among those of another that has several."""
-    parts = lambda c: F.filter(F.transform(F.split(c, delimiter), lambda x: F.lower(F.trim(x))), lambda x: x != "")
-    mine, theirs = parts(value), parts(canonical)
+    mine, theirs = folded_parts(value, delimiter), folded_parts(canonical, delimiter)
     return F.coalesce(canonical.contains(delimiter) & (F.size(mine) > 0) & (F.size(F.array_except(mine, theirs)) == 0), F.lit(False))

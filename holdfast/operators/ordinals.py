@@ -60,18 +60,36 @@ def incomplete(items: DataFrame, ordinals: DataFrame) -> DataFrame:
 
 
 def gap_audit(pages: DataFrame, expected: DataFrame) -> DataFrame:
-    """Pages beyond the expected count (from 1 if one is expected) up to the first run of more than MAX_MISSES gaps.
+    """Pages beyond the expected count (all from the first, if one is expected) up to the first run of more than MAX_MISSES
+    gaps, CEILING pages at most.  Items that should have none are not looked at.
 
     pages: id, page; expected: id, n
     """
     start = F.when(F.col("n") == 1, 0).otherwise(F.col("n"))
-    beyond = pages.join(expected, "id").withColumn("start", start).where((F.col("page") > F.col("start")) & (F.col("page") <= CEILING))
+    known = expected.where("n >= 1").withColumn("start", start)
+    beyond = pages.select("id", "page").distinct().join(known, "id").where((F.col("page") > F.col("start")) & (F.col("page") <= F.col("start") + CEILING))
     of = Window.partitionBy("id").orderBy("page")
     jump = F.col("page") - F.coalesce(F.lag("page").over(of), F.col("start")) - 1 > MAX_MISSES
     marked = beyond.select("id", "page", jump.alias("jump"))
     return marked.withColumn("stops", F.sum(F.col("jump").cast("int")).over(of)).where("stops = 0").select("id", "page")
 
 
+def content_exists(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """(sha1) that some file has."""
+    return wanted.join(files.select("sha1").distinct(), "sha1", "left_semi")
+
+
+def content_hash(content: Column) -> Column:
+    """SHA-1 of bytes, or of a text's UTF-8."""
+    return F.sha1(content.cast("binary"))
+
+
+def signed(objects: DataFrame) -> DataFrame:
+    """Objects (path, sha1, content) with the hashes that are missing; those that have one are not read for it."""
+    missing = F.coalesce("sha1", F.lit("")) == ""
+    return objects.select("path", F.when(missing, content_hash(F.col("content"))).otherwise(F.col("sha1")).alias("sha1"))
+
+
 def by_hash(wanted: DataFrame, files: DataFrame) -> DataFrame:
     """(sha1, preferred) -> the file with that content: the preferred title, else the earliest upload, else by title.
 

@@ -25,7 +25,7 @@ def trace(revisions: DataFrame) -> DataFrame:
 
 def classify(traced: DataFrame, bots: list[str]) -> DataFrame:
     known = F.lower(F.replace(F.col("user"), F.lit("_"), F.lit(" "))).isin(*[b.lower().replace("_", " ") for b in bots])
-    return traced.withColumn("origin", F.when(F.coalesce(known, F.lit(False)), "dpla").otherwise("community"))
+    return traced.withColumn("origin", F.when(F.coalesce(known, F.lit(False)), "bot").otherwise("community"))
 
 
 def first_editor(revisions: DataFrame) -> DataFrame:

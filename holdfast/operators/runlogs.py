@@ -76,10 +76,46 @@ def merge_counters(parts: list[DataFrame]) -> DataFrame:
     return every.groupBy("result").agg(F.sum("n").alias("n"))
 
 
-def systemic_failure(synced: Column, failed: Column) -> Column:
-    """Something failed, and nothing was synced or half of all failed."""
-    return (failed > 0) & ((synced == 0) | (failed / (failed + synced) >= 0.5))
+def systemic_failure(total: Column, synced: Column, partial: Column, failed: Column) -> Column:
+    """Something failed, and nothing was synced (not even in part) or half of all items failed."""
+    return (total > 0) & (failed > 0) & ((synced + partial == 0) | (failed / total >= 0.5))
 
 
 def item_outcome(synced: Column, error: Column) -> Column:
     return F.when(synced & error, "PARTIAL").when(synced, "SYNCED").when(error, "ERROR").otherwise("MAPPING")
+
+
+# Fixed patterns: the line that names an item, the line of a failed download, and that of one without a URL.
+FAILED_ITEM, FAILED_DOWNLOAD, FAILED_EMPTY = r"Failed: ([0-9a-f]{32})", "Failed downloading", "Failed downloading  to"
+
+
+def failed_downloads(log: DataFrame) -> DataFrame:
+    """(file, line_no, text) of download logs -> items with a failed download: of the failures after an item's line the first
+    counts, unless it had no URL."""
+    named = F.col("text").rlike(FAILED_ITEM)
+    over = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    held = carry_forward(log.withColumn("_block", F.sum(named.cast("int")).over(over)), ["file"], ["line_no"], F.when(named, F.regexp_extract("text", FAILED_ITEM, 1)), "id")
+    first = held.where(~named & F.col("text").contains(FAILED_DOWNLOAD) & F.col("id").isNotNull()).groupBy("file", "_block", "id").agg(F.min_by("text", "line_no").alias("text"))
+    return first.where(~F.col("text").contains(FAILED_EMPTY)).select("file", "id").distinct()
+
+
+def printed(counts: DataFrame) -> DataFrame:
+    """One block of text: a line for each counter that is above zero, by name."""
+    lines = counts.where("n > 0").select(F.struct(F.col("result"), F.concat(F.col("result"), F.lit(": "), F.col("n").cast("string")).alias("line")).alias("l"))
+    return lines.agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["line"]), "\n").alias("block"))
+
+
+def tally(rows: DataFrame, anchor: str) -> DataFrame:
+    """How many rows were resolved by each anchor."""
+    return rows.groupBy(F.col(anchor).alias("anchor")).agg(F.count("*").alias("n"))
+
+
+def skips_by_reason(rows: DataFrame) -> DataFrame:
+    """(id, ordinal, reason) -> each reason of an item with its ordinals."""
+    return rows.where("reason <> ''").groupBy("id", "reason").agg(F.array_sort(F.collect_list("ordinal")).alias("ordinals"))
+
+
+def groups(files: DataFrame, limit: int | None = None) -> DataFrame:
+    """(id, file) -> an item's files together, of the first items by id if there is a limit."""
+    own = files.groupBy("id").agg(F.array_sort(F.collect_list("file")).alias("files"))
+    return own if limit is None else own.orderBy("id").limit(limit)

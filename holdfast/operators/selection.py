@@ -107,7 +107,47 @@ def targets_of_entity(institutions: DataFrame, maintain: bool = False) -> DataFr
     return hubs.unionByName(own).where(F.col("qid").isNotNull() & (F.lit(maintain) | F.col("up"))).select("qid", "hub", "inst")
 
 
-def title_order(items: DataFrame, title: str, length: int = 64) -> DataFrame:
-    """Items with the key that lists them by title: folded, without leading quotes and brackets, then by id."""
-    key = F.ltrim(F.lower(F.substring(F.coalesce(F.col(title), F.lit("")), 1, length)), F.lit(" \"'(<[-_."))
-    return items.withColumn("sort_key", F.concat(key, F.lit("\u0000"), F.col("id").cast("string")))
+# Fixed value: what does not count at the beginning of a title when titles are listed.
+UNSORTED = " \"'(<[-_."
+
+
+def title_order(items: DataFrame, title: str) -> DataFrame:
+    """Items with the key that lists them as their pages are listed, and in that order: the page's title without its
+    identifier, folded, without leading quotes and brackets, then by id."""
+    identifier = F.col("id").cast("string")
+    page = text.page_title(F.coalesce(F.col(title), F.lit("")), identifier, F.lit(""))
+    prefix = F.substr(page, F.lit(1), F.length(page) - F.length(identifier) - len(" - DPLA - "))
+    key = F.ltrim(text.casefolded(prefix), F.lit(UNSORTED))
+    return items.withColumn("sort_key", F.concat(key, F.lit("\u0000"), identifier)).orderBy("sort_key", "id")
+
+
+def collection_batches(counts: DataFrame, excluded: tuple[str, ...], below: int, size: int) -> DataFrame:
+    """Collections that are small enough and whose names have none of these words, dealt into batches."""
+    kept = counts.where(~F.coalesce(F.col("term").rlike("|".join(excluded)), F.lit(False))) if excluded else counts
+    return facet_batches(kept, size, below)
+
+
+def entity_of_target(institutions: DataFrame, targets: DataFrame) -> DataFrame:
+    """(hub, inst; null for the hub itself) -> qid; null where nothing is known."""
+    hubs = institutions.groupBy("hub").agg(F.max("hub_qid").alias("_hub_qid"))
+    own = institutions.groupBy("hub", "inst").agg(F.max("inst_qid").alias("_inst_qid"))
+    joined = targets.join(hubs, "hub", "left").join(own, ["hub", "inst"], "left")
+    return joined.select("hub", "inst", F.when(F.col("inst").isNull(), F.col("_hub_qid")).otherwise(F.col("_inst_qid")).alias("qid"))
+
+
+def names_of_entities(institutions: DataFrame) -> DataFrame:
+    """qid -> the name of the hub or institution that has it; a hub's first."""
+    hubs = institutions.select(F.col("hub_qid").alias("qid"), F.struct(F.lit(0).alias("rank"), F.col("hub").alias("name")).alias("n"))
+    own = institutions.select(F.col("inst_qid").alias("qid"), F.struct(F.lit(1).alias("rank"), F.col("inst").alias("name")).alias("n"))
+    return hubs.union(own).where("qid is not null").groupBy("qid").agg(F.min("n").alias("n")).select("qid", F.col("n.name").alias("name"))
+
+
+def missing_categories(institutions: DataFrame, categories: DataFrame) -> DataFrame:
+    """Institutions with an entity that have no category yet; categories: qid."""
+    return institutions.where(present("inst_qid")).select("hub", "inst", "inst_qid").distinct().join(categories.select(F.col("qid").alias("inst_qid")).distinct(), "inst_qid", "left_anti")
+
+
+def institution_status(institutions: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Whether each (hub, inst) uploads: the hub does, or the institution."""
+    own = institutions.groupBy("hub", "inst").agg(F.bool_or(uploads()).alias("_up"))
+    return wanted.join(own, ["hub", "inst"], "left").select("hub", "inst", F.coalesce("_up", F.lit(False)).alias("eligible"))

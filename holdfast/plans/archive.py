@@ -190,15 +190,15 @@ def incomplete_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH p AS (SELECT DISTINCT l_suppkey AS id, l_partkey % 500 + 1 AS page FROM lineitem), e AS (SELECT s_suppkey AS id, s_suppkey % 40 + 1 AS n FROM supplier),
-b AS (SELECT p.id, page, CASE WHEN n = 1 THEN 0 ELSE n END AS start FROM p JOIN e USING (id) WHERE page > CASE WHEN n = 1 THEN 0 ELSE n END AND page <= 500),
+    """WITH p AS (SELECT DISTINCT l_suppkey AS id, l_partkey % 700 + 1 AS page FROM lineitem), e AS (SELECT s_suppkey AS id, s_suppkey % 40 AS n FROM supplier),
+b AS (SELECT p.id, page, CASE WHEN n = 1 THEN 0 ELSE n END AS start FROM p JOIN e USING (id) WHERE n >= 1 AND page > CASE WHEN n = 1 THEN 0 ELSE n END AND page <= CASE WHEN n = 1 THEN 0 ELSE n END + 500),
 j AS (SELECT id, page, (page - coalesce(lag(page) OVER (PARTITION BY id ORDER BY page), start) - 1 > 2)::INT AS jump FROM b),
 s AS (SELECT *, sum(jump) OVER (PARTITION BY id ORDER BY page) AS stops FROM j)
 SELECT id, page FROM s WHERE stops = 0"""
 )
 def gap_audit(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), (F.col("l_partkey") % 500 + 1).alias("page")).distinct()
-    return media.gap_audit(pages, table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 40 + 1).alias("n")))
+    pages = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("id"), (F.col("l_partkey") % 700 + 1).alias("page")).distinct()
+    return media.gap_audit(pages, table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") % 40).alias("n")))
 
 
 @query(
@@ -374,12 +374,3 @@ def month_series(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT l_suppkey AS series, max(strftime(l_shipdate, '%Y-%m')) AS last_month FROM lineitem GROUP BY 1 HAVING max(strftime(l_shipdate, '%Y-%m')) < '2002-01'")
 def stale_series(spark: SparkSession, d: str) -> DataFrame:
     return series.stale(series.monthly(table(spark, d, "lineitem"), "l_suppkey", "l_shipdate", "l_quantity"), "2002-01")
-
-
-@query(
-    """SELECT o_orderkey AS id, ltrim(lower(substr(o_orderpriority, 1, 64)), ' "''(<[-_.') || chr(0) || o_orderkey AS sort_key FROM orders"""
-)
-def title_order(spark: SparkSession, d: str) -> DataFrame:
-    return selection.title_order(table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_orderpriority"), "o_orderpriority").select("id", "sort_key")
-
-

@@ -80,11 +80,15 @@ def counter_diff(spark: SparkSession, d: str) -> DataFrame:
     return runlogs.counter_diff(runlogs.counters(own, "event_type"), runlogs.counters(before, "event_type"))
 
 
-@query(f"WITH {LOG_SQL}, c AS (SELECT user_id, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'purchase') AS synced FROM log GROUP BY 1) SELECT user_id, failed > 0 AND (synced = 0 OR failed / (failed + synced) >= 0.5) AS abort FROM c")
+@query(
+    f"""WITH {LOG_SQL}, c AS (SELECT user_id, count(*) AS total, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'purchase') AS synced, count(*) FILTER (event_type = 'signup') AS partial FROM log GROUP BY 1)
+SELECT user_id, total > 0 AND failed > 0 AND (synced + partial = 0 OR failed / total >= 0.5) AS abort FROM c"""
+)
 def systemic_failure(spark: SparkSession, d: str) -> DataFrame:
     kind = F.col("event_type")
-    counted = log(spark, d).groupBy("user_id").agg(F.count_if(kind == "error").alias("failed"), F.count_if(kind == "purchase").alias("synced"))
-    return counted.select("user_id", runlogs.systemic_failure(F.col("synced"), F.col("failed")).alias("abort"))
+    counts = [F.count("*").alias("total"), *[F.count_if(kind == k).alias(name) for k, name in (("error", "failed"), ("purchase", "synced"), ("signup", "partial"))]]
+    counted = log(spark, d).groupBy("user_id").agg(*counts)
+    return counted.select("user_id", runlogs.systemic_failure(*[F.col(c) for c in ("total", "synced", "partial", "failed")]).alias("abort"))
 
 
 @query(f"WITH {LOG_SQL}, c AS (SELECT user_id, k, bool_or(event_type = 'purchase') AS s, bool_or(event_type = 'error') AS e FROM log GROUP BY ALL) SELECT user_id, k, CASE WHEN s AND e THEN 'PARTIAL' WHEN s THEN 'SYNCED' WHEN e THEN 'ERROR' ELSE 'MAPPING' END AS outcome FROM c")
@@ -98,7 +102,7 @@ def _revisions(spark: SparkSession, d: str) -> DataFrame:
     """Each turn as a revision with two parameters, each of which may be missing."""
     size = F.length("text")
     params = F.map_filter(
-        F.create_map(F.lit("title"), F.when(size % 4 != 0, F.substring("text", 1, 3)), F.lit("date"), F.when(size % 3 != 0, (size % 7).cast("string"))),
+        F.create_map(F.lit("title"), F.when(size % 4 != 0, F.col("text")), F.lit("date"), F.when(size % 3 != 0, (size % 7).cast("string"))),
         lambda k, v: v.isNotNull(),
     )
     return table(spark, d, "conversations").select(F.col("conv_id").alias("page"), F.col("turn").alias("rev"), F.col("role").alias("user"), params.alias("params"))
@@ -106,10 +110,10 @@ def _revisions(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     """WITH l AS (SELECT conv_id AS page, turn AS rev, role AS user, unnest(['title', 'date']) AS key,
-    unnest([CASE WHEN len(text) % 4 <> 0 THEN substr(text, 1, 3) END, CASE WHEN len(text) % 3 <> 0 THEN (len(text) % 7)::VARCHAR END]) AS value FROM conversations),
+    unnest([CASE WHEN len(text) % 4 <> 0 THEN text END, CASE WHEN len(text) % 3 <> 0 THEN (len(text) % 7)::VARCHAR END]) AS value FROM conversations),
 c AS (SELECT *, value IS DISTINCT FROM lag(value) OVER (PARTITION BY page, key ORDER BY rev) AS changed FROM l)
 SELECT page, key, (array_agg(value ORDER BY rev DESC))[1] AS value, (array_agg(user ORDER BY rev DESC) FILTER (changed))[1] AS user,
-  CASE WHEN lower((array_agg(user ORDER BY rev DESC) FILTER (changed))[1]) = 'assistant' THEN 'dpla' ELSE 'community' END AS origin
+  CASE WHEN lower((array_agg(user ORDER BY rev DESC) FILTER (changed))[1]) = 'assistant' THEN 'bot' ELSE 'community' END AS origin
 FROM c GROUP BY page, key HAVING (array_agg(value ORDER BY rev DESC))[1] IS NOT NULL"""
 )
 def provenance_trace(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, urls
-from ..operators import statements
+from ..operators import selection, statements
 from .registry import Registry
 from .roles import table
 
@@ -74,16 +74,31 @@ def text_normalise(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.nfc(text.statement_value(F.col("text"))).alias("value"))
 
 
-@query()
+@query(
+    rf"""WITH RECURSIVE v AS (SELECT doc_id AS id, {_VALUE} AS value FROM documents),
+c(id, n, part, rest) AS (
+  SELECT id, 0, NULL::VARCHAR, value FROM v
+  UNION ALL
+  SELECT id, n + 1, CASE WHEN len(rest) <= 1500 THEN rest ELSE substr(rest, 1, cut) END, CASE WHEN len(rest) <= 1500 THEN NULL ELSE substr(rest, cut + 1) END
+  FROM (SELECT *, CASE WHEN regexp_matches(substr(rest, 1, 1501), '[^\s\x{{A0}}]{{2}}') THEN len(regexp_extract(substr(rest, 1, 1501), '^((?s:.*)[^\s\x{{A0}}])[^\s\x{{A0}}]', 1)) ELSE 1500 END AS cut FROM c WHERE rest IS NOT NULL))
+SELECT id, 'P1476' AS prop, 0 AS pos, CASE WHEN count(*) OVER (PARTITION BY id) > 1 THEN 'A' END AS letter, n - 1 AS part, part AS value FROM c WHERE n > 0"""
+)
 def text_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Greedy cutting is beyond a fixed pattern; tests join the parts again."""
     values = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.lit("P1476").alias("prop"), F.col("lang").alias("language"), F.lit(0).alias("pos"), text.statement_value(F.col("text")).alias("value"))
     return statements.long_values(values).drop("language")
 
 
+
+def _folded_sql(expression: str) -> str:
+    """As for comparing, where the text has no magic words and no letters that fold otherwise than to lower case, but ß."""
+    ends = text.TRIMMED.replace("'", "''")
+    return rf"regexp_replace(trim(replace(lower({expression}), 'ß', 'ss'), '{ends}'), '[\s\x0B\x{{85}}\x{{A0}}]+', ' ', 'g')"
+
+
 @query(
-    r"""WITH f AS (SELECT conv_id, turn, lower(text) AS v, lower(lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text)) AS p FROM conversations),
-l AS (SELECT conv_id, turn, list_filter(list_transform(string_split(v, '. '), lambda x: trim(x)), lambda x: x <> '') AS a, CASE WHEN contains(p, '. ') THEN list_filter(list_transform(string_split(p, '. '), lambda x: trim(x)), lambda x: x <> '') END AS b FROM f)
+    f"""WITH p AS (SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM conversations),
+l AS (SELECT *, list_filter(list_transform(string_split(text, '. '), lambda x: {_folded_sql('x')}), lambda x: x <> '') AS a,
+  CASE WHEN contains(before, '. ') THEN list_filter(list_transform(string_split(before, '. '), lambda x: {_folded_sql('x')}), lambda x: x <> '') END AS b FROM p)
 SELECT conv_id, turn, b IS NOT NULL AND a IS NOT NULL AND len(a) > 0 AND len(list_filter(a, lambda x: NOT list_contains(b, x))) = 0 AS subset FROM l"""
 )
 def value_subset(spark: SparkSession, d: str) -> DataFrame:
@@ -91,10 +106,21 @@ def value_subset(spark: SparkSession, d: str) -> DataFrame:
 
     before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
     rows = table(spark, d, "conversations").withColumn("before", before)
-    parts = lambda c: F.filter(F.transform(F.split(F.lower(c), r"\. "), lambda x: F.trim(x)), lambda x: x != "")
-    mine, theirs = parts("text"), parts("before")
-    subset = F.coalesce(F.col("before").contains(". ") & (F.size(mine) > 0) & (F.size(F.array_except(mine, theirs)) == 0), F.lit(False))
-    return rows.select("conv_id", "turn", subset.alias("subset"))
+    return rows.select("conv_id", "turn", text.multi_value_subset(F.col("text"), F.col("before"), ". ").alias("subset"))
+
+
+@query(f"SELECT doc_id, {_folded_sql('text')} AS folded FROM documents")
+def fold_compare(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", text.folded(F.col("text")).alias("folded"))
+
+
+@query(
+    f"""WITH t AS (SELECT doc_id, {_CLEAN} AS t FROM documents)
+SELECT doc_id AS id, ltrim(replace(lower(t), 'ß', 'ss'), ' "''(<[-_.') || chr(0) || doc_id AS sort_key FROM t"""
+)
+def title_order(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return selection.title_order(rows, "text").select("id", "sort_key")
 
 
 @query(
@@ -122,7 +148,7 @@ def url_authority(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", urls.authority(F.col("url")).alias("authority"))
 
 
-@query("SELECT page_id, regexp_replace(replace(url, 'https', 'http'), '/+$', '') AS uri FROM pages")
+@query("SELECT page_id, regexp_replace(replace(url, 'https://', 'http://'), '/+$', '') AS uri FROM pages")
 def rights_normalise(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", urls.rights_key(F.col("url")).alias("uri"))
 

@@ -34,6 +34,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -55,7 +56,7 @@ END_BASE = 1e-3
 #: Customers seated one by one; later ones in growing groups.
 ONE_BY_ONE = 32
 #: Text bytes of a shard; hashes of a bucket; bytes of a pair's hash beside its bucket.
-SHARD_BYTES, BUCKET, PAIR_BYTES = 16 << 20, 1 << 20, 5
+SHARD_BYTES, BUCKET, PAIR_BYTES = 12 << 20, 1 << 19, 5
 LN10 = np.log(10.0)
 
 SHARD_SCHEMA = "shard bigint, words binary, tokens binary, lengths array<int>, held array<boolean>, doc_ids array<bigint>, n_learnt bigint, n_tokens bigint"
@@ -83,9 +84,17 @@ def uniforms(keys: np.ndarray, step: int) -> np.ndarray:
 
 def seat(customers: np.ndarray, mass: np.ndarray, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
     """Tables of each dish after all its customers sat down.  mass: (strength + discount * tables) * parent's probability."""
-    tables = np.minimum(customers, 1).astype(np.float64)
+    every = np.minimum(customers, 1).astype(np.float64)
+    many = np.flatnonzero(customers > 1)
+    every[many] = _seat_many(customers[many], mass[many], discount, keys[many], seed)
+    return every
+
+
+def _seat_many(customers: np.ndarray, mass: np.ndarray, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
+    tables = np.ones(len(customers))
+    live = np.arange(len(customers))
     for k in range(1, ONE_BY_ONE):  # customer k + 1
-        live = np.flatnonzero(customers > k)
+        live = live[customers[live] > k]
         if not len(live):
             return tables
         fresh = mass[live] / (mass[live] + k - discount * tables[live])
@@ -209,11 +218,11 @@ class LetterModel:
         above = dense[ORDER - 1][contexts % SYMBOLS ** (ORDER - 1)]
         return LetterModel._mix(place[keys[ORDER] // SYMBOLS], keys[ORDER] % SYMBOLS, customers[ORDER], tables[ORDER], discounts[ORDER], above)
 
-    def log_probability(self, words: list[str]) -> np.ndarray:
-        """Natural log of each word's letters and its end."""
-        if not words:
+    def log_probability(self, letters: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Natural log of each word's letters and its end, from ``letter_codes``."""
+        code, points, ends = letters
+        if not len(ends):
             return np.zeros(0)
-        code, points, ends = letter_codes(words)
         symbol = code % SYMBOLS
         value = self.rows[self.row_of[code // SYMBOLS], symbol].astype(np.float64)
         inside = np.ones(len(code), bool)
@@ -233,7 +242,7 @@ def class_table() -> np.ndarray:
     global _CLASSES
     if _CLASSES is None:
         points = np.arange(0x110000, dtype=np.int64)
-        _CLASSES = 37 + points * 40503 % 65521 % (SYMBOLS - 37)
+        _CLASSES = (37 + points * 40503 % 65521 % (SYMBOLS - 37)).astype(np.int32)
         _CLASSES[ord("a") : ord("z") + 1] = np.arange(1, 27)
         _CLASSES[ord("0") : ord("9") + 1] = np.arange(27, 37)
     return _CLASSES
@@ -241,14 +250,16 @@ def class_table() -> np.ndarray:
 
 def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each letter and end of the words: context and class as one number, the code point, and where the ends are."""
-    points = np.frombuffer(("\n".join(words) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    points = np.frombuffer(("\n".join(words) + "\n" if words else "").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int32)
     symbols = np.where(points == 10, 0, class_table()[points])
     ends = np.flatnonzero(points == 10)
+    if not len(ends):
+        return np.zeros(0, np.int32), points, ends
     starts = np.concatenate([[0], ends[:-1] + 1])
     at = np.arange(len(points)) - np.repeat(starts, ends - starts + 1)
-    code = np.zeros(len(points), np.int64)
+    code = np.zeros(len(points), np.int32)
     for back in range(ORDER, 0, -1):
-        before = np.zeros(len(points), np.int64)
+        before = np.zeros(len(points), np.int32)
         before[back:] = symbols[:-back]
         code = code * SYMBOLS + np.where(at >= back, before, 0)
     return code * SYMBOLS + symbols, points, ends
@@ -257,17 +268,19 @@ def letter_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- letters of words
 
 
-def letter_keys(words: list[str], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What the letter restaurants learn from words, a customer for each table: counts of contexts with a letter, and of
-    code points (as negative keys).  Their number is bounded whatever the words."""
-    if not words:
+def letter_keys(letters: tuple[np.ndarray, np.ndarray, np.ndarray], tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the letter restaurants learn from words, a customer for each table (0 leaves a word out): counts of contexts with a
+    letter, and of code points (as negative keys).  Their number is bounded whatever the words."""
+    code, points, ends = letters
+    if not len(ends):
         return np.zeros(0, np.int64), np.zeros(0)
-    code, points, ends = letter_codes(words)
-    weight = np.repeat(tables, np.diff(ends, prepend=-1))
-    inside = np.ones(len(code), bool)
-    inside[ends] = False
-    keys, place = np.unique(np.concatenate([code, -1 - points[inside]]), return_inverse=True)
-    return keys, np.bincount(place, np.concatenate([weight, weight[inside]]), len(keys))
+    weight = np.repeat(tables.astype(np.float32), np.diff(ends, prepend=-1))
+    place, found = pd.factorize(code)
+    counts = np.bincount(place, weight, len(found))
+    weight[ends] = 0
+    of_points = np.bincount(points, weight)
+    own = np.flatnonzero(of_points)
+    return np.concatenate([found[counts > 0].astype(np.int64), -1 - own]), np.concatenate([counts[counts > 0], of_points[own]])
 
 
 def letter_model(keys: np.ndarray, counts: np.ndarray) -> LetterModel:
@@ -276,11 +289,6 @@ def letter_model(keys: np.ndarray, counts: np.ndarray) -> LetterModel:
     return LetterModel(key[key >= 0], n[key >= 0], dict(zip((-1 - key[key < 0]).tolist(), n[key < 0].tolist(), strict=True)))
 
 
-def _log_bases(words: list[str], letters: LetterModel) -> np.ndarray:
-    """Log probability of each word, and last of the end, in the word restaurant's base."""
-    return np.append(letters.log_probability(words) + np.log1p(-END_BASE), np.log(END_BASE))
-
-
 # ---------------------------------------------------------------- shards
 
 
@@ -289,9 +297,12 @@ def word_names(words: list[bytes]) -> np.ndarray:
     return np.array([*(xxhash.xxh64_intdigest(w) for w in words), BOUNDARY], np.uint64)
 
 
-def pair_codes(tokens: np.ndarray, n: int) -> np.ndarray:
-    """Each token with the one before it, as one number; n is the boundary."""
-    return np.concatenate([[n], tokens[:-1]]) * (n + 1) + tokens
+def pair_hashes(before: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """64-bit names of pairs of words from those of the words."""
+    with np.errstate(over="ignore"):
+        before *= np.uint64(0x9E3779B97F4A7C15)
+        before += names
+    return _mixed(before)
 
 
 def _packed(values: np.ndarray, kind: str) -> bytes:
@@ -359,26 +370,30 @@ class Shard:
         raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True) if len(data) > 8 else b""
         self.id, self.bits = row["shard"], bits
         self.words = raw.split(b"\n") if raw else []
-        self.tokens = _unpacked(row["tokens"], "<u4").astype(np.int64)
+        self.tokens = _unpacked(row["tokens"], "<u4").view(np.int32)
         self.lengths, self.held, self.doc_ids = np.array(row["lengths"], np.int64), np.array(row["held"], bool), row["doc_ids"]
         n = len(self.words)
         self.names = word_names(self.words)
         learnt = np.repeat(~self.held, self.lengths)
         self.counts = np.bincount(self.tokens[learnt], minlength=n + 1).astype(np.float64)
-        code, place = np.unique(pair_codes(self.tokens, n), return_inverse=True)
-        u, w = code // (n + 1), code % (n + 1)
-        with np.errstate(over="ignore"):
-            hashes = _mixed(self.names[u] * np.uint64(0x9E3779B97F4A7C15) + self.names[w])
+        before = np.concatenate([np.array([n], np.int32), self.tokens[:-1]])
+        hashes = pair_hashes(self.names[before], self.names[self.tokens])
         by = np.argsort(hashes)
-        rank = np.empty(len(by), np.int64)
-        rank[by] = np.arange(len(by))
-        self.u, self.w, self.hashes, self.place = u[by], w[by], hashes[by], rank[place]
-        self.pair_counts = np.bincount(self.place[learnt], minlength=len(code)).astype(np.float64)
+        ordered = hashes[by]
+        fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        self.hashes, first = ordered[fresh], by[fresh]
+        self.u, self.w = before[first], self.tokens[first]
+        self.place = np.empty(len(by), np.int32)
+        self.place[by] = np.cumsum(fresh) - 1
+        self.pair_counts = np.bincount(self.place[learnt], minlength=len(first)).astype(np.float32)
         self.by_name = np.argsort(self.names)
-        self.own, self.own_pairs = np.ones(n + 1, bool), np.ones(len(code), bool)
+        self.own, self.own_pairs = np.ones(n + 1, bool), np.ones(len(first), bool)
+        self._letters: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
-    def text(self) -> list[str]:
-        return [w.decode("utf-8", "surrogatepass") for w in self.words]
+    def letters(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self._letters is None:
+            self._letters = letter_codes([b"\n".join(self.words).decode("utf-8", "surrogatepass")] if self.words else [])
+        return self._letters
 
     def send(self, kind: int, hashes: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> Iterator[tuple]:
         """SENT rows of sorted hashes with their numbers, a row for each bucket."""
@@ -514,7 +529,7 @@ class Sweep:
 
     def words(self, shard: Shard, customers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Base probability and tables of each word and the end."""
-        bases = np.exp(np.clip(_log_bases(shard.text(), self.letters), -700, 0))
+        bases = np.exp(np.clip(np.append(self.letters.log_probability(shard.letters()) + np.log1p(-END_BASE), np.log(END_BASE)), -700, 0))
         return bases, seat(customers.astype(np.int64), (STRENGTH + self.discount * self.tables) * bases, self.discount, _mixed(shard.names), self.number)
 
     def chances(self, bases: np.ndarray, customers: np.ndarray, tables: np.ndarray, total: float) -> np.ndarray:
@@ -565,10 +580,8 @@ class Restaurants:
         pair_discount = _discount(fact(3 * PAIRS + 1), fact(3 * PAIRS + 2))
 
         def alone(shard: Shard, _tables: Tables) -> Iterator[tuple]:
-            own = np.flatnonzero((shard.own & (shard.counts > 0))[:-1])
-            words = shard.text()
             yield from shard.send_tables(0, np.minimum(shard.pair_counts, 1))
-            yield from _sums(*letter_keys([words[i] for i in own.tolist()], np.ones(len(own))))
+            yield from _sums(*letter_keys(shard.letters(), (shard.own & (shard.counts > 0))[:-1].astype(np.float64)))
 
         sums = self._sweep(alone)
         self.sweeps = [Sweep(1, self._letters(sums), pair_discount, _discount(fact(3 * WORDS + 1), fact(3 * WORDS + 2)), self.types, fact(3 * PAIRS))]
@@ -581,8 +594,8 @@ class Restaurants:
                 pairs = now.pairs(shard, after, now.chances(bases, before, own_tables, now.tables))
                 yield from shard.send_tables(now.number, pairs)
                 own = shard.own & (shard.counts > 0)
-                words, at = shard.text(), np.flatnonzero(own[:-1])
-                yield from _sums(*letter_keys([words[i] for i in at.tolist()], own_tables[at]))
+                at = np.flatnonzero(own[:-1])
+                yield from _sums(*letter_keys(shard.letters(), np.where(own, own_tables, 0)[:-1]))
                 values = [own_tables[own].sum(), (pairs * shard.own_pairs).sum(), np.count_nonzero(before[own] == 1), np.count_nonzero(before[own] == 2), np.floor(bases[at] * 2.0**52).sum()]
                 yield from _sums([_SUMS - k for k in range(len(values))], values)
 
@@ -612,9 +625,11 @@ class Restaurants:
 
     def _sweep(self, step: Callable[[Shard, Tables], Iterator[tuple]]) -> dict[int, float]:
         """Run a step that yields SENT rows; adds the sums of tables to what shards are sent, and returns other sums."""
-        sent = common.materialize(self.over(lambda *a: _rows(list(step(*a)), SENT), SENT), "sweep")
-        self.back = self.back.union(common.materialize(_gathered(sent), "tables"))
-        return _numbers(sent.select("key", "n"))
+        spark = self.shards.sparkSession
+        with common.scratch(spark) as keep:
+            sent = common.materialize(self.over(lambda *a: _rows(list(step(*a)), SENT), SENT), "sweep")
+            self.back = self.back.union(keep(common.materialize(_gathered(sent), "tables")))
+            return _numbers(sent.select("key", "n"))
 
 
 def score_texts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:

@@ -36,7 +36,7 @@ def test_letter_rows_are_distributions():
     own = collections.Counter(points[points != 10].tolist())
     model = py.LetterModel(keys, n, own)
     assert np.exp(model.rows.astype(float)).sum(1) == pytest.approx(np.ones(len(model.rows)), abs=1e-4)
-    seen, odd = model.log_probability(["the", "qqq"])
+    seen, odd = model.log_probability(py.letter_codes(["the", "qqq"]))
     assert seen > odd
 
 
@@ -81,5 +81,6 @@ def test_late_customers_are_sampled():
 
 
 def test_letters_are_served_to_tables():
-    few, many = (py.letter_model(*py.letter_keys(["ab", "xy"], np.array([n, 1.0]))) for n in (1.0, 50.0))
-    assert many.log_probability(["ab"])[0] > few.log_probability(["ab"])[0] + 0.3
+    few, many = (py.letter_model(*py.letter_keys(py.letter_codes(["ab", "xy"]), np.array([n, 1.0]))) for n in (1.0, 50.0))
+    seen = py.letter_codes(["ab"])
+    assert many.log_probability(seen)[0] > few.log_probability(seen)[0] + 0.3

@@ -1,30 +1,31 @@
 """Benchmark decontamination with an FM-index of each training shard.
 
-Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  A shard is a batch of documents; its text is
-the sequence of its word ids, a separator after each document.  The index is its Burrows-Wheeler transform in a wavelet
-matrix (ranks of packed bits) with a sample of suffix positions.  Windows of benchmark items are searched backwards, all
-at once; occurrences are walked to the nearest sampled position; the words they cover are merged to spans.
+Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z.  A shard is a batch of documents; its text is the sequence
+of all its word ids, an end of its own after each document.  The index is its Burrows-Wheeler transform in a wavelet matrix (ranks
+of packed bits) with a sample of suffix positions; it does not depend on the benchmark.  Windows of benchmark items whose words
+the shard has are searched backwards, all at once; occurrences are walked to the nearest sampled position; the words they cover
+are merged to spans.
 
-Only runs of words in which every neighbouring pair is one of some benchmark window, and that are no shorter than the
-shortest window, go into a shard's text: no other word can be in an occurrence, so nothing is lost.
-
-The benchmark is read in blocks of bounded size.  Each block is searched in all documents; with more than one block a
-document's spans are merged over blocks.
+The benchmark is read in blocks of bounded size.  With one block each shard is indexed and searched in one pass.  With more, the
+indexes are written, each block is searched in all of them, and a document's spans are merged over blocks.  A very long text is
+cut into parts that overlap by a window, so that an index has SHARD_WORDS words at most.
 
 Null or empty texts have no words and are clean; a null item_id is no item's name, so its windows are hit but it is
 counted nowhere; equal item_ids are one item; documents with equal doc_ids are separate rows; an empty benchmark leaves
-all documents clean; an empty table gives an empty result; ``mark`` ignores other columns and ``decontaminate`` keeps
-them.
+all documents clean; an empty table gives an empty result; ``mark`` ignores other columns and ``keep_clean`` and
+``clean_texts`` keep them.
 """
 
 from __future__ import annotations
 
-import hashlib
 import itertools
+import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,8 @@ WINDOW = 13
 HIT_PART = 20
 #: Every so many text positions one is kept for locating.
 SAMPLE_RATE = 8
-#: Bytes of benchmark text in a block, word ids in a shard's index.
-BLOCK_BYTES, SHARD_WORDS = 8 << 20, 1 << 19
+#: Bytes of benchmark text in a block, words in an index.
+BLOCK_BYTES, SHARD_WORDS = 8 << 20, 1 << 21
 
 _TABLE = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -45,65 +46,73 @@ _SPAN = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))])
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.translate(_TABLE).split()
+def tokenize(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Word ids of all texts one after another, the number of each text's words, and the words by their ids."""
+    flat, counts = common.words_of(pa.array([t.translate(_TABLE) for t in texts], pa.binary()), lower=False)
+    coded = flat.cast(pa.binary()).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), counts, coded.dictionary
 
 
 class Phrases:
     """The windows of a block of benchmark items."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], width: int = WINDOW):
-        self.ids: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set[str]] = {}
-        for name, text in items:
-            own = [self.ids.setdefault(w, len(self.ids) + 1) for w in words(text)]
-            for i in range(max(1, len(own) - width + 1) if own else 0):
-                found = owners.setdefault(tuple(own[i : i + width]), set())
-                if name is not None:
-                    found.add(name)
-        self.windows = sorted(owners)
-        self.names = [sorted(owners[w]) for w in self.windows]
-        self.lengths = np.array([len(w) for w in self.windows], np.int64)
-        self.shortest = int(self.lengths.min()) if len(self.lengths) else 0
-        self.alphabet = len(self.ids) + 1  # 0 separates
-        self.matrix = np.zeros((len(self.windows), int(self.lengths.max()) if len(self.lengths) else 0), np.int64)
-        for i, w in enumerate(self.windows):
-            self.matrix[i, : len(w)] = w
-        pairs = {a * self.alphabet + b for w in self.windows for a, b in itertools.pairwise(w)}
-        self.pairs = np.array(sorted(pairs), np.int64)
-
-    def candidates(self, ids: np.ndarray) -> list[tuple[int, int]]:
-        """Runs (first, end) of words that windows can cover."""
-        if self.shortest == 0 or len(ids) < self.shortest:
-            return []
-        known = ids > 0
-        if self.shortest == 1:
-            edges = np.flatnonzero(np.diff(np.concatenate([[0], known.view(np.int8), [0]])))
-            return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
-        code = ids[:-1] * self.alphabet + ids[1:]
-        place = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-        linked = (self.pairs[place] == code) & known[:-1] & known[1:]
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], linked.view(np.int8), [0]])))
-        return [(a, b + 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b + 1 - a >= self.shortest]
+        ids, counts, self.words = tokenize([text for _, text in items])
+        per = np.where(counts > 0, np.maximum(counts - width + 1, 1), 0)
+        owner = np.repeat(np.arange(len(items)), per)
+        first = common.ragged(np.cumsum(counts) - counts, per)
+        lengths = np.minimum(counts[owner], width)
+        self.matrix = np.full((len(owner), width), -1, np.int32)
+        for k in range(width):
+            has = lengths > k
+            self.matrix[has, k] = ids[first[has] + k]
+        if len(owner):
+            self.matrix, place = np.unique(self.matrix, axis=0, return_inverse=True)
+            place = place.ravel()
+        else:
+            place = owner
+        self.lengths = (self.matrix >= 0).sum(1)
+        named = np.array([name is not None for name, _ in items], bool)
+        by = np.argsort(place, kind="stable")
+        by = by[named[owner[by]]] if len(by) else by
+        cuts = np.searchsorted(place[by], np.arange(len(self.matrix) + 1))
+        self.names = [sorted({items[i][0] for i in owner[by[s:e]].tolist()}) for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
+    def within(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers, ids and lengths of the windows all of whose words are among a shard's."""
+        found = pc.index_in(self.words, value_set=words)
+        ids = np.append(pc.fill_null(found, -1).to_numpy(zero_copy_only=False), -1)[self.matrix]
+        live = np.flatnonzero(((ids >= 0) | (self.matrix < 0)).all(1))
+        return live, ids[live].astype(np.int64), self.lengths[live]
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Prefix doubling."""
+    """Prefix doubling; only suffixes that are still tied are sorted again.  A symbol of each position's own ends a tie."""
     n = len(text)
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    step = 1
-    while True:
-        second = np.zeros(n, np.int64)
-        second[: n - step] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        fresh = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
-        if fresh[-1] == n - 1:
-            return order
+    order = np.argsort(text, kind="stable")
+    rank = np.empty(n, np.int64)  # the number of smaller suffixes
+    ordered = text[order]
+    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    sizes = np.diff(heads, append=n)
+    rank[order] = np.repeat(heads, sizes)
+    live, step = order[np.repeat(sizes > 1, sizes)], 1
+    while len(live):
+        after = live + step
+        key = rank[live] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(key, kind="stable")
+        live, key = live[by], key[by]
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        heads = np.flatnonzero(fresh)
+        sizes = np.diff(heads, append=len(live))
+        old = rank[live]
+        group = np.flatnonzero(np.concatenate([[True], old[1:] != old[:-1]]))
+        offset = np.repeat(heads, sizes) - np.repeat(group, np.diff(group, append=len(live)))
+        rank[live] = old + offset
+        live = live[np.repeat(sizes > 1, sizes)]
         step *= 2
+    out = np.empty(n, np.int64)
+    out[rank] = np.arange(n)
+    return out
 
 
 class Bits:
@@ -162,12 +171,11 @@ class FMIndex:
         text = np.concatenate([text + 1, [0]])
         suffixes = suffix_array(text)
         self.n = len(text)
-        transform = text[suffixes - 1]
-        self.tree = WaveletMatrix(transform, alphabet + 1)
+        self.tree = WaveletMatrix(text[suffixes - 1].astype(np.int32), alphabet + 1)
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=alphabet + 1))])
         sampled = suffixes % SAMPLE_RATE == 0
         self.marked = Bits(sampled.astype(np.uint8))
-        self.samples = suffixes[sampled]
+        self.samples = suffixes[sampled].astype(np.int32)
 
     def _back(self, row: np.ndarray) -> np.ndarray:
         symbol = self.tree.access(row)
@@ -198,21 +206,69 @@ class FMIndex:
         return out
 
 
-def find(phrases: Phrases, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-    """Occurrences (text, first word, window) in candidate runs, through one index."""
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    joined = np.concatenate([x for t in texts for x in (t, [0])]).astype(np.int64)
-    index = FMIndex(joined, phrases.alphabet)
-    first, end = index.search(phrases.matrix, phrases.lengths)
-    counts = end - first
-    found = np.flatnonzero(counts)
-    for i in range(0, len(found), 4096):
-        part = found[i : i + 4096]
-        windows = np.repeat(part, counts[part])
-        base = np.repeat(first[part] - (np.cumsum(counts[part]) - counts[part]), counts[part])
-        at = index.locate(base + np.arange(len(windows)))
-        owner = np.searchsorted(ends, at, side="right")
-        yield owner, at - np.where(owner > 0, ends[owner - 1], 0), windows
+class Shard:
+    """The index of a batch of texts, cut into parts where a text is too long."""
+
+    def __init__(self, texts: list[bytes], overlap: int = WINDOW - 1, most: int = SHARD_WORDS):
+        ids, self.n_words, self.words = tokenize(texts)
+        ends = np.cumsum(self.n_words)
+        # (document, its first word in the part, first and end word among all)
+        pieces, size = [[]], 0
+        for doc, (start, end) in enumerate(zip((ends - self.n_words).tolist(), ends.tolist(), strict=True)):
+            for at in range(start, max(end, start + 1), most - overlap):
+                stop = min(end, at + most)
+                if at > start and stop - at <= overlap:
+                    break  # the part before has it
+                if size and size + stop - at > most:
+                    pieces.append([])
+                    size = 0
+                pieces[-1].append((doc, at - start, at, stop))
+                size += stop - at + 1
+        self.parts = []
+        for own in pieces:
+            docs, firsts, starts, stops = (np.array(x, np.int64) for x in zip(*own, strict=True)) if own else (np.zeros(0, np.int64),) * 4
+            sizes = stops - starts
+            place = np.cumsum(sizes + 1) - (sizes + 1)
+            text = np.empty(int((sizes + 1).sum()), np.int64)
+            # ends are symbols of their own, so that equal documents are told apart where they end
+            text[place + sizes] = len(self.words) + np.arange(len(own))
+            text[common.ragged(place, sizes)] = ids[common.ragged(starts, sizes)]
+            self.parts.append((docs, firsts, place, FMIndex(text, len(self.words) + len(own)) if len(text) else None))
+
+    def find(self, phrases: Phrases) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Occurrences: document, first word, window."""
+        live, patterns, lengths = phrases.within(self.words)
+        if not len(live):
+            return
+        for docs, firsts, place, index in self.parts:
+            if index is None:
+                continue
+            first, end = index.search(patterns, lengths)
+            counts = end - first
+            found = np.flatnonzero(counts)
+            for i in range(0, len(found), 4096):
+                part = found[i : i + 4096]
+                rows, window = common.ragged(first[part], counts[part]), np.repeat(part, counts[part])
+                for k in range(0, len(rows), 1 << 18):
+                    at = index.locate(rows[k : k + (1 << 18)])
+                    owner = np.searchsorted(place, at, side="right") - 1
+                    yield docs[owner], firsts[owner] + at - place[owner], live[window[k : k + (1 << 18)]]
+
+    def search(self, phrases: Phrases) -> tuple[list[int], list[list[tuple[int, int]]], list[list[str]]]:
+        """Number of words, hit spans and items of each text."""
+        n = len(self.n_words)
+        hits: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(n)]
+        items: list[set[str]] = [set() for _ in range(n)]
+        for owner, first, windows in self.find(phrases):
+            order = np.argsort(owner, kind="stable")
+            cuts = np.flatnonzero(np.diff(owner[order])) + 1
+            for group in np.split(order, cuts):
+                doc = int(owner[group[0]])
+                hits[doc].append((first[group], first[group] + phrases.lengths[windows[group]]))
+                for w in np.unique(windows[group]).tolist():
+                    items[doc].update(phrases.names[w])
+        spans = [merge(np.concatenate([h[0] for h in own]), np.concatenate([h[1] for h in own])) if own else [] for own in hits]
+        return self.n_words.tolist(), spans, [sorted(i) for i in items]
 
 
 def merge(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -229,39 +285,20 @@ def merge(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 def search_shard(phrases: Phrases, texts: list[bytes]) -> tuple[list[int], list[list[tuple[int, int]]], list[list[str]]]:
     """Number of words, hit spans and items of each text."""
-    n_words, spans, items = [], [[] for _ in texts], [set() for _ in texts]
-    hits: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
-    held: list[tuple[int, int, np.ndarray]] = []
-    size = 0
-
-    def flush() -> None:
-        nonlocal held, size
-        if held:
-            for owner, first, windows in find(phrases, [h[2] for h in held]):
-                order = np.argsort(owner, kind="stable")
-                cuts = np.flatnonzero(np.diff(owner[order])) + 1
-                for group in np.split(order, cuts):
-                    doc, start, _ = held[owner[group[0]]]
-                    hits[doc].append((start + first[group], start + first[group] + phrases.lengths[windows[group]]))
-                    for w in np.unique(windows[group]):
-                        items[doc].update(phrases.names[w])
-        held, size = [], 0
-
-    get = phrases.ids.get
-    for doc, text in enumerate(texts):
-        own = words(text)
-        n_words.append(len(own))
-        ids = np.fromiter((get(w, 0) for w in own), np.int64, len(own))
-        for a, b in phrases.candidates(ids):
-            held.append((doc, a, ids[a:b]))
-            size += b - a + 1
-            if size >= SHARD_WORDS:
-                flush()
-    flush()
-    for doc, own in enumerate(hits):
-        if own:
-            spans[doc] = merge(np.concatenate([h[0] for h in own]), np.concatenate([h[1] for h in own]))
-    return n_words, spans, [sorted(i) for i in items]
+    return Shard(texts).search(phrases)
+
+
+#: Phrases that this worker process has made, the last two.
+_MADE: dict[str, Phrases] = {}
+
+
+def phrases_of(items: list[tuple[str | None, bytes]], name: str) -> Phrases:
+    """Made once in a worker process, not in each of its tasks."""
+    if name not in _MADE:
+        while len(_MADE) > 1:
+            _MADE.pop(next(iter(_MADE)))
+        _MADE[name] = Phrases(items)
+    return _MADE[name]
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, bytes]]]:
@@ -277,27 +314,49 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
         yield block
 
 
+def _found(n_words: list[int], spans: list[list[tuple[int, int]]], items: list[list[str]]) -> list[pa.Array]:
+    listed = [[{"first": a, "last": b} for a, b in own] for own in spans]
+    return [pa.array(n_words, pa.int64()), pa.array(listed, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))]
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each document's number of words, hit spans (word numbers, the last not included) and items with a window in it."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    blocks = benchmark_blocks(benchmark, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        name = uuid.uuid4().hex
 
-    def searched(source: DataFrame, items: list[tuple[str | None, bytes]], schema: str, key: str) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases = Phrases(items)
+            phrases = phrases_of(first, name)
             for batch in common.slices(batches):
-                n_words, spans, found = search_shard(phrases, common.text_bytes(batch.column("text")))
-                spans = [[{"first": s, "last": e} for s, e in own] for own in spans]
-                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(found, pa.list_(pa.string()))], names=[key, *_ARROW.names[1:]])
-
-        return source.mapInArrow(run, schema)
+                found = Shard(common.text_bytes(batch.column("text"))).search(phrases)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_found(*found)], names=_ARROW.names)
 
-    blocks = benchmark_blocks(benchmark, block_bytes)
-    first, second = next(blocks, []), next(blocks, None)
-    if second is None:
-        return searched(rows, first, SCHEMA, "doc_id")
+        return rows.mapInArrow(run, SCHEMA)
     # rows are told apart by their place, so that equal ids stay separate
     keyed = common.materialize(rows.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
-    parts = [searched(keyed.select("row", "text"), items, SCHEMA.replace("doc_id", "row"), "row") for items in itertools.chain([first, second], blocks)]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            shard = pickle.dumps(Shard(common.text_bytes(batch.column("text"))), protocol=5)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column("row").to_pylist()], pa.list_(pa.int64())), pa.array([shard], pa.binary())], names=["rows", "shard"])
+
+    shards = common.materialize(keyed.mapInArrow(build, "rows array<bigint>, shard binary"), "indexes")
+
+    def searched(items: list[tuple[str | None, bytes]]) -> DataFrame:
+        name = uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            phrases = phrases_of(items, name)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    found = pickle.loads(batch.column("shard")[i].as_py()).search(phrases)
+                    yield pa.RecordBatch.from_arrays([batch.column("rows")[i].values, *_found(*found)], names=["row", *_ARROW.names[1:]])
+
+        return shards.mapInArrow(run, SCHEMA.replace("doc_id", "row"))
+
+    parts = [searched(items) for items in itertools.chain([first, second], blocks)]
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)
@@ -344,21 +403,23 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out) + text[at:]
 
 
-def clean_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with the hit spans cut out of their texts (one block of benchmark items at a time)."""
-    out = docs
-    for items in benchmark_blocks(benchmark):
+def clean_texts(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with the hit spans cut out of their texts, after they are merged over all blocks of benchmark items."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    keyed = common.materialize(docs.select(F.monotonically_increasing_id().alias("row"), whole), "decontaminate")
+    marks = mark(keyed.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), benchmark, block_bytes)
+    hit = marks.where(F.size("spans") > 0).select(F.col("doc_id").alias("row"), "spans")
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            phrases = Phrases(items)
-            for batch in common.slices(batches):
-                texts = common.text_bytes(batch.column("text"))
-                spans = search_shard(phrases, texts)[1]
-                cut = [None if old is None else cut_spans(t, s).decode() for old, t, s in zip(batch.column("text").to_pylist(), texts, spans, strict=True)]
-                yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(cut, pa.string()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+            cut = [t if not s else cut_spans(t.encode(), [(x["first"], x["last"]) for x in s]).decode() for t, s in zip(texts, spans, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(cut, pa.string())], names=["row", "cut"])
 
-        out = out.mapInArrow(run, out.schema)
-    return out
+    texts = keyed.join(hit, "row").select("row", F.col("doc.text").alias("text"), "spans").mapInArrow(run, "row bigint, cut string")
+    joined = keyed.join(texts, "row", "left")
+    text = F.coalesce("cut", F.col("doc.text").cast("string")).alias("text")
+    return joined.select(*[text if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 DECONTAMINATION_SQL = r"""
@@ -395,10 +456,12 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, hit_part: int = HIT_PART,
     items, more = next(blocks, []), next(blocks, None)
     if more is None:
 
+        name = uuid.uuid4().hex
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            phrases = Phrases(items)
+            phrases = phrases_of(items, name)
             for batch in common.slices(batches):
-                n_words, spans, _ = search_shard(phrases, common.text_bytes(batch.column("text")))
+                n_words, spans, _ = Shard(common.text_bytes(batch.column("text"))).search(phrases)
                 n_hit = np.array([sum(e - s for s, e in own) for own in spans], np.int64)
                 yield batch.filter(pa.array((n_hit == 0) | (hit_part * n_hit < np.array(n_words, np.int64))))
 

@@ -84,3 +84,24 @@ def test_empty_tables(spark, documents):
 def test_cutting_spans():
     assert dc.cut_spans("One, two; THREE four.".encode(), [(1, 3)]) == b"One,  four."
     assert dc.cut_spans(b"a b", []) == b"a b"
+
+
+def test_long_texts_are_cut_with_an_overlap():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcd", k=k)) for k in (400, 0, 7, 90)]
+    items = [(str(i), " ".join(rng.choices("abcd", k=6))) for i in range(5)] + [("long", texts[0][300:360])]
+    phrases = dc.Phrases([(k, x.encode()) for k, x in items])
+    whole = dc.Shard([t.encode() for t in texts]).search(phrases)
+    assert [(a, sum(e - s for s, e in b), len(c)) for a, b, c in zip(*whole)] == [r[:3] for r in brute(texts, items)]
+    for most in (20, 37, 64):
+        assert dc.Shard([t.encode() for t in texts], most=most).search(phrases) == whole
+
+
+def test_blocks_do_not_change_what_is_cut(spark, documents):
+    """Overlapping items, in one block and in several."""
+    words = [f"b{i}" for i in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(words[:20])), (2, " ".join(words[6:40]))], "item_id bigint, text string")
+    docs = documents([(1, "head " + " ".join(words) + " tail"), (2, None), (3, "clean text")])
+    cuts = [[r["text"] for r in dc.clean_texts(docs, bench, block_bytes=b).orderBy("doc_id").collect()] for b in (1 << 20, 10)]
+    assert cuts[0] == cuts[1] == ["head  tail", None, "clean text"]
+    assert dc.clean_texts(docs, bench).columns == docs.columns

@@ -12,10 +12,11 @@ the same units of that segment.)  A set that has too few units indexes all its s
 shingles only steer cost; every order finds all links.
 
 Equal sets are one node, named by a 64-bit digest; its texts' documents are joined in at the end.  Nodes that share a key
-form a group, and groups of equal members are one.  First each node is compared with the first nodes of two of its groups;
-then, in groups whose members are still in different components, with two nodes of others; and at last, in those that
-remain, every two members of different components are, so that a group of near copies is not expanded into its pairs.
-Pairs are compared by size, by a parity bitmap (its bits that differ are a lower bound of the difference),
+form a group, and groups of equal members are one.  In a group a node's
+hub is the least set of its own size or little less.  First each node is compared with the two hubs that it has in most groups;
+then, in groups whose members are still in different components, with nodes of the component that has most members there; and
+at last, in those that remain, every two members of different components are, so that a group of near copies is not expanded
+into its pairs.  Pairs are compared by size, by a parity bitmap (its bits that differ are a lower bound of the difference),
 and at last exactly by the shingles of their texts.  Links become components by alternating stars.
 
 A document of fewer than five words has its whole sequence as its one shingle; null texts and texts without words have
@@ -60,6 +61,8 @@ KEY_BYTES = 5
 PART, ROUTE = 1024, 2048
 #: Bits for a shingle in the bitmaps that choose the last pairs.
 WIDE = 8
+#: Rounds that link members of a group to its greatest component before all pairs are compared.
+ROUNDS = 2
 #: Partners of one node that are compared in one task.
 PARTNERS = 256
 #: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB); more are joined by a shuffle.
@@ -67,7 +70,7 @@ BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
 SUMMARY = "doc_id bigint, n_shingles bigint, node bigint, sig binary, wide binary, hot bigint, hot_count bigint"
-GROUPS = "gid bigint, members bigint, part int, parts int, nodes array<bigint>"
+GROUPS = "gid bigint, members bigint, part int, parts int, nodes array<bigint>, hubs array<bigint>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -205,11 +208,11 @@ def summarize(docs: DataFrame) -> DataFrame:
 
 
 def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
-    """(bucket, keys, nodes, counts): the keys of a task's sets by their first ``bits`` bits; node i has counts[i] of them."""
+    """(bucket, keys, nodes, sizes, counts): the keys of a task's sets by their first ``bits`` bits; node i has counts[i] of them."""
 
-    def rows(keys: list[np.ndarray], nodes: list[int]) -> Iterator[pa.RecordBatch]:
+    def rows(keys: list[np.ndarray], nodes: list[int], sizes: list[int]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(nodes)), [len(k) for k in keys])
-        every, names = np.concatenate(keys), np.array(nodes, np.int64)
+        every, names, widths = np.concatenate(keys), np.array(nodes, np.int64), np.array(sizes, "<u4")
         bucket = (every >> _U(64 - bits)).astype(np.int64) if bits else np.zeros(len(every), np.int64)
         by = np.argsort(bucket, kind="stable")
         every, owner, bucket = every[by], owner[by], bucket[by]
@@ -218,30 +221,32 @@ def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
         out = []
         for s, e in zip(heads.tolist(), [*heads[1:].tolist(), len(bucket)], strict=True):
             first = np.flatnonzero(np.diff(owner[s:e], prepend=-1))
-            out.append((int(bucket[s]), low[s:e].tobytes(), names[owner[s:e][first]].tobytes(), np.diff(first, append=e - s).astype("<u4").tobytes()))
+            own = owner[s:e][first]
+            out.append((int(bucket[s]), low[s:e].tobytes(), names[own].tobytes(), widths[own].tobytes(), np.diff(first, append=e - s).astype("<u4").tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "keys", "nodes", "counts"]
+            [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), *[pa.binary()] * 4), strict=True)], names=["bucket", "keys", "nodes", "sizes", "counts"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        keys, nodes, held = [], [], 0
+        keys, nodes, sizes, held = [], [], [], 0
         for batch in common.slices(batches):
             for own in shingle_sets(batch.column("text")):
                 if len(own) and (name := digest(own)) not in seen:
                     seen.add(name)
                     keys.append(index.keys(own))
                     nodes.append(name)
+                    sizes.append(len(own))
                     held += len(keys[-1])
                     if held >= HELD_KEYS:
-                        yield from rows(keys, nodes)
-                        keys, nodes, held = [], [], 0
+                        yield from rows(keys, nodes, sizes)
+                        keys, nodes, sizes, held = [], [], [], 0
             if len(seen) > HELD_KEYS:
                 seen.clear()
         if keys:
-            yield from rows(keys, nodes)
+            yield from rows(keys, nodes, sizes)
 
-    return docs.mapInArrow(run, "bucket bigint, keys binary, nodes binary, counts binary")
+    return docs.mapInArrow(run, "bucket bigint, keys binary, nodes binary, sizes binary, counts binary")
 
 
 def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -275,27 +280,41 @@ def single_runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.R
 
 
 def groups_of(keys: DataFrame) -> DataFrame:
-    """GROUPS rows: the nodes that share a key, two at least, in parts of about PART by hash; equal groups are one."""
+    """GROUPS rows: the nodes that share a key, two at least, by size, in parts of about PART by hash, each with its hub; equal
+    groups are one."""
 
-    def of_bucket(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """Keys that two rows have at least, and their nodes, sorted and distinct."""
+    def of_bucket(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys that two rows have at least, and their nodes and sizes, sorted and distinct."""
         low = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
         key = np.zeros((len(low), 8), np.uint8)
         key[:, :KEY_BYTES] = low
         key = key.view("<u8").ravel()
-        node = np.repeat(np.frombuffer(b"".join(batch.column("nodes").to_pylist()), np.int64), np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<u4"))
+        counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), "<u4")
+        node, size = (np.repeat(np.frombuffer(b"".join(batch.column(c).to_pylist()), t), counts) for c, t in (("nodes", np.int64), ("sizes", "<u4")))
         by = np.argsort(key)
         same = key[by[1:]] == key[by[:-1]]
         by = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-        by = by[np.lexsort((node[by], key[by]))]
-        key, node = key[by], node[by]
+        by = by[np.lexsort((node[by], size[by], key[by]))]
+        key, node, size = key[by], node[by], size[by].astype(np.int64)
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        return key[fresh], node[fresh]
+        return key[fresh], node[fresh], size[fresh]
+
+    def hubs_of(node: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Members are by size: the first of each class of sizes, or for that one the first of the class before, if that may be
+        similar."""
+        of_class = np.floor(np.log(size) / np.log(4 / 3)).astype(np.int64)
+        heads = np.flatnonzero(np.concatenate([[True], of_class[1:] != of_class[:-1]]))
+        first = np.repeat(heads, np.diff(heads, append=len(node)))
+        out = node[first]
+        for a, b in zip(heads[:-1].tolist(), heads[1:].tolist(), strict=True):
+            if 4 * size[a] >= 3 * size[b]:
+                out[b] = node[a]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in single_runs(batches, "bucket"):
-            key, node = of_bucket(batch)
+            key, node, width = of_bucket(batch)
             if not len(key):
                 continue
             heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -308,20 +327,20 @@ def groups_of(keys: DataFrame) -> DataFrame:
             own, place = np.unique(gid[many], return_index=True)
             out = []
             for g, k in zip(own.tolist(), many[place].tolist(), strict=True):
-                members, parts = node[heads[k] : heads[k] + sizes[k]], 1
+                own = slice(int(heads[k]), int(heads[k] + sizes[k]))
+                members, hubs, parts = node[own], hubs_of(node[own], width[own]), 1
                 if sizes[k] <= PART:
-                    out.append((g, int(sizes[k]), 0, 1, members))
+                    out.append((g, int(sizes[k]), 0, 1, members, hubs))
                     continue
                 while parts * PART < sizes[k]:
                     parts *= 2
                 dealt = (mix(members.view(np.uint64)) % _U(parts)).astype(np.int64)
-                out += [(g, int(sizes[k]), p, parts, members[dealt == p]) for p in np.unique(dealt).tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())))], names=["gid", "members", "part", "parts", "nodes"]
-            )
+                out += [(g, int(sizes[k]), p, parts, members[dealt == p], hubs[dealt == p]) for p in np.unique(dealt).tolist()]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=[c.split(" ")[0] for c in GROUPS.split(", ")])
 
     found = keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, GROUPS)
-    return found.groupBy("gid", "members", "part", "parts").agg(F.first("nodes").alias("nodes"))
+    return found.groupBy("gid", "members", "part", "parts").agg(F.first(F.struct("nodes", "hubs")).alias("n")).select("gid", "members", "part", "parts", "n.nodes", "n.hubs")
 
 
 class Members:
@@ -369,33 +388,30 @@ def similar_by_bits(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     return pairs.select("u", "v", "size_u", "size_v", "sig_u", "sig_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def two_each(pairs: DataFrame) -> DataFrame:
-    """(u, v) -> for each v the least and the greatest u."""
-    chosen = pairs.where("u <> v").groupBy("v").agg(F.array_distinct(F.array(F.min("u"), F.max("u"))).alias("us"))
-    return chosen.select(F.explode("us").alias("u"), "v").distinct()
-
-
 def star_pairs(groups: DataFrame) -> DataFrame:
-    """(u, v): each node with the first nodes of two of its groups (of its parts, and these with the group's)."""
-    first = F.element_at("nodes", 1)
-    inside = groups.where(F.size("nodes") > 1).select(first.alias("u"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("v"))
-    large = groups.where("parts > 1").select("gid", "members", first.alias("v"))
-    across = large.join(large.groupBy("gid", "members").agg(F.min("v").alias("u")), ["gid", "members"]).select("u", "v")
-    return two_each(inside.union(across))
+    """(u, v): each node with the two hubs that it has in most groups."""
+    every = groups.select(F.explode(F.arrays_zip("hubs", "nodes")).alias("p")).select(F.col("p.hubs").alias("u"), F.col("p.nodes").alias("v")).where("u <> v")
+    often = every.groupBy("v", "u").agg(F.count("*").alias("n"))
+    chosen = often.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("n", "u")), False).alias("hubs"))
+    return chosen.select(F.explode(F.slice("hubs", 1, 2)).alias("h"), "v").select("h.u", "v")
 
 
 def apart(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """Rows of members (gid, members, part, parts, node, comp) of the groups whose members are in several components, with a
-    node of the least and one of the greatest component."""
+    """Rows of members (gid, members, part, parts, node, comp) of the groups whose members are in several components, with the
+    component that has most members there."""
     every = groups.select("gid", "members", "part", "parts", F.explode("nodes").alias("node")).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    ends = every.groupBy("gid", "members").agg(F.min(F.struct("comp", "node")).alias("low"), F.max(F.struct("comp", "node")).alias("high")).where("low.comp <> high.comp")
-    return every.join(ends, ["gid", "members"])
+    several = every.groupBy("gid", "members", "comp").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
+    main = several.groupBy("gid", "members").agg(F.count("*").alias("comps"), F.max(F.struct("n", "comp", "low", "high")).alias("main")).where("comps > 1")
+    return every.join(main.drop("comps"), ["gid", "members"])
 
 
-def apart_pairs(rows: DataFrame) -> DataFrame:
-    """(u, v): each member of a group of several components with a node of another, in two of its groups."""
-    other = F.when(F.col("comp") == F.col("low.comp"), F.col("high.node")).otherwise(F.col("low.node"))
-    return two_each(rows.select(other.alias("u"), F.col("node").alias("v")))
+def apart_pairs(rows: DataFrame, seed: int) -> DataFrame:
+    """(u, v): members that are not of their group's greatest component with nodes that are, two for each node."""
+    others = rows.where(F.col("comp") != F.col("main.comp"))
+    one = others.select(F.when(F.pmod(F.xxhash64("node", "gid", F.lit(seed)), F.lit(2)) == 0, F.col("main.low")).otherwise(F.col("main.high")).alias("u"), F.col("node").alias("v"))
+    order = F.struct(F.xxhash64("u", F.lit(seed)), "u")
+    chosen = one.groupBy("v").agg(F.array_distinct(F.array(F.min(order), F.max(order))).alias("us"))
+    return chosen.select(F.explode("us").alias("s"), "v").select("s.u", "v")
 
 
 def cross_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -465,7 +481,7 @@ def cross_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     lists = routed.select("route", nothing("bigint").alias("node"), nothing("bigint").alias("comp"), nothing("bigint").alias("n_shingles"), nothing("binary").alias("wide"), "nodes")
     found = own.union(lists).repartition("route").sortWithinPartitions("route", F.asc_nulls_last("node")).mapInArrow(of_routes, schema)
 
-    large = rows.where("parts > 1").drop("low", "high")
+    large = rows.where("parts > 1").drop("main")
     if large.limit(1).count():
         large = large.join(wide, "node")
         counts = large.groupBy("gid", "members", "comp").count()
@@ -517,15 +533,18 @@ class Joined:
 
     def __init__(self, docs: DataFrame):
         self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        summary = common.materialize(summarize(self.docs), "summary")
-        hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
+        with common.scratch(docs.sparkSession) as keep:
+            summary = common.materialize(summarize(self.docs), "summary")
+            hot = summary.where("hot is not null").groupBy("hot").agg(F.sum("hot_count").alias("n")).orderBy(F.desc("n"), "hot").limit(HOT_SHINGLES).toPandas()
+            self.rows = keep(common.materialize(summary.where("n_shingles is not null").select("doc_id", "n_shingles", "node"), "rows"))
+            named = summary.where("doc_id is not null and n_shingles > 0")
+            sigs = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("wide").alias("wide"))
+            self.sigs = keep(common.materialize(sigs, "sigs"))
         index = Index(hot["hot"].to_numpy(np.int64).view(np.uint64), hot["n"].to_numpy(np.int64))
-        self.rows = summary.where("n_shingles is not null").select("doc_id", "n_shingles", "node", "sig", "wide")
         self.named = self.rows.where("doc_id is not null and n_shingles > 0")
         # a set has a key for each third shingle
         keys = (self.named.agg(F.sum("n_shingles")).first()[0] or 0) // 3
         bits = max(0, int(keys // BUCKET_KEYS).bit_length())
-        self.sigs = common.materialize(self.named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"), F.first("wide").alias("wide")), "sigs")
         self.groups = common.materialize(groups_of(index_keys(self.docs.where("doc_id is not null"), index, bits)), "groups")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -546,7 +565,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             links = links.union(own.named.join(repeated.where("u <> v").select("doc_id", "u"), "doc_id").select("u", F.col("node").alias("v")).where("u <> v").distinct())
         labels = components(links)
         # Then groups whose members are still apart: first some pairs, then all.
-        for choose in (lambda rows: similar_by_bits(apart_pairs(rows), sigs), lambda rows: cross_pairs(rows, sigs)):
+        rounds = [lambda rows, seed=seed: similar_by_bits(apart_pairs(rows, seed), sigs) for seed in range(ROUNDS)]
+        for choose in (*rounds, lambda rows: cross_pairs(rows, sigs)):
             rows = common.materialize(apart(own.groups, labels.withColumnRenamed("component", "comp")), "apart")
             more = own.verified(choose(rows))
             if more.limit(1).count():

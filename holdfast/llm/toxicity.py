@@ -1,14 +1,15 @@
 """Toxicity: averaged subword embeddings in a linear softmax, trained jointly.
 
-A word's vector is the mean of the embeddings of its character n-grams (3 to 5 letters, with marks at both ends), so a
+A word's vector is the mean of the embeddings of its character n-grams (3 to 5 characters, with marks at both ends), so a
 misspelt word shares most of its vector with the right one.  Windows of words are averaged and go through a linear
-softmax over (clean, toxic); the odds of a text are the sum of its windows' odds.  Embeddings and softmax are trained
-together in numpy.  As all of it is linear up to the windows, a trained word is one number.
+softmax over (clean, toxic); a text is as toxic as its most toxic window, so that clean words around it change nothing.
+Embeddings and softmax are trained together in numpy.  As all of it is linear up to the windows, a trained word is one number.
 
 Words are runs of letters and digits (ASCII) and bytes of other characters, A-Z lower-cased.  Learns only from rows
 whose crc32(doc_id as text) mod 4 is not 2; languages, sources and ids are no inputs.
 
-Null and empty texts have no window and score 0; repeated rows are repeated; without labelled rows of both classes all
+Null and empty texts have no window and score 0; a very long text is scored in parts, whose greatest score is the text's;
+texts that tie have equal scores; repeated rows are repeated; without labelled rows of both classes all
 scores are 0; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -28,8 +29,10 @@ from . import hashed_text as ht
 SAMPLE_ROWS, SAMPLE_BYTES = 6000, 24 << 20
 MODULUS, HELD = 4, 2
 THRESHOLD = 0.3
-BUCKETS, DIMENSIONS, WINDOW = 1 << 17, 4, 2
+BUCKETS, DIMENSIONS, WINDOW = 1 << 17, 8, 4
 SHORTEST, LONGEST = 3, 5
+#: Bytes of a text that are scored at once, and by which its parts may overlap.
+PART_BYTES, OVERLAP = 4 << 20, 256
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 
 _WORD_BYTES = bytes(c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -52,8 +55,9 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint64)
-    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    marked = ["<" + w.decode("utf-8", "replace") + ">" for w in words]
+    data = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) for w in marked], np.int64)
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(words)), sizes)
     at = np.arange(len(data)) - (ends - sizes)[owner]
@@ -64,7 +68,8 @@ def _subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for n in range(1, LONGEST + 1):
         if len(data) < n:
             break
-        code[: len(data) - n + 1] = code[: len(data) - n + 1] << np.uint64(8) | data[n - 1 :]
+        with np.errstate(over="ignore"):
+            code[: len(data) - n + 1] = code[: len(data) - n + 1] * np.uint64(0x9E3779B97F4A7C15) + data[n - 1 :]
         if n >= SHORTEST:
             inside = at + n <= sizes[owner]
             slots[places[n - SHORTEST][owner[inside]] + at[inside]] = ht.mixed(code[inside], n) >> (ht.BITS - 17)
@@ -78,7 +83,7 @@ class ToxicityModel:
         self.bias, self.slope, self.offset = float(bias[1] - bias[0]), slope, offset
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
-        """Log of the sum of the windows' odds of toxicity for each text, -inf where there is no word."""
+        """Log odds of each text's most toxic window, -inf where there is no word."""
         distinct, index, counts = split_words(texts)
         slots, n = subwords(distinct)
         value = ht.sums(self.per_gram[slots], np.cumsum(n) - n, n) / np.maximum(n, 1)
@@ -89,15 +94,34 @@ class ToxicityModel:
         full = per_text > 0
         if full.any():
             heads = (np.cumsum(per_text) - per_text)[full]
-            top = np.maximum.reduceat(means, heads)
-            out[full] = top + np.log(np.add.reduceat(np.exp(means - np.repeat(top, per_text[full])), heads)) + self.bias
+            out[full] = np.maximum.reduceat(means, heads) + self.bias
         return out
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        margin = self.margins(texts)
+        owner, parts = parts_of(texts)
+        margin = np.full(len(texts), -np.inf)
+        np.maximum.at(margin, owner, self.margins(parts))
         return np.where(np.isfinite(margin), ht.sigmoid(self.slope * np.where(np.isfinite(margin), margin, 0) + self.offset), 0.0)
 
 
+def parts_of(texts: list[bytes], most: int = PART_BYTES) -> tuple[np.ndarray, list[bytes]]:
+    """Texts cut before words so that no part is much longer than ``most`` bytes, each with a window's words of the part before
+    it (a window of the whole text is in some part, if not at the same place); and the text of each part."""
+    owner, parts = [], []
+    for i, text in enumerate(texts):
+        at = 0
+        while len(text) - at > most + OVERLAP:
+            cut = text.find(b" ", at + most, at + most + OVERLAP)
+            cut = at + most if cut < 0 else cut
+            owner.append(i)
+            parts.append(text[at:cut])
+            back = text.rfind(b" ", at, max(at, cut - OVERLAP))
+            at = back if back > at else cut
+        owner.append(i)
+        parts.append(text[at:])
+    return np.array(owner, np.int64), parts
+
+
 def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of WINDOW words (a text's last may have fewer): first word and size."""
     per_text = -(-counts // WINDOW)
@@ -107,8 +131,9 @@ def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(WINDOW, counts[owner] - rank * WINDOW)
 
 
-def fit(texts: list[bytes], y: np.ndarray, epochs: int = 12, batch: int = 64, seed: int = 5) -> ToxicityModel:
-    """Joint training with Adagrad: the gradient of a text's loss goes to its windows by their softmax share."""
+def fit(texts: list[bytes], y: np.ndarray, epochs: int = 7, batch: int = 64, seed: int = 5) -> ToxicityModel:
+    """Joint training with Adagrad.  The most toxic window is softened here: the gradient of a text's loss goes to its windows by
+    their softmax share."""
     rng = np.random.Generator(np.random.PCG64(seed))
     embeddings = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     weights, bias = rng.normal(0, 0.5, (DIMENSIONS, 2)), np.array([2.0, -2.0])

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from holdfast.llm import hyper_langid, ordinal_quality, quality_rules, toxicity
@@ -115,3 +116,35 @@ def test_last_text_of_a_group_has_a_closing_boundary():
     for last in ("a", "!a", "word"):
         codes, owner = hyper_langid.ngram_codes([last, "x y", last])
         assert codes[owner == 0].tolist() == codes[owner == 2].tolist() != []
+
+
+def test_toxicity_margins_against_brute_force():
+    """Window by window; unseen letters beyond ASCII count as letters, and clean words around a text change nothing."""
+    rng = np.random.default_rng(2)
+    model = toxicity.ToxicityModel(rng.normal(size=(toxicity.BUCKETS, 3)), rng.normal(size=(3, 2)), np.array([0.5, -0.5]))
+
+    def of_word(word):
+        slots, n = toxicity.subwords([word])
+        assert n[0] == len(slots) == max(sum(max(len(word.decode()) + 2 - k + 1, 0) for k in range(toxicity.SHORTEST, toxicity.LONGEST + 1)), 0)
+        return float(model.per_gram[slots].mean()) if len(slots) else 0.0
+
+    def brute(text):
+        words = re.findall("[0-9a-z\x80-\U0010ffff]+", text.lower())
+        values = [of_word(w.encode()) for w in words]
+        return max((sum(values[i : i + toxicity.WINDOW]) / len(values[i : i + toxicity.WINDOW]) + model.bias for i in range(0, len(values), toxicity.WINDOW)), default=-np.inf)
+
+    texts = ["", "a", "One two, THREE four five", "déjà vu größer a-b", "word " * 41, "日本語 テスト x"]
+    assert model.margins([t.encode() for t in texts]) == pytest.approx([brute(t) for t in texts], rel=1e-5)
+    assert model.margins([b"x y z w " * 10])[0] == pytest.approx(model.margins([b"x y z w " * 5000])[0], rel=1e-6)
+
+
+def test_long_texts_are_scored_in_parts():
+    text = b"clean words here " * 100 + b"and then some others " * 100
+    owner, parts = toxicity.parts_of([b"short", text, b""], most=500)
+    assert owner[0] == 0 and owner[-1] == 2 and parts[0] == b"short" and len(parts) > 5
+    assert all(len(p) <= 500 + 2 * toxicity.OVERLAP for p in parts)
+    words = text.split()
+    found = [p.split() for o, p in zip(owner, parts) if o == 1]
+    assert all(w in words for p in found for w in p)
+    pairs = {pair for p in found for pair in zip(p, p[1:])}
+    assert pairs == set(zip(words, words[1:]))

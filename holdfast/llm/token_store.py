@@ -31,7 +31,7 @@ from . import common
 #: Tokens of a block (a longer document has a block of its own) and between two bit offsets.
 BLOCK, STRIDE = 1 << 18, 128
 #: Least width of the decoding table in bits; the widest that a 32-bit window at any bit offset can serve.
-WIDTH, MAX_WIDTH = 16, 24
+WIDTH, MAX_WIDTH = 20, 24
 VOCABULARY = "word_bpe_49k.json"
 
 BLOCK_SCHEMA = "shard int, block int, first bigint, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, ids binary"
@@ -149,8 +149,8 @@ def _wide(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1)
 
 
-def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None = 2) -> DataFrame:
-    """Documents (doc_id, text) as blocks of ids, ascending over shards, blocks and within blocks."""
+def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None = 2, order: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """Documents (doc_id, text) as blocks of ids, in the order of these columns over shards, blocks and within blocks."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -182,8 +182,12 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
         if held:
             yield flush()
 
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    keys = [F.col(f"`{c}`").alias(f"order{i}") for i, c in enumerate(order)]
+    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *keys)
+    names = [f"order{i}" for i in range(len(order))]
+    # a text is no key of ranges: it only tells rows of one id apart
+    ranges = [n for n, c in zip(names, order, strict=True) if c != "text"]
+    ordered = ordered.repartitionByRange(*ranges).sortWithinPartitions(*names).select("doc_id", "text")
     return ordered.mapInArrow(encode, BLOCK_SCHEMA)
 
 
@@ -191,41 +195,31 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
 
 
 def code_lengths(counts: np.ndarray, limit: int) -> np.ndarray:
-    """Lengths of an optimal prefix code for positive counts, none over ``limit`` (Kraft sums are repaired)."""
+    """Lengths of an optimal prefix code for positive counts, none over ``limit``, by package-merge."""
     n = len(counts)
-    if n == 0:
-        return np.zeros(0, np.int64)
-    if n == 1:
-        return np.ones(1, np.int64)
+    if n < 2:
+        return np.ones(n, np.int64)
     if n > 1 << limit:
         raise ValueError(f"{n} symbols do not fit codes of {limit} bits")
-    heap = [(int(c), i) for i, c in enumerate(counts)]
-    heapify(heap)
-    parent = np.zeros(2 * n - 1, np.int64)
-    for node in range(n, 2 * n - 1):
-        a, b = heappop(heap), heappop(heap)
-        parent[a[1]] = parent[b[1]] = node
-        heappush(heap, (a[0] + b[0], node))
-    depth = np.zeros(2 * n - 1, np.int64)
-    for node in range(2 * n - 3, -1, -1):
-        depth[node] = depth[parent[node]] + 1
-    lengths = np.minimum(depth[:n], limit)
-    # Where long codes were cut, lengthen the rarest of the shorter ones until the code is a prefix code again,
-    excess = int((1 << (limit - lengths)).sum()) - (1 << limit)
     order = np.argsort(counts, kind="stable")
-    while excess > 0:
-        for i in order:
-            if lengths[i] < limit:
-                excess -= 1 << int(limit - lengths[i] - 1)
-                lengths[i] += 1
-                if excess <= 0:
-                    break
-    # and give what is left over to the most frequent.
-    for i in order[::-1]:
-        while lengths[i] > 1 and excess + (gain := 1 << int(limit - lengths[i])) <= 0:
-            lengths[i] -= 1
-            excess += gain
-    return lengths
+    weights = counts[order].astype(np.float64)
+    # from the longest length up: symbols, and pairs of what the length below has
+    merged, leaves = weights, [np.ones(n, bool)]
+    for _ in range(limit - 1):
+        pairs = merged[0 : len(merged) - len(merged) % 2].reshape(-1, 2).sum(1)
+        both = np.concatenate([weights, pairs])
+        by = np.argsort(both, kind="stable")
+        merged = both[by]
+        leaves.append(by < n)
+    # the cheapest 2n - 2 of the last; its pairs are twice as many of the length below
+    depth, take = np.zeros(n, np.int64), 2 * n - 2
+    for own in reversed(leaves):
+        used = int(own[:take].sum())
+        depth[:used] += 1
+        take = 2 * (take - used)
+    out = np.empty(n, np.int64)
+    out[order] = depth
+    return out
 
 
 class CanonicalCode:
@@ -242,10 +236,10 @@ class CanonicalCode:
         self.code_of[self.symbols[order]] = (firsts >> (width - self.lengths[order])).astype(np.uint64)
         self.length_of[self.symbols[order]] = self.lengths[order]
         self.symbol_at = np.zeros(1 << width, np.uint32)
-        self.length_at = np.ones(1 << width, np.int64)
+        self.length_at = np.ones(1 << width, np.uint8)
         used = int(spans.sum())
         self.symbol_at[:used] = np.repeat(self.symbols[order], spans)
-        self.length_at[:used] = np.repeat(self.lengths[order], spans)
+        self.length_at[:used] = np.repeat(self.lengths[order].astype(np.uint8), spans)
 
     @classmethod
     def from_counts(cls, symbols: np.ndarray, counts: np.ndarray) -> CanonicalCode:
@@ -355,17 +349,17 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/blocks").mapInArrow(decode, DOCUMENT_SCHEMA)
 
 
-def store_documents(docs: DataFrame, path: str | None = None, tokenizer_path: str | None = None, end_id: int | None = 2) -> str:
-    """Tokenize ``docs`` and write a store; returns its folder."""
+def store_documents(docs: DataFrame, path: str | None = None, tokenizer_path: str | None = None, end_id: int | None = 2, order: tuple[str, ...] = ("doc_id", "text")) -> str:
+    """Tokenize ``docs`` and write a store in the order of these columns; returns its folder."""
     spark = docs.sparkSession
     path = path or common.new_path(spark, "tokens")
     staged = f"{path}/staged"
-    write_store(common.materialize(token_blocks(docs, tokenizer_path, end_id), "ids", staged), path)
+    write_store(common.materialize(token_blocks(docs, tokenizer_path, end_id, order), "ids", staged), path)
     common.remove(spark, staged)
     return path
 
 
-def token_digests(docs: DataFrame) -> DataFrame:
+def token_digests(docs: DataFrame, order: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """Contract of op7: write, read back, and sum up each document's ids."""
-    stored = read_store(docs.sparkSession, store_documents(docs))
+    stored = read_store(docs.sparkSession, store_documents(docs, order=order))
     return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -29,6 +30,17 @@ def test_lengths_are_limited_and_a_prefix_code():
         ts.code_lengths(np.ones(5, int), 2)
 
 
+def test_limited_codes_are_optimal():
+    """No assignment of lengths within the limit is shorter."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        counts = np.sort(rng.integers(1, 200, int(rng.integers(2, 7))))[::-1]
+        for limit in (3, 4, 6):
+            lengths = ts.code_lengths(counts, limit)
+            best = min(sum(c * n for c, n in zip(counts, own)) for own in itertools.product(range(1, limit + 1), repeat=len(counts)) if sum(2.0**-n for n in own) <= 1)
+            assert (counts * lengths).sum() == best and lengths.max() <= limit and (2.0**-lengths).sum() <= 1
+
+
 def test_words_encode_as_texts():
     import pyarrow as pa
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,17 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write the token store and return each document's digest from it."""
-    return token_store.token_digests(docs)
+    """Write the token store in training order, and return each document's digest from it.
+
+    The mix has written its rows in training order, over files and within them; rows that come from no file are taken by id.
+    """
+    file, row = common.fresh_name(docs, "file"), common.fresh_name(docs, "row")
+    try:
+        part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("bigint")
+        placed = docs.select("*", part.alias(file), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        return token_store.token_digests(docs)
+    return token_store.token_digests(placed, (file, row))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -213,3 +213,18 @@ def merged_page(old: Column, new: Column) -> Column:
     categories = kept(CATEGORIES)
     last = F.when(ends, lines(categories, "\n")).otherwise(lines(categories, "\n\n"))
     return F.concat(bare, lines(kept(ASSESSMENTS), "\n\n=={{Assessment}}==\n"), lines(kept(LICENSES), "\n\n"), lines(kept(EXTRACTED), "\n\n"), last, F.lit("\n"))
+
+
+#: Bytes of a comment, and those that a move adds to it beside names.
+COMMENT_BYTES, MOVE_BYTES = 500, 36
+
+
+def move_reason(old: Column, new: Column, item: Column, user: Column) -> Column:
+    """The longest wording of why a file is moved that fits a comment; the shortest where none does."""
+    lead = "Title drift correction"
+    linked = F.concat(F.lit("[[dpla:"), item, F.lit("|"), item, F.lit("]]"))
+    said = lambda middle, what: F.concat(F.lit(f"{lead}{middle} ("), what, F.lit(")"))
+    longer = ": updating to current DPLA title"
+    words = F.array(said(longer, F.concat(F.lit("DPLA ID "), linked)), said(longer, F.concat(F.lit("DPLA ID "), item)), said("", F.concat(F.lit("DPLA ID "), item)), said("", item), F.lit(lead))
+    room = COMMENT_BYTES - MOVE_BYTES - F.octet_length(user) - F.octet_length(old) - F.octet_length(new)
+    return F.coalesce(F.try_element_at(F.filter(words, lambda w: F.octet_length(w) <= room), F.lit(1)), F.lit(lead))

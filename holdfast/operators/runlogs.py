@@ -119,3 +119,17 @@ def groups(files: DataFrame, limit: int | None = None) -> DataFrame:
     """(id, file) -> an item's files together, of the first items by id if there is a limit."""
     own = files.groupBy("id").agg(F.array_sort(F.collect_list("file")).alias("files"))
     return own if limit is None else own.orderBy("id").limit(limit)
+
+
+# Fixed patterns: lines of phase logs that are counted, and those that state a number.
+COUNTED = {"items": "DPLA ID:", "uploaded": "Uploaded to", "skipped": "Skipping.*Already exists on commons", "done": "COUNTS:", "ordinals": "-- Ordinal [0-9]+:"}
+STATED = {"hand_fix": r"UPLOAD_HAND_FIX:\s*(\d+)", "merged": r"UPLOAD_MERGED_TO_CANONICAL:\s*(\d+)", "maintain_total": r"maintain scope: (\d+) files"}
+
+
+def phase_counts(lines: DataFrame) -> DataFrame:
+    """(log, line_no, text) -> the eight numbers of a phase's log in one pass: lines of five kinds, and the last of three stated
+    numbers; 0 where there are none."""
+    counted = [F.count_if(F.col("text").rlike(pattern)).alias(name) for name, pattern in COUNTED.items()]
+    number = lambda pattern: F.regexp_extract("text", pattern, 1).try_cast("bigint")
+    stated = [F.coalesce(F.max_by(number(p), F.when(number(p).isNotNull(), F.col("line_no"))), F.lit(0)).alias(name) for name, p in STATED.items()]
+    return lines.groupBy("log").agg(*counted, *stated)

@@ -151,3 +151,9 @@ def institution_status(institutions: DataFrame, wanted: DataFrame) -> DataFrame:
     """Whether each (hub, inst) uploads: the hub does, or the institution."""
     own = institutions.groupBy("hub", "inst").agg(F.bool_or(uploads()).alias("_up"))
     return wanted.join(own, ["hub", "inst"], "left").select("hub", "inst", F.coalesce("_up", F.lit(False)).alias("eligible"))
+
+
+def of_partner(items: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Items (partner: a slug, hub: a name) with whether the record is of that partner; an unknown slug is nobody's."""
+    names = hubs.select(F.col("slug").alias("partner"), F.col("name").alias("_name"))
+    return items.join(names, "partner", "left").withColumn("of_partner", F.coalesce("_name", F.lit("")) == F.coalesce("hub", F.lit(""))).drop("_name")

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.functions import dates, fmt, rights, text, urls
+from holdfast.functions import dates, fmt, rights, text, urls, wiki
 
 
 def one(spark, value, f, kind="string"):
@@ -197,3 +197,30 @@ def test_formats(spark):
 def test_numbers(spark):
     row = spark.createDataFrame([(5, 200), (0, 10), (5000, 5000)], "a int, b int").select(fmt.percent(F.col("a"), F.col("b")).alias("p"), fmt.level(F.col("a")).alias("l")).collect()
     assert [tuple(r) for r in row] == [(2, "low"), (0, "very low"), (100, "very high")]
+
+
+def test_sentences(spark):
+    df = spark.createDataFrame([("d.org", 1200, 1, 4800, "Inst", "Hub"), ("d.org", 1, 0, 3, None, None), ("d.org", 0, 2, 3, None, None), ("d.org", 0, 0, 0, None, None)], "n string, u int, o int, t int, a string, h string")
+    cols = [F.col(c) for c in "nuot"]
+    domain = [r["s"] for r in df.select(fmt.readiness_sentence(*cols, aside=F.col("a"), hub=F.col("h")).alias("s")).collect()]
+    assert domain[0].startswith("'[**d.org**](https://d.org)' *(e.g. '[Inst](https://") and "**high** readiness score because it has **1,200** eligible public domain items (**25%** of **4,800** total items) across all" in domain[0]
+    assert domain[0].endswith(", and **1** additional item over 120 years old in other rights categories that could become eligible with rights review.")
+    assert "**1** eligible public domain item (**33%**" in domain[1] and domain[1].endswith("a media location.")
+    assert domain[2].endswith("no public domain items, but has **2** items over 120 years old in other rights categories that could become eligible with rights review.")
+    assert domain[3].endswith("no public domain items and no items dated over 120 years old.")
+    inst = df.select(fmt.readiness_sentence(F.lit("A [b]"), F.lit(5), F.lit(0), F.lit(5), "institution", F.lit("d.org")).alias("s")).first()["s"]
+    assert inst.startswith("'**A \\[b\\]**' *([d.org](https://d.org))* has a **low**") and " already in CONTENTdm" in inst
+
+
+def test_types_by_content(spark):
+    files = {"FFD8FFE0": "image/jpeg", "0000001866747970717420": "video/quicktime", "000000186674797069736F6D": "video/mp4", "524946460000000057454250": "image/webp", "00": "application/octet-stream", "": "application/octet-stream"}
+    df = spark.createDataFrame([(bytearray.fromhex(h),) for h in files], "c binary")
+    assert [r["t"] for r in df.select(fmt.sniffed_type(F.col("c")).alias("t")).collect()] == list(files.values())
+
+
+def test_move_reasons(spark):
+    reason = lambda n: spark.range(1).select(wiki.move_reason(F.lit("x" * n), F.lit("é" * n), F.lit("a" * 32), F.lit("bot")).alias("r")).first()["r"]
+    found = [reason(n) for n in (10, 115, 125, 137, 150)]
+    assert found[0].endswith(f"(DPLA ID [[dpla:{'a' * 32}|{'a' * 32}]])") and found[-1] == "Title drift correction"
+    assert all(len(r.encode()) + 36 + 3 + 3 * n <= 500 for r, n in zip(found[:-1], (10, 115, 125, 137)))
+    assert [len(r) for r in found] == sorted((len(r) for r in found), reverse=True)

@@ -18,15 +18,16 @@ def relink(files: DataFrame, live: DataFrame) -> DataFrame:
     alive = own.join(live.select(F.col("id").alias("embedded_id")).distinct(), "embedded_id", "left_semi").select("file", F.col("embedded_id").alias("direct"))
     spread = own.select("file", F.explode(urls.variants(F.col("url"))).alias("shown_at"))
     exact = spread.join(live.select("id", "shown_at"), "shown_at").groupBy("file").agg(F.min("id").alias("exact"), F.count_distinct("id").alias("n_exact"))
-    # a record whose URL holds the token has the token's first letters somewhere, so that the search starts as an equality
+    # a record whose URL holds the token has the token's last letters somewhere, so that the search starts as an equality; only
+    # tokens of files that are still open are looked for, each once in a scope
     starts = F.sequence(F.lit(1), F.greatest(F.length("shown_at") - urls.MIN_TOKEN + 1, F.lit(1)))
     pieces = F.array_distinct(F.transform(starts, lambda i: F.substring("shown_at", i, F.lit(urls.MIN_TOKEN))))
     pieces = F.explode(F.filter(pieces, lambda x: x.rlike(f"^[A-Za-z0-9_-]{{{urls.MIN_TOKEN}}}$")))
-    indexed = live.select("id", "scope", "shown_at", pieces.alias("gram"))
-    token = own.select("file", "scope", urls.stable_token(F.col("url")).alias("token")).where("token is not null")
-    token = token.withColumn("gram", F.substring("token", 1, urls.MIN_TOKEN))
-    scoped = token.join(indexed, ["scope", "gram"]).where(F.contains("shown_at", "token")).groupBy("file").agg(F.min("id").alias("scoped"), F.count_distinct("id").alias("n_scoped"))
-    joined = own.join(alive, "file", "left").join(exact, "file", "left").join(scoped, "file", "left")
+    found = own.join(alive, "file", "left").join(exact, "file", "left").withColumn("token", F.when(F.col("direct").isNull() & F.col("n_exact").isNull(), urls.stable_token(F.col("url"))))
+    tokens = found.where("token is not null").select("scope", "token").distinct().withColumn("gram", F.substring("token", -urls.MIN_TOKEN, urls.MIN_TOKEN))
+    near = live.select("id", "scope", "shown_at", pieces.alias("gram")).join(tokens, ["scope", "gram"]).where(F.contains("shown_at", "token"))
+    scoped = near.groupBy("scope", "token").agg(F.min("id").alias("scoped"), F.count_distinct("id").alias("n_scoped"))
+    joined = found.join(scoped, ["scope", "token"], "left")
     anchor = (
         F.when(F.col("direct").isNotNull(), "embedded")
         .when(F.col("n_exact") == 1, "shown_at")
@@ -35,8 +36,8 @@ def relink(files: DataFrame, live: DataFrame) -> DataFrame:
         .when(F.col("n_scoped") > 1, "ambiguous")
         .otherwise("unresolved")
     )
-    found = F.when(anchor == "embedded", F.col("direct")).when(anchor == "shown_at", F.col("exact")).when(anchor == "token", F.col("scoped"))
-    return joined.select("file", anchor.alias("anchor"), found.alias("id"))
+    chosen = F.when(anchor == "embedded", F.col("direct")).when(anchor == "shown_at", F.col("exact")).when(anchor == "token", F.col("scoped"))
+    return joined.select("file", anchor.alias("anchor"), chosen.alias("id"))
 
 
 def drift_outcome(community: Column, same_title: Column, other_item_live: Column, title_empty: Column, redirects_to_self: Column, redirects: Column, sibling: Column) -> Column:

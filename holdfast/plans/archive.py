@@ -323,8 +323,7 @@ v AS (SELECT file, unnest(list_distinct([u, CASE WHEN suffix(u, '/') THEN regexp
 x AS (SELECT file, min(id) AS exact, count(DISTINCT id) AS nx FROM v JOIN live USING (shown_at) GROUP BY file),
 t AS (SELECT file, scope, (list_sort(list_transform(list_zip(ts, range(1, len(ts) + 1)), lambda z: {'w': -(2 * len(z[1]) + regexp_matches(z[1], '[0-9]')::INT), 'i': z[2], 't': z[1]})))[1].t AS token
   FROM (SELECT file, scope, list_filter(regexp_split_to_array(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*(?:\\?[^#]*)?)', 1), '[^A-Za-z0-9_-]+'), lambda s: s <> '') AS ts FROM f)),
-l AS (SELECT DISTINCT id, scope, unnest(regexp_split_to_array(shown_at, '[^A-Za-z0-9_-]+')) AS token FROM live),
-s AS (SELECT file, min(id) AS scoped, count(DISTINCT id) AS ns FROM t JOIN l USING (scope, token) WHERE len(token) >= 6 GROUP BY file),
+s AS (SELECT file, min(id) AS scoped, count(DISTINCT id) AS ns FROM t JOIN live USING (scope) WHERE len(token) >= 6 AND contains(shown_at, token) GROUP BY file),
 j AS (SELECT f.file, CASE WHEN e.id IS NOT NULL THEN 'embedded' WHEN nx = 1 THEN 'shown_at' WHEN nx > 1 THEN 'ambiguous' WHEN ns = 1 THEN 'token' WHEN ns > 1 THEN 'ambiguous' ELSE 'unresolved' END AS anchor, e.id AS direct, exact, scoped
   FROM f LEFT JOIN live e ON e.id = f.embedded_id LEFT JOIN x USING (file) LEFT JOIN s USING (file))
 SELECT file, anchor, CASE anchor WHEN 'embedded' THEN direct WHEN 'shown_at' THEN exact WHEN 'token' THEN scoped END AS id FROM j"""

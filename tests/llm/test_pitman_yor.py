@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
+from holdfast.llm import common
 from holdfast.llm import pitman_yor as py
 
 
@@ -84,3 +85,63 @@ def test_letters_are_served_to_tables():
     few, many = (py.letter_model(*py.letter_keys(py.letter_codes(["ab", "xy"]), np.array([n, 1.0]))) for n in (1.0, 50.0))
     seen = py.letter_codes(["ab"])
     assert many.log_probability(seen)[0] > few.log_probability(seen)[0] + 0.3
+
+
+@pytest.mark.parametrize("shard_bytes", [300, 1 << 20])
+def test_probabilities_sum_to_one(documents, shard_bytes):
+    """In every context, over all words and the unseen type; counts and sums of tables are the corpus's, over many shards."""
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{int(k)}" for k in rng.zipf(1.6, 25) % 30) + f" only{i}") for i in range(60)]
+    model = py.Restaurants(common.materialize(py.shard_texts(documents(rows).repartition(2), shard_bytes), "shards"))
+    sweeps = model.sweeps
+
+    def step(shard, tables):
+        out = []
+        for now in sweeps:
+            after, before = tables[py.TABLES + now.number - 1]
+            bases, seats = now.words(shard, before)
+            pairs = now.pairs(shard, after, now.chances(bases, before, seats, now.tables))
+            served = tables[py.TABLES + now.number][0]
+            mine = shard.own & (shard.counts > 0)
+            out.append((now.number, 0, 0, now.chances(bases, before, seats, now.seated)[mine].sum(), 0.0, 0.0, 0.0))
+            rest = np.bincount(shard.u, (shard.pair_counts - now.pair_discount * pairs) * shard.own_pairs * (shard.pair_counts > 0), len(shard.names))
+            own_tables = np.bincount(shard.u, pairs * shard.own_pairs, len(shard.names))
+            for u in np.flatnonzero(shard.counts > 0).tolist():
+                out.append((now.number, 1, int(shard.names[u].view(np.int64)), rest[u], own_tables[u], served[u], shard.counts[u]))
+        return py._rows(out, "k int, kind int, name bigint, a double, b double, served double, c double")
+
+    found = model.over(step, "k int, kind int, name bigint, a double, b double, served double, c double").toPandas()
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    counts = collections.Counter(t for r in learnt for t in tokens(r[1]))
+    for now in sweeps:
+        words = found[(found.k == now.number) & (found.kind == 0)]["a"].sum()
+        assert words + now.unseen == pytest.approx(1, abs=1e-6)
+        of_contexts = found[(found.k == now.number) & (found.kind == 1)].groupby("name").agg({"a": "sum", "b": "sum", "served": ["min", "max"], "c": ["min", "max"]})
+        assert len(of_contexts) == len(counts) and sorted(of_contexts[("c", "min")]) == sorted(counts.values())
+        assert (of_contexts[("c", "min")] == of_contexts[("c", "max")]).all() and (of_contexts[("served", "min")] == of_contexts[("served", "max")]).all()
+        assert (of_contexts[("b", "sum")] == of_contexts[("served", "min")]).all()
+        whole = (of_contexts[("a", "sum")] + py.STRENGTH + now.pair_discount * of_contexts[("served", "min")]) / (py.STRENGTH + of_contexts[("c", "min")])
+        assert whole.to_numpy() == pytest.approx(np.ones(len(whole)))
+
+
+def test_shards_do_not_change_counts_and_little_else(documents):
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{int(k)}" for k in rng.zipf(1.5, 30) % 40)) for i in range(80)] + [(100, None), (None, "w1 w2"), (101, "w1 " * 3000)]
+    one, many = ({r["doc_id"]: r for r in py.score_texts(documents(rows), b).collect()} for b in (1 << 20, 400))
+    assert all(one[i][:5] == many[i][:5] and one[i]["base_score"] == pytest.approx(many[i]["base_score"]) for i in one)
+    assert all(one[i]["score"] == pytest.approx(many[i]["score"], rel=1e-6) for i in one)
+
+
+def test_contexts_beat_single_words_on_held_out_texts(documents):
+    """Perplexity of held-out texts: the model against the smoothed counts of single words."""
+    rng = np.random.default_rng(5)
+    follows = {w: rng.choice(60, 3) for w in range(60)}
+    rows = []
+    for i in range(300):
+        own = [int(rng.integers(60))]
+        while len(own) < 40:
+            own.append(int(rng.choice(follows[own[-1]])))
+        rows.append((i, " ".join(f"w{w}" for w in own)))
+    held = [r for r in py.score_texts(documents(rows)).collect() if r["held_out"]]
+    bits = lambda c: -sum(r[c] for r in held) / sum(r["n_tokens"] for r in held)
+    assert bits("score") < 0.6 * bits("base_score")

@@ -5,8 +5,8 @@ vectors, each rotated by its place.  A text's vector is the sum (bundle) of thos
 prototype is the sum over its training texts, less the mean of all prototypes.  A text belongs to the language whose
 prototype has the largest cosine with it.
 
-Letters are lower-cased; anything else is one boundary.  Letters beyond a-z share ``SYMBOLS - 27`` vectors by code
-point.  Learns from text and non-null lang of rows whose crc32(doc_id as text) mod 4 is not 2.
+Letters are lower-cased; anything else is one boundary.  A letter's vector comes from its code point alone, so that letters of
+all scripts have their own.  Learns from text and non-null lang of rows whose crc32(doc_id as text) mod 4 is not 2.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything if no row can be learnt from; ties go
 to the first language by code point; repeated rows are repeated; an empty table gives an empty result; other columns
@@ -24,39 +24,51 @@ from pyspark.sql import functions as F
 
 from . import common
 
-DIMENSIONS, NGRAM, SYMBOLS = 1024, 3, 64
+DIMENSIONS, NGRAM = 1024, 3
 MODULUS, HELD = 4, 2
 UNDETERMINED = "und"
 #: Texts whose vectors are made at once, and their bytes.
 GROUP, GROUP_BYTES = 128, 1 << 20
+#: Codes of n-grams that are counted in a table, and n-grams of a language that a task holds before it bundles them.
+TABLE, HELD_GRAMS = 1 << 22, 1 << 17
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
 
-def letter_vectors(dimensions: int = DIMENSIONS) -> np.ndarray:
-    """For each place in an n-gram, the rotated vectors of all symbols, as int8."""
-    base = np.random.Generator(np.random.PCG64(8)).integers(0, 2, (SYMBOLS, dimensions), dtype=np.int8) * 2 - 1
-    return np.stack([np.roll(base, NGRAM - 1 - place, axis=1) for place in range(NGRAM)])
+def letter_vectors(points: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Vectors of +1 and -1 of code points, as int8 (0 is the boundary)."""
+    lanes = np.arange(-(-dimensions // 64), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        x = points.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + lanes * np.uint64(0xD1B54A32D192ED03) + np.uint64(8)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    bits = np.unpackbits((x ^ x >> np.uint64(31)).astype("<u8").view(np.uint8).reshape(len(points), -1), axis=1)
+    return bits[:, :dimensions].astype(np.int8) * 2 - 1
 
 
-_SYMBOL_OF: np.ndarray | None = None
+_IS_LETTER: np.ndarray | None = None
 
 
-def symbol_table() -> np.ndarray:
-    """Symbol of each code point: 0 for what is no letter, 1-26 for a-z, the others by code point."""
-    global _SYMBOL_OF
-    if _SYMBOL_OF is None:
-        _SYMBOL_OF = np.fromiter(((27 + c * 40503 % 65521 % (SYMBOLS - 27)) if chr(c).isalpha() else 0 for c in range(0x110000)), np.int32, 0x110000)
-        _SYMBOL_OF[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    return _SYMBOL_OF
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    global _IS_LETTER
+    if _IS_LETTER is None:
+        _IS_LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return _IS_LETTER
 
 
-def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all letter n-grams and the text that each is from; n-grams without a letter in the middle are left out."""
+def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of all letter n-grams, the text that each is from, and the code points of the group's symbols, whose numbers make up
+    the codes; n-grams without a letter in the middle are left out."""
     points = np.frombuffer(("\n".join(texts) + "\n").lower().encode("utf-32-le", "surrogatepass"), np.uint32) if texts else np.zeros(0, np.uint32)
     lengths = np.array([len(t.lower()) for t in texts], np.int64)
     owner = np.repeat(np.arange(len(texts)), lengths + 1)[: len(points)]
-    symbols = symbol_table()[points]
+    letter = letter_table()[points]
+    alphabet = np.concatenate([[0], np.flatnonzero(np.bincount(points[letter]))]) if letter.any() else np.zeros(1, np.int64)
+    number = np.zeros(int(alphabet[-1]) + 1, np.int32)
+    number[alphabet] = np.arange(len(alphabet))
+    symbols = np.zeros(len(points), np.int32)
+    symbols[letter] = number[points[letter]]
     keep = np.ones(len(symbols), bool)
     keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0) | (owner[1:] != owner[:-1])
     symbols, owner = symbols[keep], owner[keep]
@@ -65,33 +77,39 @@ def ngram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     symbols, owner = np.insert(symbols, starts, 0), np.insert(owner, starts, np.arange(len(texts)))
     n = len(symbols) - NGRAM + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), alphabet
     code = np.zeros(n, np.int64)
     for place in range(NGRAM):
-        code = code * SYMBOLS + symbols[place : n + place]
+        code = code * len(alphabet) + symbols[place : n + place]
     good = (owner[:n] == owner[NGRAM - 1 :]) & (symbols[1 : n + 1] != 0)
-    return code[good], owner[:n][good]
+    return code[good], owner[:n][good], alphabet
 
 
-def bound(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """Vectors of n-grams."""
-    out = letters[NGRAM - 1][codes % SYMBOLS]
-    for place in range(NGRAM - 2, -1, -1):
-        codes = codes // SYMBOLS
-        out = out * letters[place][codes % SYMBOLS]
+def bound(codes: np.ndarray, alphabet: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Vectors of n-grams: each letter's rotated by its place."""
+    letters, out = letter_vectors(alphabet, dimensions), np.ones((len(codes), dimensions), np.int8)
+    for place in range(NGRAM - 1, -1, -1):
+        out *= np.roll(letters, NGRAM - 1 - place, axis=1)[codes % len(alphabet)]
+        codes = codes // len(alphabet)
     return out
 
 
-def group_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes of a group of texts, and how often each text has each."""
-    codes, owner = ngram_codes(texts)
+def distinct_codes(codes: np.ndarray, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, and the number of each."""
+    if len(alphabet) ** NGRAM > TABLE:
+        return np.unique(codes, return_inverse=True)
     distinct = np.flatnonzero(np.bincount(codes, minlength=1)) if len(codes) else np.zeros(0, np.int64)
-    if not len(distinct):
-        return distinct, np.zeros((len(texts), 0), np.float32)
-    place = np.zeros(distinct[-1] + 1, np.int64)
+    place = np.zeros(int(distinct[-1]) + 1 if len(distinct) else 1, np.int64)
     place[distinct] = np.arange(len(distinct))
-    counts = np.bincount(owner * len(distinct) + place[codes], minlength=len(texts) * len(distinct))
-    return distinct, counts.reshape(len(texts), len(distinct)).astype(np.float32)
+    return distinct, place[codes]
+
+
+def group_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes of a group of texts, how often each text has each, and the alphabet."""
+    codes, owner, alphabet = ngram_codes(texts)
+    distinct, place = distinct_codes(codes, alphabet)
+    counts = np.bincount(owner * len(distinct) + place, minlength=len(texts) * len(distinct))
+    return distinct, counts.reshape(len(texts), len(distinct)).astype(np.float32), alphabet
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,28 +141,40 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> LanguageProfiles:
     """Prototypes from all training rows.  Tasks send one vector of counts' sums a language; whole numbers, so exact."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = letter_vectors(dimensions)
-        counts: dict[str, np.ndarray] = {}
+        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         sums: dict[str, np.ndarray] = {}
 
         def bundle(lang: str) -> None:
-            totals = counts.pop(lang)
-            found = np.flatnonzero(totals)
-            for i in range(0, len(found), 4096):
-                part = found[i : i + 4096]
-                sums[lang] = sums.get(lang, 0) + totals[part].astype(np.float64) @ bound(part, letters).astype(np.float64)
+            points, totals = held.pop(lang)
+            alphabet, number = np.unique(points, return_inverse=True)
+            codes = np.zeros(len(points), np.int64)
+            for place in range(NGRAM):
+                codes = codes * len(alphabet) + number.reshape(points.shape)[:, place]
+            for i in range(0, len(codes), 4096):
+                sums[lang] = sums.get(lang, 0) + totals[i : i + 4096].astype(np.float64) @ bound(codes[i : i + 4096], alphabet, dimensions).astype(np.float64)
+
+        def hold(lang: str, points: np.ndarray, totals: np.ndarray) -> None:
+            """n-grams as code points, and their numbers."""
+            if lang in held:
+                packed = np.concatenate([held[lang][0], points]) @ (1 << 21 * np.arange(NGRAM - 1, -1, -1))
+                distinct, place = np.unique(packed, return_inverse=True)
+                totals = np.bincount(place, np.concatenate([held[lang][1], totals]), len(distinct)).astype(np.int64)
+                points = np.stack([distinct >> 21 * k & (1 << 21) - 1 for k in range(NGRAM - 1, -1, -1)], 1)
+            held[lang] = points, totals
+            if len(points) > HELD_GRAMS:
+                bundle(lang)
 
         for batch in groups(batches):
             langs = np.array(batch.column("lang").to_pylist(), object)
-            codes, owner = ngram_codes(_texts(batch))
+            codes, owner, alphabet = ngram_codes(_texts(batch))
+            distinct, place = distinct_codes(codes, alphabet)
+            points = np.stack([alphabet[distinct // len(alphabet) ** k % len(alphabet)] for k in range(NGRAM - 1, -1, -1)], 1)
             for lang in sorted(set(langs)):
-                if lang not in counts:
-                    counts[lang] = np.zeros(SYMBOLS**NGRAM, np.int64)
-                new = np.bincount(codes[(langs == lang)[owner]])
-                counts[lang][: len(new)] += new
-            while len(counts) > 24:  # bounds memory where languages are many
-                bundle(next(iter(counts)))
-        for lang in list(counts):
+                totals = np.bincount(place[(langs == lang)[owner]], minlength=len(distinct))
+                hold(lang, points[totals > 0], totals[totals > 0])
+            while len(held) > 24:  # bounds memory where languages are many
+                bundle(next(iter(held)))
+        for lang in list(held):
             bundle(lang)
         for lang, vector in sums.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "vector": pa.array([np.rint(vector).astype(np.int64)], pa.list_(pa.int64()))})
@@ -157,13 +187,13 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> LanguageProfiles:
     return LanguageProfiles([lang for lang, _ in found], np.array([v for _, v in found], np.float64).reshape(len(found), dimensions))
 
 
-def predict(texts: list[str], profiles: LanguageProfiles, letters: np.ndarray, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+def predict(texts: list[str], profiles: LanguageProfiles, dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
     """The nearest language's number (that of languages where there is no letter) and its cosine."""
-    codes, counts = group_counts(texts)
+    codes, counts, alphabet = group_counts(texts)
     best, score = np.full(len(texts), len(profiles.languages)), np.zeros(len(texts))
     known = counts.sum(1) > 0
     if len(profiles.languages) and known.any():
-        cosines = profiles.cosines(counts[known] @ bound(codes, letters).astype(np.float32))
+        cosines = profiles.cosines(counts[known] @ bound(codes, alphabet, dimensions).astype(np.float32))
         best[known], score[known] = cosines.argmax(1), np.clip(cosines.max(1), 0, 1)
     return best, score
 
@@ -172,10 +202,9 @@ def identify(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIME
     """doc_id, held_out, lang_pred and the cosine as score (0 where it is negative)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = letter_vectors(dimensions)
         names = np.array([*profiles.languages, UNDETERMINED], object)
         for batch in groups(batches):
-            best, score = predict(_texts(batch), profiles, letters, dimensions)
+            best, score = predict(_texts(batch), profiles, dimensions)
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "lang_pred": pa.array(names[best], pa.string()), "score": score}
             )
@@ -196,9 +225,8 @@ def keep_identified(docs: DataFrame, profiles: LanguageProfiles, dimensions: int
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = letter_vectors(dimensions)
         for batch in groups(batches):
-            best = predict(_texts(batch), profiles, letters, dimensions)[0]
+            best = predict(_texts(batch), profiles, dimensions)[0]
             yield batch.filter(pa.array(best < len(profiles.languages)))
 
     return docs.mapInArrow(run, schema)

@@ -114,7 +114,7 @@ def test_last_text_of_a_group_has_a_closing_boundary():
     from holdfast.llm import hyper_langid
 
     for last in ("a", "!a", "word"):
-        codes, owner = hyper_langid.ngram_codes([last, "x y", last])
+        codes, owner, _ = hyper_langid.ngram_codes([last, "x y", last])
         assert codes[owner == 0].tolist() == codes[owner == 2].tolist() != []
 
 
@@ -148,3 +148,34 @@ def test_long_texts_are_scored_in_parts():
     assert all(w in words for p in found for w in p)
     pairs = {pair for p in found for pair in zip(p, p[1:])}
     assert pairs == set(zip(words, words[1:]))
+
+
+def test_language_vectors_against_brute_force():
+    """n-gram by n-gram, over scripts whose letters are many, in a table of codes or sorted."""
+    texts = ["Ab c", "ÄÖ ß-ß", "日本語テスト", "привет мир", "", "a", "1 2", "x\ny"]
+
+    def vector(text):
+        own = np.zeros(hyper_langid.DIMENSIONS)
+        line = [0, *(ord(c) if c.isalpha() else 0 for c in text.lower()), 0]
+        line = [c for i, c in enumerate(line) if c or not i or line[i - 1]]
+        for i in range(len(line) - 2):
+            if line[i + 1]:
+                parts = hyper_langid.letter_vectors(np.array(line[i : i + 3]))
+                own += np.prod([np.roll(v, 2 - k) for k, v in enumerate(parts)], axis=0)
+        return own
+
+    for table in (hyper_langid.TABLE, 8):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(hyper_langid, "TABLE", table)
+            codes, counts, alphabet = hyper_langid.group_counts(texts)
+        assert counts @ hyper_langid.bound(codes, alphabet) == pytest.approx(np.array([vector(t) for t in texts]))
+    letters = hyper_langid.letter_vectors(np.arange(0x400, 0x460))
+    assert abs(letters.astype(int) @ letters.T.astype(int) - 1024 * np.eye(96)).max() < 200
+
+
+def test_prototypes_do_not_depend_on_partitions(documents, corpus):
+    profiles = [hyper_langid.train(documents(corpus[0]).repartition(n)) for n in (1, 7)]
+    assert (profiles[0].prototypes == profiles[1].prototypes).all() and profiles[0].languages == profiles[1].languages
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(hyper_langid, "HELD_GRAMS", 50)
+        assert hyper_langid.train(documents(corpus[0])).prototypes == pytest.approx(profiles[0].prototypes, abs=1e-6)

@@ -7,6 +7,7 @@ weight of its n-grams of that kind.  Words are `[^\\x20\\x09-\\x0D]+`, case kept
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,8 @@ from . import common
 
 BITS = 18
 SIZE = 1 << BITS
-KINDS = 4
+#: Widths of byte n-grams, and places of a text that are looked at together.
+BYTES, PIECE = (3, 4), 1 << 20
 #: Means of many n-grams are small; scaling them speeds up training.
 SCALE = 16.0
 
@@ -49,11 +51,10 @@ class Parts:
         self.data = np.frombuffer(b"\n\n\n".join(self.texts) + b"\n\n\n", np.uint8)
         self.byte_starts = np.cumsum(sizes + 3) - sizes - 3
 
-    def grams(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each kind: table slots of all n-grams in order, each text's first, and its number."""
+    def word_grams(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of single words, then of pairs: table slots of all n-grams in order, each text's first, and its number."""
         hashes = np.fromiter((zlib.crc32(w) | len(w) << 32 for w in self.distinct), np.uint64, len(self.distinct))
-        word = mixed(hashes, 1)[self.index]
-        out = [(word, self.word_starts, self.words)]
+        yield mixed(hashes, 1)[self.index], self.word_starts, self.words
         pairs = np.maximum(self.words - 1, 0)
         with np.errstate(over="ignore"):
             both = hashes[self.index[:-1]] * np.uint64(0x100000001B3) + hashes[self.index[1:]] if len(self.index) > 1 else np.zeros(0, np.uint64)
@@ -61,28 +62,41 @@ class Parts:
         inside = np.ones(len(both), bool)
         cut = self.word_ends[:-1] - 1
         inside[cut[(cut >= 0) & (cut < len(both))]] = False
-        out.append((mixed(both, 2)[inside], np.cumsum(pairs) - pairs, pairs))
-        data = self.data.astype(np.uint32)
-        three = data[:-2] | data[1:-1] << 8 | data[2:] << 16
-        four = three[:-1] | data[3:] << 24
-        keep = np.ones(len(data), bool)
-        ends = self.byte_starts + self.sizes
-        for i in range(3):
-            keep[ends + i] = False
-        for salt, code in ((3, three), (4, four)):
-            slots = mixed(code, salt)
-            out.append((slots[keep[: len(slots)]], np.cumsum(self.sizes) - self.sizes, self.sizes))
-        return out
+        yield mixed(both, 2)[inside], np.cumsum(pairs) - pairs, pairs
+
+    def byte_slots(self, width: int, start: int, end: int) -> np.ndarray:
+        """Table slots of the n-grams of ``width`` bytes that begin at these places."""
+        data = self.data[start : end + width - 1].astype(np.uint32)
+        code = np.zeros(max(len(data) - width + 1, 0), np.uint32)
+        for i in range(width):
+            code |= data[i : i + len(code)] << np.uint32(8 * i)
+        return mixed(code, width)
 
     def score(self, weights: np.ndarray, bias: float) -> np.ndarray:
+        """Bytes are taken in pieces, so that a long text needs few bytes of memory for each of its own."""
         total = np.full(len(self.texts), bias)
-        for slots, starts, counts in self.grams():
+        for slots, starts, counts in self.word_grams():
             total += SCALE * sums(weights[slots], starts, counts) / np.maximum(counts, 1)
+        ends = self.byte_starts + self.sizes
+        for width in BYTES:
+            values = np.zeros(len(self.data), weights.dtype)
+            for i in range(0, len(self.data), PIECE):
+                own = self.byte_slots(width, i, min(i + PIECE, len(self.data)))
+                values[i : i + len(own)] = weights[own]
+            for i in range(3):
+                values[ends + i] = 0
+            total += SCALE * np.where(self.sizes > 0, sums(values, self.byte_starts, self.sizes + 3), 0) / np.maximum(self.sizes, 1)
         return total
 
     def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Each text's table slots and mean values."""
-        grams = self.grams()
+        grams = list(self.word_grams())
+        keep = np.ones(len(self.data), bool)
+        for i in range(3):
+            keep[self.byte_starts + self.sizes + i] = False
+        for width in BYTES:
+            slots = self.byte_slots(width, 0, len(self.data))
+            grams.append((slots[keep[: len(slots)]], np.cumsum(self.sizes) - self.sizes, self.sizes))
         out = []
         for i in range(len(self.texts)):
             slots, values = [], []

@@ -30,9 +30,9 @@ SYMBOLS = b"#*$%&|<>"
 SCHEMA = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, quality_prob double, kept boolean"
 
 _SPACE = b" \t\n\v\f\r"
-_IS_SYMBOL = np.zeros(256, np.int64)
+_IS_SYMBOL = np.zeros(256, np.int8)
 _IS_SYMBOL[list(SYMBOLS)] = 1
-_STARTS_CHAR = np.ones(256, np.int64)
+_STARTS_CHAR = np.ones(256, np.int8)
 _STARTS_CHAR[0x80:0xC0] = 0
 _STARTS_CHAR[list(_SPACE)] = 0
 
@@ -91,7 +91,7 @@ def measure(parts: ht.Parts) -> dict[str, np.ndarray]:
     n = len(parts.texts)
     counts = {"n_words": parts.words}
     for name, kind in (("word_chars", _STARTS_CHAR), ("n_symbols", _IS_SYMBOL)):
-        counts[name] = np.add.reduceat(kind[parts.data], parts.byte_starts) if n else np.zeros(0, np.int64)
+        counts[name] = np.add.reduceat(kind[parts.data], parts.byte_starts, dtype=np.int64) if n else np.zeros(0, np.int64)
     counts["n_dup_lines"] = np.array([duplicate_lines(t) for t in parts.texts], np.int64)
     distinct = len(parts.distinct) or 1
     counts["n_repeat_words"] = np.array(

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from holdfast.llm import hyper_langid, ordinal_quality, quality_rules, toxicity
@@ -179,3 +180,50 @@ def test_prototypes_do_not_depend_on_partitions(documents, corpus):
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(hyper_langid, "HELD_GRAMS", 50)
         assert hyper_langid.train(documents(corpus[0])).prototypes == pytest.approx(profiles[0].prototypes, abs=1e-6)
+
+
+def test_scores_of_hashed_texts_against_brute_force():
+    """Kind by kind; the piece that is looked at together changes nothing."""
+    from holdfast.llm import hashed_text as ht
+
+    texts = ["", None, "a", "ab c", "one two two three é", "x y " * 300]
+    weights = np.random.default_rng(3).normal(size=ht.SIZE)
+
+    def mean(slots):
+        return ht.SCALE * float(np.mean(weights[slots])) if len(slots) else 0.0
+
+    def brute(text):
+        words = [w.encode() for w in re.findall("[^\x20\x09-\x0d]+", text or "")]
+        name = lambda w: zlib.crc32(w) | len(w) << 32
+        pairs = [0 if a == b else (name(a) * 0x100000001B3 + name(b)) % 2**64 for a, b in zip(words, words[1:])]
+        total = mean(ht.mixed(np.array([name(w) for w in words], np.uint64), 1)) + mean(ht.mixed(np.array(pairs, np.uint64), 2))
+        data = (text or "").encode() + b"\n\n\n"
+        for width in ht.BYTES:
+            codes = [int.from_bytes(data[i : i + width], "little") for i in range(len(data) - 3)]
+            # a text's last n-grams run into what follows it
+            total += ht.SCALE * float(sum(weights[ht.mixed(np.array([c], np.uint64), width)[0]] for c in codes if c is not None)) / max(len(codes), 1)
+        return total
+
+    for piece in (7, 1 << 20):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ht, "PIECE", piece)
+            parts = ht.Parts(pa.array(texts))
+            assert parts.score(weights, 0.0) == pytest.approx([brute(t) for t in texts])
+    dense = [np.bincount(s, v, ht.SIZE) @ weights for s, v in parts.rows()]
+    assert dense == pytest.approx([brute(t) for t in texts], rel=1e-5)
+
+
+def test_verdicts_of_quality_and_grades_against_brute_force(documents, labels, corpus):
+    """The fixed thresholds over the models' own scores, row by row."""
+    from holdfast.llm import hashed_text as ht
+
+    docs, marks = documents(corpus[0]), labels(corpus[1])
+    model = quality_rules.train(docs, marks)
+    rows = {r["doc_id"]: r for r in quality_rules.apply_rules(docs, model).collect()}
+    for i, text, _ in corpus[0][:40]:
+        parts = ht.Parts(pa.array([text]))
+        chance = float(model.probability(parts)[0])
+        assert rows[i]["quality_prob"] == pytest.approx(chance, rel=1e-5)
+        assert rows[i]["kept"] == (not rows[i]["base_failed"] and rows[i]["quality_prob"] >= quality_rules.THRESHOLD)
+    graded = ordinal_quality.graded_documents(docs, marks).collect()
+    assert all(r[c] is not None for r in graded[:40] for c in r.__fields__)

@@ -185,8 +185,8 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
     keys = [F.col(f"`{c}`").alias(f"order{i}") for i, c in enumerate(order)]
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *keys)
     names = [f"order{i}" for i in range(len(order))]
-    # a text is no key of ranges: it only tells rows of one id apart
-    ranges = [n for n, c in zip(names, order, strict=True) if c != "text"]
+    # of texts the first letters are enough for ranges, so that rows without an id spread, too
+    ranges = [F.substring(n, 1, 32) if c == "text" else F.col(n) for n, c in zip(names, order, strict=True)]
     ordered = ordered.repartitionByRange(*ranges).sortWithinPartitions(*names).select("doc_id", "text")
     return ordered.mapInArrow(encode, BLOCK_SCHEMA)
 

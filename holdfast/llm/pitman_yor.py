@@ -37,6 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,9 +55,11 @@ BOUNDARY = 1
 #: Probability of an end in the word restaurant's base.
 END_BASE = 1e-3
 #: Customers seated one by one; later ones in growing groups.
-ONE_BY_ONE = 32
+ONE_BY_ONE = 16
+#: Least mean of binomial numbers that are drawn as normal ones.
+NORMAL = 25
 #: Text bytes of a shard; hashes of a bucket; bytes of a pair's hash beside its bucket.
-SHARD_BYTES, BUCKET, PAIR_BYTES = 12 << 20, 1 << 19, 5
+SHARD_BYTES, BUCKET, PAIR_BYTES = 12 << 20, 1 << 21, 5
 LN10 = np.log(10.0)
 
 SHARD_SCHEMA = "shard bigint, words binary, tokens binary, lengths array<int>, held array<boolean>, doc_ids array<bigint>, n_learnt bigint, n_tokens bigint"
@@ -110,17 +113,17 @@ def _seat_many(customers: np.ndarray, mass: np.ndarray, discount: float, keys: n
 
 
 def binomials(n: np.ndarray, p: np.ndarray, keys: np.ndarray, step: int) -> np.ndarray:
-    """Binomial numbers by inversion of the uniforms; by the normal approximation where mean or rest is 200 or more."""
+    """Binomial numbers by inversion of the uniforms; by the normal approximation where mean or rest is NORMAL or more."""
     n, u = n.astype(np.float64), uniforms(keys, step)
     flipped = p > 0.5
     q = np.where(flipped, 1 - p, p)
     out = np.zeros(len(n))
-    large = np.flatnonzero(n * q >= 200)
+    large = np.flatnonzero(n * q >= NORMAL)
     if len(large):
         m, v = n[large] * q[large], uniforms(keys[large], step + (1 << 40))
         normal = np.sqrt(-2 * np.log(1 - u[large])) * np.cos(2 * np.pi * v)
         out[large] = np.clip(np.rint(m + np.sqrt(m * (1 - q[large])) * normal), 0, n[large])
-    live = np.flatnonzero(n * q < 200)
+    live = np.flatnonzero(n * q < NORMAL)
     chance = np.exp(n[live] * np.log1p(-q[live]))
     below = chance.copy()
     k = 0
@@ -292,9 +295,12 @@ def letter_model(keys: np.ndarray, counts: np.ndarray) -> LetterModel:
 # ---------------------------------------------------------------- shards
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
+def word_names(words: list[str]) -> np.ndarray:
     """64-bit names of the words, and last that of the boundary."""
-    return np.array([*(xxhash.xxh64_intdigest(w) for w in words), BOUNDARY], np.uint64)
+    names = hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
+    for i in [i for i, w in enumerate(words) if "\0" in w] if any("\0" in w for w in words) else []:  # that hash ends there
+        names[i] = xxhash.xxh64_intdigest(words[i].encode("utf-8", "surrogatepass"))
+    return np.append(names, np.uint64(BOUNDARY))
 
 
 def pair_hashes(before: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -347,7 +353,7 @@ def shard_texts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
             held, size, shard = [], 0, shard + 1
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, kinds, strict=True)], names=names)
 
-        for batch in common.slices(batches, limit=min(shard_bytes, common.SLICE_BYTES)):
+        for batch in common.slices(batches, limit=min(shard_bytes, common.SLICE_BYTES // 4)):
             own = batch.column("text").nbytes
             if held and size + own > shard_bytes:
                 yield row()
@@ -369,11 +375,12 @@ class Shard:
         data = row["words"]
         raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True) if len(data) > 8 else b""
         self.id, self.bits = row["shard"], bits
-        self.words = raw.split(b"\n") if raw else []
+        self.text = raw.decode("utf-8", "surrogatepass")
+        words = self.text.split("\n") if raw else []
         self.tokens = _unpacked(row["tokens"], "<u4").view(np.int32)
         self.lengths, self.held, self.doc_ids = np.array(row["lengths"], np.int64), np.array(row["held"], bool), row["doc_ids"]
-        n = len(self.words)
-        self.names = word_names(self.words)
+        n = len(words)
+        self.names = word_names(words)
         learnt = np.repeat(~self.held, self.lengths)
         self.counts = np.bincount(self.tokens[learnt], minlength=n + 1).astype(np.float64)
         before = np.concatenate([np.array([n], np.int32), self.tokens[:-1]])
@@ -392,7 +399,7 @@ class Shard:
 
     def letters(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self._letters is None:
-            self._letters = letter_codes([b"\n".join(self.words).decode("utf-8", "surrogatepass")] if self.words else [])
+            self._letters = letter_codes([self.text] if self.text else [])
         return self._letters
 
     def send(self, kind: int, hashes: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> Iterator[tuple]:

@@ -145,3 +145,10 @@ def test_contexts_beat_single_words_on_held_out_texts(documents):
     held = [r for r in py.score_texts(documents(rows)).collect() if r["held_out"]]
     bits = lambda c: -sum(r[c] for r in held) / sum(r["n_tokens"] for r in held)
     assert bits("score") < 0.6 * bits("base_score")
+
+
+def test_names_tell_words_apart():
+    words = ["a", "a\0", "a\0b", "\0", "\0a", "é", "ab"]
+    names = py.word_names(words)
+    assert len(set(names.tolist())) == len(words) + 1 and names[-1] == py.BOUNDARY
+    assert py.word_names(words[::-1])[:-1].tolist() == names[:-1][::-1].tolist() and len(py.word_names([])) == 1

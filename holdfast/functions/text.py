@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -42,6 +44,25 @@ def break_query_pattern(title: Column) -> Column:
     return F.when(title.contains("&") & title.contains("="), F.translate(title, "&=", "+-")).otherwise(title)
 
 
+@functools.cache
+def _capitals() -> tuple[str, str]:
+    """Letters, and the capital of each where that is one code point."""
+    found = {"ß": "ẞ"}
+    for c in map(chr, range(sys.maxunicode + 1)):
+        for one in (c.upper(), c.title()):
+            if len(one) == 1 and one != c and c not in found:
+                found[c] = one
+                break
+            if one == c:
+                break
+    return "".join(found), "".join(found.values())
+
+
+def capital(letter: Column) -> Column:
+    """A letter in upper case, always one code point: ß becomes ẞ, and ligatures, whose capitals are several, stay."""
+    return F.translate(letter, *_capitals())
+
+
 def page_title(title: Column, identifier: Column, suffix: Column, page: Column | None = None) -> Column:
     """The title of an item's page: cut, cleaned, first letter in upper case, identifier and page number added."""
     out = break_query_pattern(rstrip(F.substring(title, 1, TITLE_LENGTH)))
@@ -49,7 +70,7 @@ def page_title(title: Column, identifier: Column, suffix: Column, page: Column |
         out = F.replace(out, F.lit(old), F.lit(new))
     out = F.regexp_replace(out, r"\p{Cf}|\p{Cc}", " ")
     out = F.trim(F.regexp_replace(out, WHITE, " "))
-    out = F.concat(F.upper(F.substring(out, 1, 1)), F.substring(out, 2, TITLE_LENGTH * 2))
+    out = F.concat(capital(F.substring(out, 1, 1)), F.substring(out, 2, TITLE_LENGTH * 2))
     number = F.lit("") if page is None else F.when(F.coalesce(page, F.lit("")) != "", F.concat(F.lit(" (page "), page, F.lit(")"))).otherwise("")
     return F.concat(out, F.lit(" - DPLA - "), identifier, number, suffix)
 

@@ -224,3 +224,16 @@ def test_move_reasons(spark):
     assert found[0].endswith(f"(DPLA ID [[dpla:{'a' * 32}|{'a' * 32}]])") and found[-1] == "Title drift correction"
     assert all(len(r.encode()) + 36 + 3 + 3 * n <= 500 for r, n in zip(found[:-1], (10, 115, 125, 137)))
     assert [len(r) for r in found] == sorted((len(r) for r in found), reverse=True)
+
+
+def test_capitals_are_one_code_point(spark):
+    """As DuckDB has them, for every code point."""
+    import duckdb
+
+    letters = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    text_of = "".join(letters)
+    mine = spark.createDataFrame([(text_of,)], "v string").select(text.capital(F.col("v"))).first()[0]
+    theirs = dict(duckdb.sql("SELECT chr(i::INT), upper(chr(i::INT)) FROM range(1, 1114112) t(i) WHERE i NOT BETWEEN 55296 AND 57343").fetchall())
+    assert len(mine) == len(letters) and [theirs[c] for c in letters] == list(mine)
+    build = lambda c: text.page_title(c, F.lit("a"), F.lit(".jpg"))
+    assert [one(spark, v, build) for v in ("ßx", "ﬁx", "ᾳx", "éx", "")] == [f"{v} - DPLA - a.jpg" for v in ("ẞx", "ﬁx", "ᾼx", "Éx", "")]

@@ -13,8 +13,7 @@ licence to its directory, and every file without a licence of its own takes that
 one, found by joining the prefixes of its path.
 
 Null texts have no licence of their own; null paths neither inherit nor give; equal paths are separate rows; ties go to the
-first licence by name; an empty table gives an empty result; texts that are too long to be like any
-template as a whole have windows only.
+first licence by name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -93,8 +92,6 @@ class Templates:
                 left -= weights[w] ** 2
             self.every.append(Template(i, name, kind, words, weights, math.sqrt(whole), frozenset(anchors)))
         self.anchors = sorted({w for t in self.every for w in t.anchors})
-        # n words make a vector of at least the root of n times the least weight, so longer texts are like no template as a whole
-        self.longest = int((max(t.norm for t in self.every) / FILE_COSINE / min(self.idf.values())) ** 2) + 1
 
     def spots(self) -> dict[str, list[tuple[int, int, int, bool]]]:
         """For each anchor word: the templates that look for windows, the place of the word, the length, whether an opening."""
@@ -133,7 +130,7 @@ def pieces_of(text: Column, templates: Templates) -> Column:
         good = F.array_distinct(F.filter(near, lambda a: (a["start"] >= 1) & (~a["opening"] | (a["start"] <= OPENING_WORDS))))
         windows = F.transform(good, lambda a: F.struct(a["t"].alias("t"), F.slice(words, a["start"], a["size"]).alias("words")))
         whole = F.array(F.struct(F.lit(-1).alias("t"), words.alias("words")))
-        return F.when(F.size(words) > 0, F.concat(windows, F.slice(whole, 1, (F.size(words) <= templates.longest).cast("int"))))
+        return F.when(F.size(words) > 0, F.concat(windows, whole))
 
     words = F.filter(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({_WORD})")), lambda w: ~w.isin(*COMMON))
     return F.when(text.rlike(templates.pattern()), _let(words, of_words))

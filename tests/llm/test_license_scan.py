@@ -74,3 +74,18 @@ def test_empty_and_odd(spark, documents, odd_rows):
 def test_every_header_matches_itself(spark):
     found = scan(spark, [(f"d{i}/f", text) for i, (name, kind, text) in enumerate(ls.standard()) if kind == "header"])
     assert {p: v[0] for p, v in found.items()} == {f"d{i}/f": name for i, (name, kind, text) in enumerate(ls.standard()) if kind == "header"}
+
+
+def test_length_is_no_switch(spark, documents):
+    """A licence over and over is as like it as once: as its SQL has it, and as a licence file."""
+    import duckdb
+
+    rows = [(i, (text + "\n\n") * times) for i, (text, times) in enumerate((text, times) for texts in lt.BODIES.values() for text in texts for times in (1, 100))]
+    df = documents([*rows, (1000, "x " * 5000 + rows[0][1])])
+    found = {r["doc_id"]: r for r in ls.scanned_documents(df).collect()}
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text", "source").toArrow())
+    theirs = {r[0]: r[1:] for r in con.sql(f"SELECT doc_id, license, origin FROM ({ls.scan_sql()})").fetchall()}
+    assert {i: (r["license"], r["origin"]) for i, r in found.items()} == theirs
+    for i in range(0, len(rows), 2):
+        assert found[i]["origin"] is not None and (found[i]["license"], found[i]["origin"]) == (found[i + 1]["license"], found[i + 1]["origin"])

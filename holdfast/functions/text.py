@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .dates import let
+
 # What a page title replaces, in order; later rules see what earlier ones made.
 TITLE_REPLACEMENTS = (
     (":", "-"), ("/", "-"), ("\\", "-"), ("<", "-"), (">", "-"), ("''", '"'), ("[", "("), ("]", ")"),
@@ -114,7 +116,8 @@ def canonical_title(title: Column) -> Column:
 def statement_value(text: Column) -> Column:
     """Bad code points dropped, runs of control characters one space, ends stripped; null and empty become empty."""
     out = F.translate(F.coalesce(text, F.lit("")), BAD_CHARACTERS, "")
-    return strip(F.regexp_replace(out, r"[\x00-\x1F\x7F-\x{9F}]+", " "))
+    # printable ASCII without a space at an end is as it should be
+    return F.when(text.rlike(r"^[!-~](?:[ -~]*[!-~])?\z"), text).otherwise(strip(F.regexp_replace(out, r"[\x00-\x1F\x7F-\x{9F}]+", " ")))
 
 
 @F.pandas_udf(T.StringType())
@@ -178,12 +181,13 @@ def chunks(value: Column, limit: int = CHUNK_LENGTH) -> Column:
     def step(state: Column, _: Column) -> Column:
         rest = state["rest"]
         window = F.substring(rest, 1, limit + 1)
+
+        def cut(own: Column) -> Column:
+            return F.struct(F.substr(rest, F.length(own) + 1).alias("rest"), F.concat(state["parts"], F.array(own)).alias("parts"))
+
         good = F.regexp_extract(window, r"(?sU)^(.*\S)\S", 1)
-        own = F.when(good == "", F.substring(window, 1, limit)).otherwise(good)
-        more = F.length(rest) > limit
-        return F.struct(
-            F.when(more, F.substr(rest, F.length(own) + 1)).otherwise("").alias("rest"), F.when(rest == "", state["parts"]).otherwise(F.concat(state["parts"], F.array(F.when(more, own).otherwise(rest)))).alias("parts")
-        )
+        last = F.struct(F.lit("").alias("rest"), F.when(rest == "", state["parts"]).otherwise(F.concat(state["parts"], F.array(rest))).alias("parts"))
+        return F.when(F.length(rest) > limit, let(let(good, lambda g: F.when(g == "", F.substring(window, 1, limit)).otherwise(g)), cut)).otherwise(last)
 
     # two parts that follow each other are longer than the limit together
     turns = F.sequence(F.lit(1), 2 * F.ceil(F.length(value) / limit) + 2)

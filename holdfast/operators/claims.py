@@ -130,10 +130,11 @@ def subject_statements(subjects: Column) -> Column:
 def build(items: DataFrame, rights: DataFrame) -> DataFrame:
     """All statements of items, in the order of their families; rights: uri (normalised), prop, qid.
 
-    One projection of each item: the table of rights alone is joined.  An item without a date of ingestion has none.
+    One projection of each item: the table of rights alone, which is short, is sent to all of them (many items share a URI, so
+    that those of one URI must not meet in one task).  An item without a date of ingestion has none.
     """
     entity = lambda prop, c: F.when(F.coalesce(c, F.lit("")) != "", F.array(statement(prop, c, "wikibase-item"))).otherwise(_none())
-    known = items.withColumn("_key", urls.rights_key(F.col("rights_uri"))).join(rights.select(F.col("uri").alias("_key"), F.col("prop").alias("_prop"), F.col("qid").alias("_qid")), "_key", "left")
+    known = items.withColumn("_key", urls.rights_key(F.col("rights_uri"))).join(F.broadcast(rights.select(F.col("uri").alias("_key"), F.col("prop").alias("_prop"), F.col("qid").alias("_qid"))), "_key", "left")
     collection = F.when(F.col("hub_qid").isin(*CONTENT_HUBS), F.col("hub_qid")).otherwise(F.col("inst_qid"))
     families = [
         rights_statements(F.col("rights_uri"), F.col("_prop"), F.col("_qid")),

@@ -237,3 +237,17 @@ def test_capitals_are_one_code_point(spark):
     assert len(mine) == len(letters) and [theirs[c] for c in letters] == list(mine)
     build = lambda c: text.page_title(c, F.lit("a"), F.lit(".jpg"))
     assert [one(spark, v, build) for v in ("ßx", "ﬁx", "ᾳx", "éx", "")] == [f"{v} - DPLA - a.jpg" for v in ("ẞx", "ﬁx", "ᾼx", "Éx", "")]
+
+
+def test_values_of_any_shape(spark):
+    """Texts that need nothing and those that need something, against a plain rule."""
+    import re
+
+    def plain(v):
+        kept = re.sub("[\x00-\x1f\x7f-\x9f]+", " ", "".join(c for c in v or "" if c not in text.BAD_CHARACTERS))
+        return re.sub(r"^\s+|\s+\Z", "", kept)
+
+    made = random.Random(3)
+    values = ["".join(made.choices("ab ~!\n\x00\x7f\x85\xa0é﻿ ", k=made.randrange(6))) for _ in range(2000)] + ["a", " ", "x" * 5000, "a\n", None]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, v string").select("i", text.statement_value(F.col("v")).alias("r")).collect()
+    assert {r["i"]: r["r"] for r in rows} == {i: plain(v) for i, v in enumerate(values)}

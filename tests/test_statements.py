@@ -328,3 +328,13 @@ def test_records_of_a_partner(spark):
     items = spark.createDataFrame([(1, "bpl", "Boston"), (2, "bpl", "Other"), (3, "none", "Boston"), (4, "none", None)], "id int, partner string, hub string")
     hubs = spark.createDataFrame([("bpl", "Boston")], "slug string, name string")
     assert sorted((r["id"], r["of_partner"]) for r in selection.of_partner(items, hubs).collect()) == [(1, True), (2, False), (3, False), (4, True)]
+
+
+def test_rights_meet_their_items_where_these_are(spark):
+    """Items of one rights URI are spread as they were: nothing of them is exchanged."""
+    from holdfast.operators import claims
+    from holdfast.plans import claims as plans
+
+    built = claims.build(plans._items(spark, "/root/testdata/sf0.001"), plans._rights(spark))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

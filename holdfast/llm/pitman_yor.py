@@ -75,9 +75,12 @@ WORDS, PAIRS, TABLES = 0, 1, 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
+    x = x ^ x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def uniforms(keys: np.ndarray, step: int) -> np.ndarray:
@@ -94,22 +97,32 @@ def seat(customers: np.ndarray, mass: np.ndarray, discount: float, keys: np.ndar
 
 
 def _seat_many(customers: np.ndarray, mass: np.ndarray, discount: float, keys: np.ndarray, seed: int) -> np.ndarray:
-    tables = np.ones(len(customers))
-    live = np.arange(len(customers))
+    # dishes with most customers first, up to those that all sit one by one, so that those with more than k are the first ones
+    capped = np.minimum(customers, ONE_BY_ONE + 1).astype(np.uint8)
+    by = np.argsort(ONE_BY_ONE + 1 - capped, kind="stable")
+    more = np.cumsum(np.bincount(capped, minlength=ONE_BY_ONE + 2)[::-1])[::-1]  # dishes with so many customers at least
+    customers, mass, keys = customers[by], mass[by], keys[by]
+    tables = np.ones(len(by))
     for k in range(1, ONE_BY_ONE):  # customer k + 1
-        live = live[customers[live] > k]
-        if not len(live):
-            return tables
-        fresh = mass[live] / (mass[live] + k - discount * tables[live])
-        tables[live] += uniforms(keys[live], seed * 1000 + k) < fresh
-    k = ONE_BY_ONE
-    while len(live := np.flatnonzero(customers > k)):
+        n = int(more[k + 1])
+        if not n:
+            break
+        # fresh: u < mass / (mass + k - discount * tables)
+        others = tables[:n] * -discount
+        others += k
+        others += mass[:n]
+        others *= uniforms(keys[:n], seed * 1000 + k)
+        tables[:n] += others < mass[:n]
+    k, live = ONE_BY_ONE, np.arange(int(more[ONE_BY_ONE + 1]))
+    while len(live := live[customers[live] > k]):
         group = np.minimum(customers[live], k + k // 2) - k
         spread = np.maximum(mass[live] + k - discount * tables[live], 1e-9)
         share = np.minimum(mass[live] * np.log1p(group / spread) / group, 1.0)
         tables[live] += binomials(group, share, keys[live], seed * 1000 + k)
         k += k // 2
-    return tables
+    out = np.empty(len(by))
+    out[by] = tables
+    return out
 
 
 def binomials(n: np.ndarray, p: np.ndarray, keys: np.ndarray, step: int) -> np.ndarray:
@@ -226,16 +239,17 @@ class LetterModel:
         code, points, ends = letters
         if not len(ends):
             return np.zeros(0)
-        symbol = code % SYMBOLS
-        value = self.rows[self.row_of[code // SYMBOLS], symbol].astype(np.float64)
-        inside = np.ones(len(code), bool)
-        inside[ends] = False
-        mine = points[inside]
-        place = np.minimum(np.searchsorted(self.own, mine), max(len(self.own) - 1, 0))
-        known = self.own[place] == mine if len(self.own) else np.zeros(len(mine), bool)
-        value[inside] += np.where(known, self.log_share[place] if len(self.own) else 0.0, self.log_rest[symbol[inside]])
+        value = self.rows.ravel()[self.row_of[code // SYMBOLS] * np.int64(SYMBOLS) + code % SYMBOLS].astype(np.float64)
+        value += self._shares()[points]
         return np.add.reduceat(value, np.concatenate([[0], ends[:-1] + 1]))
 
+    def _shares(self) -> np.ndarray:
+        """Natural log of each code point's share of its class; 0 for the end of a word, which stands as a line break."""
+        out = self.log_rest[class_table()]
+        out[self.own] = self.log_share
+        out[ord("\n")] = 0
+        return out
+
 
 _CLASSES: np.ndarray | None = None
 
@@ -311,6 +325,21 @@ def pair_hashes(before: np.ndarray, names: np.ndarray) -> np.ndarray:
     return _mixed(before)
 
 
+def sorting(hashes: np.ndarray) -> np.ndarray:
+    """Places of 64-bit hashes in ascending order: their upper bits are sorted with the place in the lower ones, and the few that
+    share their upper bits without being equal are put in order after that."""
+    width = np.uint64(max(len(hashes), 1).bit_length())
+    both = hashes >> width << width | np.arange(len(hashes), dtype=np.uint64)
+    both.sort()
+    by = (both & (np.uint64(1) << width) - np.uint64(1)).astype(np.int64)
+    ordered = hashes[by]
+    both >>= width
+    for upper in np.unique(both[1:][ordered[1:] < ordered[:-1]]):
+        s, e = np.searchsorted(both, upper), np.searchsorted(both, upper, side="right")
+        by[s:e] = by[s:e][np.argsort(hashes[by[s:e]], kind="stable")]
+    return by
+
+
 def _packed(values: np.ndarray, kind: str) -> bytes:
     """Numbers, byte by byte of each in turn, compressed."""
     raw = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -385,7 +414,7 @@ class Shard:
         self.counts = np.bincount(self.tokens[learnt], minlength=n + 1).astype(np.float64)
         before = np.concatenate([np.array([n], np.int32), self.tokens[:-1]])
         hashes = pair_hashes(self.names[before], self.names[self.tokens])
-        by = np.argsort(hashes)
+        by = sorting(hashes)
         ordered = hashes[by]
         fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
         self.hashes, first = ordered[fresh], by[fresh]
@@ -545,8 +574,11 @@ class Sweep:
 
     def pairs(self, shard: Shard, served: np.ndarray, chances: np.ndarray) -> np.ndarray:
         """Tables of each pair."""
-        mass = (STRENGTH + self.pair_discount * served[shard.u]) * chances[shard.w]
-        return seat(shard.pair_counts.astype(np.int64), mass, self.pair_discount, shard.hashes, self.number)
+        tables = np.minimum(shard.pair_counts, 1).astype(np.float64)
+        many = np.flatnonzero(shard.pair_counts > 1)
+        mass = (STRENGTH + self.pair_discount * served[shard.u[many]]) * chances[shard.w[many]]
+        tables[many] = _seat_many(shard.pair_counts[many].astype(np.int64), mass, self.pair_discount, shard.hashes[many], self.number)
+        return tables
 
 
 #: Keys of numbers that passes sum, below those of code points.

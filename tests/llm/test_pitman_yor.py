@@ -152,3 +152,27 @@ def test_names_tell_words_apart():
     names = py.word_names(words)
     assert len(set(names.tolist())) == len(words) + 1 and names[-1] == py.BOUNDARY
     assert py.word_names(words[::-1])[:-1].tolist() == names[:-1][::-1].tolist() and len(py.word_names([])) == 1
+
+
+def test_sorting_is_that_of_the_hashes():
+    """Few upper bits, so that many hashes share them without being equal."""
+    made = np.random.default_rng(1)
+    for n, top in ((0, 1), (1, 1), (5, 3), (50_000, 1 << 20), (50_000, 1 << 63), (1000, 4)):
+        hashes = made.integers(0, top, n, dtype=np.uint64)
+        found = py.sorting(hashes)
+        assert (hashes[found] == np.sort(hashes)).all() and (np.sort(found) == np.arange(n)).all()
+
+
+def test_seating_against_one_dish_at_a_time():
+    """Dishes are seated alike whatever others are seated with them, up to those that sit one by one and beyond."""
+    made = np.random.default_rng(2)
+    customers = np.concatenate([np.arange(0, 40), made.integers(0, 3000, 60)])
+    mass, keys = made.random(100) * 3, made.integers(0, 1 << 63, 100, dtype=np.uint64)
+    every = py.seat(customers, mass, 0.6, keys, 1)
+    alone = [py.seat(customers[i : i + 1], mass[i : i + 1], 0.6, keys[i : i + 1], 1)[0] for i in range(100)]
+    assert every.tolist() == alone and (every <= customers).all()
+    for i in np.flatnonzero((customers > 0) & (customers <= py.ONE_BY_ONE)):
+        tables = 1
+        for k in range(1, int(customers[i])):
+            tables += py.uniforms(keys[i : i + 1], 1000 + k)[0] < mass[i] / (mass[i] + k - 0.6 * tables)
+        assert every[i] == tables

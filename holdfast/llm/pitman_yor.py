@@ -312,7 +312,7 @@ def letter_model(keys: np.ndarray, counts: np.ndarray) -> LetterModel:
 def word_names(words: list[str]) -> np.ndarray:
     """64-bit names of the words, and last that of the boundary."""
     names = hash_array(np.array(words, object), categorize=False) if words else np.zeros(0, np.uint64)
-    for i in [i for i, w in enumerate(words) if "\0" in w] if any("\0" in w for w in words) else []:  # that hash ends there
+    for i in [i for i, w in enumerate(words) if "\0" in w] if "\0" in "".join(words) else []:  # that hash ends there
         names[i] = xxhash.xxh64_intdigest(words[i].encode("utf-8", "surrogatepass"))
     return np.append(names, np.uint64(BOUNDARY))
 
@@ -325,19 +325,24 @@ def pair_hashes(before: np.ndarray, names: np.ndarray) -> np.ndarray:
     return _mixed(before)
 
 
-def sorting(hashes: np.ndarray) -> np.ndarray:
-    """Places of 64-bit hashes in ascending order: their upper bits are sorted with the place in the lower ones, and the few that
-    share their upper bits without being equal are put in order after that."""
+def sorting(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of 64-bit hashes in ascending order, and the hashes in it: their upper bits are sorted with the place in the lower
+    ones, and the few that share their upper bits without being equal are put in order after that."""
     width = np.uint64(max(len(hashes), 1).bit_length())
-    both = hashes >> width << width | np.arange(len(hashes), dtype=np.uint64)
+    both = hashes >> width
+    both <<= width
+    both |= np.arange(len(hashes), dtype=np.uint64)
     both.sort()
-    by = (both & (np.uint64(1) << width) - np.uint64(1)).astype(np.int64)
+    by = (both & (np.uint64(1) << width) - np.uint64(1)).astype(np.int32 if width < 32 else np.int64)
     ordered = hashes[by]
-    both >>= width
-    for upper in np.unique(both[1:][ordered[1:] < ordered[:-1]]):
-        s, e = np.searchsorted(both, upper), np.searchsorted(both, upper, side="right")
-        by[s:e] = by[s:e][np.argsort(hashes[by[s:e]], kind="stable")]
-    return by
+    falls = np.flatnonzero(ordered[1:] < ordered[:-1])
+    if len(falls):
+        both >>= width
+        for upper in np.unique(both[falls]):
+            s, e = np.searchsorted(both, upper), np.searchsorted(both, upper, side="right")
+            by[s:e] = by[s:e][np.argsort(hashes[by[s:e]], kind="stable")]
+            ordered[s:e] = hashes[by[s:e]]
+    return by, ordered
 
 
 def _packed(values: np.ndarray, kind: str) -> bytes:
@@ -414,13 +419,14 @@ class Shard:
         self.counts = np.bincount(self.tokens[learnt], minlength=n + 1).astype(np.float64)
         before = np.concatenate([np.array([n], np.int32), self.tokens[:-1]])
         hashes = pair_hashes(self.names[before], self.names[self.tokens])
-        by = sorting(hashes)
-        ordered = hashes[by]
-        fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        by, ordered = sorting(hashes)
+        fresh = np.empty(len(by), bool)
+        fresh[0] = True
+        np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
         self.hashes, first = ordered[fresh], by[fresh]
         self.u, self.w = before[first], self.tokens[first]
         self.place = np.empty(len(by), np.int32)
-        self.place[by] = np.cumsum(fresh) - 1
+        self.place[by] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
         self.pair_counts = np.bincount(self.place[learnt], minlength=len(first)).astype(np.float32)
         self.by_name = np.argsort(self.names)
         self.own, self.own_pairs = np.ones(n + 1, bool), np.ones(len(first), bool)

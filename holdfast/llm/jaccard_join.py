@@ -65,7 +65,8 @@ WIDE = 8
 ROUNDS = 2
 #: Partners of one node that are compared in one task.
 PARTNERS = 256
-#: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB); more are joined by a shuffle.
+#: Ids of documents in candidate pairs that are broadcast to pick their texts (8 MB), and of those that ``keep_one`` drops; more
+#: are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _U = np.uint64
@@ -650,7 +651,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that share that doc_id the first by text stays.
     """
     found = near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    gone = common.materialize(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    if gone.count() <= BROADCAST_IDS:  # whole rows stay where they are
+        gone = F.broadcast(gone)
     kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     ids = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1)
     if not ids.count():

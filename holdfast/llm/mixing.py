@@ -119,15 +119,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int =
     """The mixed corpus: a row for each copy taken, in training order, with the columns of ``docs`` and ``_position``."""
     plan = plan_mix(docs, weights, max_epochs, schedules).where("copies > 0")
     # whole rows go in one column, so that theirs and the plan's names cannot meet
-    keyed = docs.select(shuffle_key().alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    mine = plan.select(F.col("key").alias("_key"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.struct("size", "source_size", "target", "rank", "offset", "copies").alias("_plan"))
-    # equal ids, texts and sources are one key: each of its rows has its own plan row, paired by number
-    number = F.row_number().over(Window.partitionBy("_key", "_id", "_source").orderBy("_key"))
-    joined = keyed.withColumn("_n", number).alias("d").join(
-        mine.withColumn("_n", number).alias("p"),
-        (F.col("d._key") == F.col("p._key")) & F.col("d._id").eqNullSafe(F.col("p._id")) & F.col("d._source").eqNullSafe(F.col("p._source")) & (F.col("d._n") == F.col("p._n")),
-    )
-    copies = joined.select("d._key", "d._doc", "p._plan.*", F.explode(F.sequence(F.lit(0), F.col("p._plan.copies").cast("int") - 1)).alias("_epoch"))
+    keyed = docs.select(F.struct(shuffle_key().alias("key"), F.col("doc_id").alias("id"), F.col("source").alias("source")).alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    mine = plan.select(F.struct("key", F.col("doc_id").alias("id"), "source").alias("_key"), F.struct("offset", "size", "source_size", "target", "rank", "copies").alias("_plan"))
+    # equal ids, texts and sources are one key: each of its rows has its own plan row, paired by number; numbers and join want
+    # rows dealt by the same one column, so that whole rows are exchanged once for both
+    number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    plans = mine.groupBy("_key").agg(F.sort_array(F.collect_list("_plan")).alias("_plans"))
+    joined = keyed.withColumn("_n", number).join(plans, "_key").select(F.col("_key.key").alias("_key"), "_doc", F.get("_plans", F.col("_n") - 1).alias("_plan")).where("_plan is not null")
+    copies = joined.select("_key", "_doc", "_plan.*", F.explode(F.sequence(F.lit(0), F.col("_plan.copies").cast("int") - 1)).alias("_epoch"))
     out = copies.select("_doc", position_of(F.col("_epoch"), schedules).alias("_position"), "_key")
     return out.repartitionByRange("_position", "_key").sortWithinPartitions("_position", "_key").select("_doc.*", "_position")
 

@@ -72,3 +72,24 @@ def test_empty(documents):
     assert mixing.mix_sources(documents([])).count() == 0
     assert mixing.mix(documents([])).count() == 0
     assert [r["taken"] for r in mixing.mix_sources(documents([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_whole_rows_are_exchanged_once_before_they_are_ordered(spark, documents, rows):
+    """Numbers of equal rows and the join with the plan share one exchange; the other is by position."""
+    import re
+
+    out = mixing.mix(documents(rows))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.split("\n") if re.search(r"Exchange (?:hash|range)partitioning\(_(?:key|position|n|id|source)#", x)]) == 3  # rows, plan, order
+    assert sorted(r["doc_id"] for r in out.where("doc_id = 602").collect()) == [602] * (out.where("doc_id = 602").count())
+
+
+def test_equal_rows_are_paired_with_plan_rows_of_their_own(documents):
+    """Copies of one row, some of which the last part pass takes: as many as the plan has, whatever their other columns."""
+    from collections import Counter
+
+    made = documents([(1, "a b c d", "en", "x")] * 5 + [(None, "a b", "en", None)] * 3 + [(i, "w " * 9, "en", "y") for i in range(10, 40)])
+    planned = Counter()
+    for r in mixing.plan_mix(made).collect():
+        planned[r["doc_id"]] += r["copies"]
+    assert Counter(r["doc_id"] for r in mixing.mix(made).collect()) == Counter({k: n for k, n in planned.items() if n})

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +88,21 @@ def remove(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+#: What operators keep in a Python worker from task to task, by key.
+KEPT: list[dict] = []
+
+
+def drop_kept() -> None:
+    """At the start of a task: what other operators keep in this worker goes, and its memory with it."""
+    if any(KEPT):
+        for kept in KEPT:
+            kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def row_hash(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """A hash that spreads rows even where many ids are null."""
     return F.xxhash64(F.col(id_col), F.col(text_col))

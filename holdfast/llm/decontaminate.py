@@ -290,6 +290,7 @@ def search_shard(phrases: Phrases, texts: list[bytes]) -> tuple[list[int], list[
 
 #: Phrases that this worker process has made, the last two.
 _MADE: dict[str, Phrases] = {}
+common.KEPT.append(_MADE)
 
 
 def phrases_of(items: list[tuple[str | None, bytes]], name: str) -> Phrases:

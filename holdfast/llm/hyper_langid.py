@@ -113,6 +113,7 @@ def group_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    common.drop_kept()
     for batch in common.slices(batches, limit=GROUP_BYTES):
         for start in range(0, batch.num_rows, GROUP):
             yield batch.slice(start, GROUP)

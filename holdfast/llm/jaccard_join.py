@@ -187,6 +187,7 @@ def summarize(docs: DataFrame) -> DataFrame:
     """A row a document with its set's size, name and parity bits; and rows of shingles that are frequent in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.binary()), ("wide", pa.binary()), ("hot", pa.int64()), ("hot_count", pa.int64())])
         hot, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in common.slices(batches):
@@ -229,6 +230,7 @@ def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         seen: set[int] = set()
         keys, nodes, sizes, held = [], [], [], 0
         for batch in common.slices(batches):
@@ -314,6 +316,7 @@ def groups_of(keys: DataFrame) -> DataFrame:
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         for batch in single_runs(batches, "bucket"):
             key, node, width = of_bucket(batch)
             if not len(key):

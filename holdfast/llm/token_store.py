@@ -130,6 +130,7 @@ class WordTokenizer:
 
 
 _TOKENIZERS: dict[str | None, WordTokenizer] = {}
+common.KEPT.append(_TOKENIZERS)
 
 
 def worker_tokenizer(path: str | None) -> WordTokenizer:

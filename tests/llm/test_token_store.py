@@ -65,3 +65,12 @@ def test_store_against_plain_encoding(documents, odd_rows):
 
 def test_empty(documents):
     assert ts.token_digests(documents([])).count() == 0
+
+
+def test_other_operators_drop_the_tokenizer_of_a_worker():
+    from holdfast.llm import common, token_store
+
+    token_store.worker_tokenizer(None)
+    assert token_store._TOKENIZERS
+    common.drop_kept()
+    assert not token_store._TOKENIZERS and token_store.worker_tokenizer(None)

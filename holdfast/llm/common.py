@@ -92,15 +92,33 @@ def remove(spark: SparkSession, path: str) -> None:
 KEPT: list[dict] = []
 
 
-def drop_kept() -> None:
-    """At the start of a task: what other operators keep in this worker goes, and its memory with it."""
-    if any(KEPT):
-        for kept in KEPT:
+def drop_kept(own: dict | None = None) -> None:
+    """At the start of a task: what other operators than the ``own`` keep in this worker goes, and its memory with it."""
+    others = [kept for kept in KEPT if kept is not own]
+    if any(others):
+        for kept in others:
             kept.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with suppress(OSError, AttributeError):  # not every C library can
-            ctypes.CDLL(None).malloc_trim(0)
+        release()
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, which leaves an idle worker without what its task has freed."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
 
 
 def row_hash(id_col: str = "doc_id", text_col: str = "text") -> Column:

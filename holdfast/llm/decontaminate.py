@@ -38,6 +38,8 @@ HIT_PART = 20
 SAMPLE_RATE = 8
 #: Bytes of benchmark text in a block, words in an index.
 BLOCK_BYTES, SHARD_WORDS = 8 << 20, 1 << 21
+#: Most bytes of texts in a shard (a longer text goes alone): an index and what it is made from take some forty times as much.
+SHARD_BYTES = 4 << 20
 
 _TABLE = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -288,6 +290,14 @@ def search_shard(phrases: Phrases, texts: list[bytes]) -> tuple[list[int], list[
     return Shard(texts).search(phrases)
 
 
+def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a shard each; what a shard took goes before the next."""
+    common.drop_kept(_MADE)
+    for batch in common.slices(batches, limit=SHARD_BYTES):
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
 #: Phrases that this worker process has made, the last two.
 _MADE: dict[str, Phrases] = {}
 common.KEPT.append(_MADE)
@@ -330,20 +340,20 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             phrases = phrases_of(first, name)
-            for batch in common.slices(batches):
+            for batch in shards_of(batches):
                 found = Shard(common.text_bytes(batch.column("text"))).search(phrases)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *_found(*found)], names=_ARROW.names)
 
-        return rows.mapInArrow(run, SCHEMA)
+        return rows.mapInArrow(common.tidy(run), SCHEMA)
     # rows are told apart by their place, so that equal ids stay separate
     keyed = common.materialize(rows.withColumn("row", F.monotonically_increasing_id()), "decontaminate")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches):
+        for batch in shards_of(batches):
             shard = pickle.dumps(Shard(common.text_bytes(batch.column("text"))), protocol=5)
             yield pa.RecordBatch.from_arrays([pa.array([batch.column("row").to_pylist()], pa.list_(pa.int64())), pa.array([shard], pa.binary())], names=["rows", "shard"])
 
-    shards = common.materialize(keyed.mapInArrow(build, "rows array<bigint>, shard binary"), "indexes")
+    shards = common.materialize(keyed.mapInArrow(common.tidy(build), "rows array<bigint>, shard binary"), "indexes")
 
     def searched(items: list[tuple[str | None, bytes]]) -> DataFrame:
         name = uuid.uuid4().hex
@@ -355,7 +365,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
                     found = pickle.loads(batch.column("shard")[i].as_py()).search(phrases)
                     yield pa.RecordBatch.from_arrays([batch.column("rows")[i].values, *_found(*found)], names=["row", *_ARROW.names[1:]])
 
-        return shards.mapInArrow(run, SCHEMA.replace("doc_id", "row"))
+        return shards.mapInArrow(common.tidy(run), SCHEMA.replace("doc_id", "row"))
 
     parts = [searched(items) for items in itertools.chain([first, second], blocks)]
     every = parts[0]
@@ -417,7 +427,7 @@ def clean_texts(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_
             cut = [t if not s else cut_spans(t.encode(), [(x["first"], x["last"]) for x in s]).decode() for t, s in zip(texts, spans, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(cut, pa.string())], names=["row", "cut"])
 
-    texts = keyed.join(hit, "row").select("row", F.col("doc.text").alias("text"), "spans").mapInArrow(run, "row bigint, cut string")
+    texts = keyed.join(hit, "row").select("row", F.col("doc.text").alias("text"), "spans").mapInArrow(common.tidy(run), "row bigint, cut string")
     joined = keyed.join(texts, "row", "left")
     text = F.coalesce("cut", F.col("doc.text").cast("string")).alias("text")
     return joined.select(*[text if c == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
@@ -461,12 +471,12 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, hit_part: int = HIT_PART,
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             phrases = phrases_of(items, name)
-            for batch in common.slices(batches):
+            for batch in shards_of(batches):
                 n_words, spans, _ = Shard(common.text_bytes(batch.column("text"))).search(phrases)
                 n_hit = np.array([sum(e - s for s, e in own) for own in spans], np.int64)
                 yield batch.filter(pa.array((n_hit == 0) | (hit_part * n_hit < np.array(n_words, np.int64))))
 
-        return docs.mapInArrow(run, docs.schema)
+        return docs.mapInArrow(common.tidy(run), docs.schema)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
     keyed = common.materialize(docs.select(F.monotonically_increasing_id().alias("row"), whole), "decontaminate")
     marks = verdicts(mark(keyed.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), benchmark, block_bytes), hit_part)

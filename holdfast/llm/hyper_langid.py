@@ -181,7 +181,7 @@ def train(docs: DataFrame, dimensions: int = DIMENSIONS) -> LanguageProfiles:
             yield pa.RecordBatch.from_pydict({"lang": [lang], "vector": pa.array([np.rint(vector).astype(np.int64)], pa.list_(pa.int64()))})
 
     learn = (common.fold("doc_id", MODULUS) != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    parts = docs.where(learn).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(run, "lang string, vector array<bigint>")
+    parts = docs.where(learn).select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).mapInArrow(common.tidy(run), "lang string, vector array<bigint>")
     places = parts.select("lang", F.posexplode("vector").alias("place", "value")).groupBy("lang", "place").agg(F.sum("value").alias("value"))
     rows = places.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("vector"))
     found = sorted((r["lang"], r["vector"]) for r in rows.collect())  # a row a language
@@ -213,7 +213,7 @@ def identify(docs: DataFrame, profiles: LanguageProfiles, dimensions: int = DIME
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (common.fold("doc_id", MODULUS) == HELD).alias("held_out"), F.col("text").cast("string").alias("text")
     )
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(common.tidy(run), SCHEMA)
 
 
 def identified_documents(docs: DataFrame) -> DataFrame:
@@ -230,4 +230,4 @@ def keep_identified(docs: DataFrame, profiles: LanguageProfiles, dimensions: int
             best = predict(_texts(batch), profiles, dimensions)[0]
             yield batch.filter(pa.array(best < len(profiles.languages)))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(common.tidy(run), schema)

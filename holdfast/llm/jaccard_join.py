@@ -206,7 +206,7 @@ def summarize(docs: DataFrame) -> DataFrame:
         m = int(often.sum())
         yield pa.RecordBatch.from_arrays([*(pa.nulls(m, schema.field(i).type) for i in range(5)), pa.array(hot[often].view(np.int64)), pa.array(counts[often])], schema=schema)
 
-    return docs.mapInArrow(run, SUMMARY)
+    return docs.mapInArrow(common.tidy(run), SUMMARY)
 
 
 def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
@@ -249,7 +249,7 @@ def index_keys(docs: DataFrame, index: Index, bits: int) -> DataFrame:
         if keys:
             yield from rows(keys, nodes, sizes)
 
-    return docs.mapInArrow(run, "bucket bigint, keys binary, nodes binary, sizes binary, counts binary")
+    return docs.mapInArrow(common.tidy(run), "bucket bigint, keys binary, nodes binary, sizes binary, counts binary")
 
 
 def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -343,7 +343,7 @@ def groups_of(keys: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=[c.split(" ")[0] for c in GROUPS.split(", ")])
 
-    found = keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, GROUPS)
+    found = keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(common.tidy(run), GROUPS)
     return found.groupBy("gid", "members", "part", "parts").agg(F.first(F.struct("nodes", "hubs")).alias("n")).select("gid", "members", "part", "parts", "n.nodes", "n.hubs")
 
 
@@ -389,7 +389,7 @@ def similar_by_bits(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 
     for side in ("v", "u"):
         pairs = pairs.join(sigs.select(F.col("node").alias(side), F.col("n_shingles").alias(f"size_{side}"), F.col("sig").alias(f"sig_{side}")), side)
-    return pairs.select("u", "v", "size_u", "size_v", "sig_u", "sig_v").mapInArrow(run, "u bigint, v bigint")
+    return pairs.select("u", "v", "size_u", "size_v", "sig_u", "sig_v").mapInArrow(common.tidy(run), "u bigint, v bigint")
 
 
 def star_pairs(groups: DataFrame) -> DataFrame:
@@ -483,7 +483,7 @@ def cross_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
     nothing = lambda kind: F.lit(None).cast(kind)
     own = routed.select("route", F.explode("nodes").alias("node")).distinct().join(comps, "node").join(wide, "node").select("route", "node", "comp", "n_shingles", "wide", nothing("array<bigint>").alias("nodes"))
     lists = routed.select("route", nothing("bigint").alias("node"), nothing("bigint").alias("comp"), nothing("bigint").alias("n_shingles"), nothing("binary").alias("wide"), "nodes")
-    found = own.union(lists).repartition("route").sortWithinPartitions("route", F.asc_nulls_last("node")).mapInArrow(of_routes, schema)
+    found = own.union(lists).repartition("route").sortWithinPartitions("route", F.asc_nulls_last("node")).mapInArrow(common.tidy(of_routes), schema)
 
     large = rows.where("parts > 1").drop("main")
     if large.limit(1).count():
@@ -494,7 +494,7 @@ def cross_pairs(rows: DataFrame, sigs: DataFrame) -> DataFrame:
         columns = lambda other: (F.xxhash64("gid", "members", "part", "block").alias("route"), "node", "comp", "n_shingles", "wide", F.lit(other).alias("other"), F.lit(not other).alias("whole"))
         whole = large.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns(False))
         others = large.where("comp <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns(True))
-        found = found.union(whole.union(others).repartition("route").sortWithinPartitions("route").mapInArrow(of_blocks, schema))
+        found = found.union(whole.union(others).repartition("route").sortWithinPartitions("route").mapInArrow(common.tidy(of_blocks), schema))
     return found.distinct()
 
 
@@ -529,7 +529,7 @@ def verify(pairs: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
     small = ids.count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
     both = wanted.join(texts, "doc_id").select("route", "u", "node", "text")
-    return both.repartition("route").sortWithinPartitions("route", "u", F.col("u") != F.col("node")).mapInArrow(run, "u bigint, v bigint").distinct()
+    return both.repartition("route").sortWithinPartitions("route", "u", F.col("u") != F.col("node")).mapInArrow(common.tidy(run), "u bigint, v bigint").distinct()
 
 
 class Joined:

@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Tokens of a block (a longer document has a block of its own) and between two bit offsets.
+#: Most tokens of a block (a longer document has a block of its own), and tokens between two bit offsets.
 BLOCK, STRIDE = 1 << 18, 128
+#: Most text bytes that are encoded together: their ids and the indices of them take some fifty times as much.
+ENCODE_BYTES = 1 << 20
 #: Least width of the decoding table in bits; the widest that a 32-bit window at any bit offset can serve.
 WIDTH, MAX_WIDTH = 20, 24
 VOCABULARY = "word_bpe_49k.json"
@@ -51,7 +53,7 @@ _NO_LETTERS = "([^\\x09-\\x0D a-zß-öø-ÿ]+)"
 #: What the pre-tokenizer keeps in one piece, whatever stands beside it.
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 #: Entries of a worker's cache before it starts anew.
-_CACHE_LIMIT = 1_000_000
+_CACHE_LIMIT = 400_000
 
 
 class WordTokenizer:
@@ -156,6 +158,7 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        common.drop_kept(_TOKENIZERS)
         shard, block = TaskContext.get().partitionId(), 0
         tokenizer = worker_tokenizer(path)
         schema = pa.schema(
@@ -174,12 +177,21 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
             held, count, block, first = [], 0, block + 1, first + len(ids)
             return row
 
-        for batch in common.slices(batches, limit=4 << 20):
+        for batch in common.slices(batches, limit=ENCODE_BYTES):
             ids, lengths = tokenizer.encode(batch.column("text"), end_id)
-            held.append((batch.column("doc_id").to_pylist(), lengths, ids))
-            count += len(ids)
-            if count >= BLOCK:
-                yield flush()
+            doc_ids, ends, start = batch.column("doc_id").to_pylist(), np.cumsum(lengths), 0
+            while start < len(ends):
+                before = int(ends[start - 1]) if start else 0
+                stop = int(np.searchsorted(ends, before + BLOCK - count, side="right"))
+                if stop == start and count:
+                    yield flush()
+                    continue
+                stop = max(stop, start + 1)
+                after = int(ends[stop - 1])
+                held.append((doc_ids[start:stop], lengths[start:stop], ids[before:after]))
+                count, start = count + after - before, stop
+                if count >= BLOCK:
+                    yield flush()
         if held:
             yield flush()
 
@@ -189,7 +201,7 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
     # of texts the first letters are enough for ranges, so that rows without an id spread, too
     ranges = [F.substring(n, 1, 32) if c == "text" else F.col(n) for n, c in zip(names, order, strict=True)]
     ordered = ordered.repartitionByRange(*ranges).sortWithinPartitions(*names).select("doc_id", "text")
-    return ordered.mapInArrow(encode, BLOCK_SCHEMA)
+    return ordered.mapInArrow(common.tidy(encode), BLOCK_SCHEMA)
 
 
 # ---------------------------------------------------------------- the code
@@ -292,6 +304,7 @@ def write_store(blocks: DataFrame, path: str) -> None:
     spark = blocks.sparkSession
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         totals = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0):
@@ -302,7 +315,7 @@ def write_store(blocks: DataFrame, path: str) -> None:
         ids = np.flatnonzero(totals)
         yield pa.RecordBatch.from_pydict({"id": ids, "n": totals[ids]})
 
-    counts = blocks.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = blocks.select("ids").mapInArrow(common.tidy(count), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     if counts.limit((1 << (MAX_WIDTH - 1)) + 1).count() > 1 << (MAX_WIDTH - 1):  # the codebook's proven bound
         raise ValueError("too many distinct ids for one code")
     counted = counts.toPandas()
@@ -318,6 +331,7 @@ def write_store(blocks: DataFrame, path: str) -> None:
     ).coalesce(1).write.parquet(f"{path}/codebook")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         coder = CanonicalCode(symbols, lengths, width)
         for batch in batches:
             for i in range(batch.num_rows):
@@ -328,7 +342,7 @@ def write_store(blocks: DataFrame, path: str) -> None:
                     names=["shard", "block", "start", "doc_ids", "lengths", "n_tokens", "offsets", "payload"],
                 )
 
-    blocks.mapInArrow(encode, STORE_SCHEMA).write.parquet(f"{path}/blocks")
+    blocks.mapInArrow(common.tidy(encode), STORE_SCHEMA).write.parquet(f"{path}/blocks")
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -337,17 +351,19 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     symbols, lengths, width = np.frombuffer(book["symbols"], "<u4"), np.frombuffer(book["lengths"], np.uint8), book["width"]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.drop_kept()
         code = CanonicalCode(symbols, lengths, width)
         schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 ids = code.decode(row["payload"], np.frombuffer(row["offsets"], "<i8"), row["n_tokens"]).astype("<u4").tobytes()
                 sizes = np.array(row["lengths"], np.int64)
                 ends = np.cumsum(sizes)
                 texts = [ids[4 * (e - s) : 4 * e] for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(row["start"] + ends - sizes), pa.array(sizes), pa.array(texts, pa.binary())], schema=schema)
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(decode, DOCUMENT_SCHEMA)
+    return spark.read.parquet(f"{path}/blocks").mapInArrow(common.tidy(decode), DOCUMENT_SCHEMA)
 
 
 def store_documents(docs: DataFrame, path: str | None = None, tokenizer_path: str | None = None, end_id: int | None = 2, order: tuple[str, ...] = ("doc_id", "text")) -> str:

@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from holdfast.llm import common
 from holdfast.llm import token_store as ts
 
 
@@ -74,3 +75,38 @@ def test_other_operators_drop_the_tokenizer_of_a_worker():
     assert token_store._TOKENIZERS
     common.drop_kept()
     assert not token_store._TOKENIZERS and token_store.worker_tokenizer(None)
+
+
+def test_blocks_hold_at_most_their_tokens_unless_one_document_is_longer(spark, monkeypatch):
+    monkeypatch.setattr(ts, "BLOCK", 50)
+    texts = ["one two three " * n for n in (1, 2, 30, 3, 4, 0, 5, 40, 1, 1)] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = ts.token_blocks(docs).collect()
+    assert all(row["n_tokens"] <= 50 or len(row["doc_ids"]) == 1 for row in rows)
+    assert all(sum(row["lengths"]) == row["n_tokens"] for row in rows)
+    assert sorted(i for row in rows for i in row["doc_ids"]) == list(range(len(texts)))
+    for shard in {row["shard"] for row in rows}:
+        own = sorted((row for row in rows if row["shard"] == shard), key=lambda row: row["block"])
+        assert [row["first"] for row in own] == [sum(r["n_tokens"] for r in own[:k]) for k in range(len(own))]
+
+
+def test_a_task_keeps_its_own_and_drops_what_other_operators_keep(monkeypatch):
+    own, other = {"a": 1}, {"b": 2}
+    monkeypatch.setattr(common, "KEPT", [own, other])
+    common.drop_kept(own)
+    assert (own, other) == ({"a": 1}, {})
+
+
+def test_a_worker_gives_back_what_its_task_has_freed():
+    import psutil
+
+    def run(batches):
+        for _ in batches:
+            some = [bytes(2000) for _ in range(100_000)]
+            last = some[-1]
+            del some
+            yield last
+
+    before = psutil.Process().memory_info().rss
+    assert len(list(common.tidy(run)(iter([1, 2])))) == 2
+    assert psutil.Process().memory_info().rss - before < 60e6

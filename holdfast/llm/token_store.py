@@ -30,8 +30,8 @@ from . import common
 
 #: Most tokens of a block (a longer document has a block of its own), and tokens between two bit offsets.
 BLOCK, STRIDE = 1 << 18, 128
-#: Most text bytes that are encoded together: their ids and the indices of them take some fifty times as much.
-ENCODE_BYTES = 1 << 20
+#: Most text bytes that are encoded together, and words whose ids are gathered together (an id's index takes 8 bytes, three times).
+ENCODE_BYTES, GATHER_WORDS = 4 << 20, 1 << 15
 #: Least width of the decoding table in bits; the widest that a 32-bit window at any bit offset can serve.
 WIDTH, MAX_WIDTH = 20, 24
 VOCABULARY = "word_bpe_49k.json"
@@ -53,7 +53,7 @@ _NO_LETTERS = "([^\\x09-\\x0D a-zß-öø-ÿ]+)"
 #: What the pre-tokenizer keeps in one piece, whatever stands beside it.
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 #: Entries of a worker's cache before it starts anew.
-_CACHE_LIMIT = 400_000
+_CACHE_LIMIT = 1_000_000
 
 
 class WordTokenizer:
@@ -122,8 +122,11 @@ class WordTokenizer:
             self._learn(missing)
         places = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy(zero_copy_only=False)]
         each = self.sizes[places]
-        ids = self.pool[common.ragged(self.starts[places], each)]
         word_ends = np.concatenate([[0], np.cumsum(each)])
+        ids = np.empty(word_ends[-1], np.uint32)
+        for i in range(0, len(places), GATHER_WORDS):
+            own = slice(i, i + GATHER_WORDS)
+            ids[word_ends[i] : word_ends[min(own.stop, len(places))]] = self.pool[common.ragged(self.starts[places[own]], each[own])]
         doc_ends = word_ends[np.cumsum(counts)]
         if end_id is None:
             return ids, np.diff(doc_ends, prepend=0)
@@ -136,7 +139,11 @@ common.KEPT.append(_TOKENIZERS)
 
 
 def worker_tokenizer(path: str | None) -> WordTokenizer:
-    """One for each Python worker."""
+    """One for each Python worker, which drops what other operators keep there.
+
+    A task's function has a copy of this module's dictionaries; only functions of the module know the worker's own.
+    """
+    common.drop_kept(_TOKENIZERS)
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokenizer(path)
     return _TOKENIZERS[path]
@@ -158,7 +165,6 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        common.drop_kept(_TOKENIZERS)
         shard, block = TaskContext.get().partitionId(), 0
         tokenizer = worker_tokenizer(path)
         schema = pa.schema(
@@ -192,6 +198,8 @@ def token_blocks(docs: DataFrame, path: str | None = None, end_id: int | None =
                 count, start = count + after - before, stop
                 if count >= BLOCK:
                     yield flush()
+            del batch, ids
+            pa.default_memory_pool().release_unused()
         if held:
             yield flush()
 

@@ -110,3 +110,11 @@ def test_a_worker_gives_back_what_its_task_has_freed():
     before = psutil.Process().memory_info().rss
     assert len(list(common.tidy(run)(iter([1, 2])))) == 2
     assert psutil.Process().memory_info().rss - before < 60e6
+
+
+def test_a_worker_keeps_its_tokenizer_between_tasks(monkeypatch):
+    other = {}
+    monkeypatch.setattr(common, "KEPT", [ts._TOKENIZERS, other])
+    first = ts.worker_tokenizer(None)
+    other["b"] = 1
+    assert ts.worker_tokenizer(None) is first and not other
